@@ -1,0 +1 @@
+"""Empty on purpose: every table here is rebuilt in full by a batch job, so there is nothing to stream."""

@@ -1,0 +1,114 @@
+"""Rule tables: every branch, NULLs and edge values of the column rules."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from refinery.functions import amounts, codes, dates, keys
+
+
+def results(spark, kind, values, rule):
+    """Rule applied to values, in their order."""
+    df = spark.createDataFrame(list(enumerate(values)), f"i int, c {kind}")
+    return [row.r for row in df.select("i", rule(F.col("c")).alias("r")).orderBy("i").collect()]
+
+
+def test_marital_status(spark):
+    def rule(c):
+        return codes.standard_code(c, codes.MARITAL_STATUS)
+
+    values = [" s", "M", "x", "", None, "\tS"]
+    assert results(spark, "string", values, rule) == ["Single", "Married", "n/a", "n/a", "n/a", "n/a"]
+
+
+def test_crm_gender_knows_letters_only(spark):
+    values = ["f ", "M", "FEMALE", None]
+    expected = ["Female", "Male", "n/a", "n/a"]
+    assert results(spark, "string", values, lambda c: codes.standard_code(c, codes.CRM_GENDER)) == expected
+
+
+def test_erp_gender_knows_words_too(spark):
+    values = [" f", "female", "Male ", "m", "", None]
+    expected = ["Female", "Female", "Male", "Male", "n/a", "n/a"]
+    assert results(spark, "string", values, lambda c: codes.standard_code(c, codes.ERP_GENDER)) == expected
+
+
+def test_product_line(spark):
+    values = ["M ", "r", "S", "t", "Z", None]
+    expected = ["Mountain", "Road", "Other Sales", "Touring", "n/a", "n/a"]
+    assert results(spark, "string", values, lambda c: codes.standard_code(c, codes.PRODUCT_LINE)) == expected
+
+
+def test_country_codes_are_case_sensitive(spark):
+    values = ["DE", "de", " US", "USA", "", "   ", None, "France ", "us"]
+    expected = ["Germany", "de", "United States", "United States", "n/a", "n/a", "n/a", "France", "us"]
+    assert results(spark, "string", values, codes.standard_country) == expected
+
+
+def test_gender_survivorship(spark):
+    pairs = [("Male", "Female"), ("n/a", "Female"), ("n/a", "n/a"), ("n/a", None), (None, "Male"), (None, None)]
+    df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(pairs)], "i int, crm string, erp string")
+    chosen = df.select("i", codes.first_known(F.col("crm"), F.col("erp")).alias("g")).orderBy("i")
+    assert [row.g for row in chosen.collect()] == ["Male", "Female", "n/a", "n/a", "Male", "n/a"]
+
+
+def test_product_keys(spark):
+    values = ["AC-HE-P-000001", "AB", None, "A-B-C-D"]
+    assert results(spark, "string", values, keys.category_of) == ["AC_HE", "AB", None, "A_B_C"]
+    assert results(spark, "string", values, keys.product_of) == ["P-000001", "", None, "D"]
+
+
+def test_customer_keys(spark):
+    assert results(spark, "string", ["AW-000-11", "-", None], keys.without_hyphens) == ["AW00011", "", None]
+    values = ["NASAW01", "nasAW01", "AWNAS1", "NAS", None]
+    assert results(spark, "string", values, keys.without_prefix) == ["AW01", "nasAW01", "AWNAS1", "", None]
+
+
+def test_coded_dates(spark):
+    values = [20240131, 0, 32154, 202401311, 20241399, -1234567, None]
+    expected = [dt.date(2024, 1, 31)] + [None] * 6
+    assert results(spark, "int", values, dates.coded_date) == expected
+
+
+def test_future_dates(spark):
+    values = [dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(1900, 1, 1), None]
+    expected = [dt.date(2025, 1, 1), None, dt.date(1900, 1, 1), None]
+    assert results(spark, "date", values, lambda c: dates.not_after(c, dt.date(2025, 1, 1))) == expected
+    today = dt.date.today()
+    far = [today + dt.timedelta(days=400), today - dt.timedelta(days=400)]
+    assert results(spark, "date", far, dates.not_after) == [None, far[1]]
+
+
+# sales, quantity, price -> sales, price
+AMOUNTS = [
+    (100, 2, 50, 100, 50.0),
+    (None, 2, 50, 100, 50.0),
+    (0, 2, 50, 100, 50.0),
+    (-100, 2, 50, 100, 50.0),
+    (90, 2, 50, 100, 50.0),
+    (100, 2, None, 100, 50.0),
+    (100, 2, 0, 0, 50.0),
+    (100, 2, -50, 100, 50.0),
+    (None, 2, None, None, None),
+    (100, 0, 50, 0, 50.0),
+    (100, 0, 0, 0, None),
+    (100, None, 50, 100, 50.0),
+    (100, None, None, 100, None),
+    (-100, 2, -50, 100, -50.0),
+    (101, 2, None, 101, 50.5),
+    (-100, 2, None, None, -50.0),
+    (None, 2, -50, 100, None),
+    (100, -2, 50, -100, 50.0),
+    # beyond int: no overflow, no error
+    (1, 2_000_000_000, 2_000_000_000, None, 2_000_000_000.0),
+    (1, 1, -2_147_483_648, None, 1.0),
+]
+
+
+def test_amounts_and_prices(spark):
+    df = spark.createDataFrame([(i, *row[:3]) for i, row in enumerate(AMOUNTS)], "i int, s int, q int, p int")
+    s, q, p = F.col("s"), F.col("q"), F.col("p")
+    repaired = df.select("i", amounts.repaired_amount(s, q, p).alias("a"), amounts.repaired_price(p, s, q).alias("b"))
+    assert repaired.schema["a"].dataType.simpleString() == "int"
+    assert repaired.schema["b"].dataType.simpleString() == "double"
+    assert [(row.a, row.b) for row in repaired.orderBy("i").collect()] == [row[3:] for row in AMOUNTS]
