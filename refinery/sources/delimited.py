@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from refinery.schemas import BRONZE
 
@@ -24,16 +24,17 @@ def scan(
     if null_text is not None:
         reader = reader.option("nullValue", null_text)
     if keep_rejected:
-        schema = StructType(schema.fields).add(REJECTED, StringType())
+        schema = StructType([*schema.fields, StructField(REJECTED, StringType())])
         # Without pruning every field of a line is checked, whichever columns are asked for.
         reader = reader.option("columnNameOfCorruptRecord", REJECTED).option("columnPruning", False)
     return reader.schema(schema).csv(path)
 
 
-def rejected_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Number of lines read and of lines with a field that was lost."""
+def quality(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One row: lines read, lines with a field that was lost, and the missing values of each column."""
+    missing = [F.count_if(F.col(field.name).isNull()).alias(f"{field.name}_missing") for field in schema]
     return scan(spark, path, schema, keep_rejected=True).agg(
-        F.count(F.lit(1)).alias("lines_read"), F.count(REJECTED).alias("lines_rejected")
+        F.count(F.lit(1)).alias("lines_read"), F.count(REJECTED).alias("lines_rejected"), *missing
     )
 
 

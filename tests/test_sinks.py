@@ -1,0 +1,123 @@
+"""Files, catalog tables, partitions and the month filter."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from refinery.operators.checks import repeated_keys
+from refinery.schemas import GOLD, INT, STRING, table
+from refinery.sinks import tables
+
+FACT = GOLD["fact_sales"]
+
+
+def sales(spark, dates):
+    numbered = [(f"SO{i}", i, i, date, None, date, 10 * i, 1, 1.5) for i, date in enumerate(dates)]
+    return spark.createDataFrame(numbered, table(**{f.name: f.dataType for f in FACT.fields[:9]}))
+
+
+DATES = [dt.date(2020, 1, 31), dt.date(2020, 2, 1), None, dt.date(2021, 2, 28), dt.date(2020, 12, 31), dt.date(2020, 2, 9)]
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"sinks_{tmp_path.name}"
+    tables.ensure_database(spark, name, f"{tmp_path}/db")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_fact_keeps_rows_without_a_date(spark, database, tmp_path):
+    for _ in range(2):
+        tables.publish_fact(sales(spark, DATES), database, "fact_sales", f"{tmp_path}/fact")
+    published = spark.table(f"{database}.fact_sales")
+    assert published.schema.simpleString() == FACT.simpleString()
+    assert rows(published) == rows(tables.with_months(sales(spark, DATES)))
+    assert published.filter("year IS NULL AND month IS NULL").count() == 1
+    assert "year=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{tmp_path}/fact")
+
+
+def test_overwrite_replaces_everything_unless_asked_not_to(spark, tmp_path):
+    path = f"{tmp_path}/fact"
+    tables.write_by_month(tables.with_months(sales(spark, DATES)), path)
+    february = tables.with_months(sales(spark, [dt.date(2020, 2, 2)]))
+    tables.write_by_month(february, path, only_months_present=True)
+    assert spark.read.parquet(path).count() == 5
+    tables.write_by_month(february, path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_a_month_is_gathered_before_it_is_written(spark, tmp_path):
+    many = spark.range(0, 4000, 1, 8).select(
+        F.col("id"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 360).cast("int")).alias("order_date")
+    )
+    tables.write_by_month(tables.with_months(many), f"{tmp_path}/fact")
+    files = [name for _, _, names in os.walk(f"{tmp_path}/fact") for name in names if name.endswith(".parquet")]
+    assert len(files) == 12
+
+
+def test_a_hot_month_is_cut_into_several_files(spark, tmp_path):
+    hot = spark.range(0, 200_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") % 3 > 0, dt.date(2020, 1, 1)).otherwise(F.date_add(F.lit(dt.date(2020, 2, 1)), (F.col("id") % 300).cast("int"))).alias("order_date"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.write_by_month(tables.with_months(hot), f"{tmp_path}/fact")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    january = [name for name in os.listdir(f"{tmp_path}/fact/year=2020/month=1") if name.endswith(".parquet")]
+    assert len(january) > 4
+    assert spark.read.parquet(f"{tmp_path}/fact").count() == 200_000
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [(dt.date(2020, 2, 1), dt.date(2020, 2, 9)), (dt.date(2020, 12, 31), dt.date(2021, 3, 1)),
+     (dt.date(2020, 1, 31), dt.date(2020, 2, 1)), (dt.date(2019, 5, 1), dt.date(2022, 1, 1)),
+     (dt.date(2020, 1, 1), dt.date(2020, 1, 1))],
+)
+def test_between_dates_is_half_open(spark, start, end):
+    fact = tables.with_months(sales(spark, DATES))
+    found = {row.order_date for row in tables.between_dates(fact, start, end).collect()}
+    assert found == {date for date in DATES if date and start <= date < end}
+
+
+def test_between_dates_reads_only_the_months_asked_for(spark, tmp_path):
+    tables.write_by_month(tables.with_months(sales(spark, DATES)), f"{tmp_path}/fact")
+    chosen = tables.between_dates(spark.read.parquet(f"{tmp_path}/fact"), dt.date(2020, 2, 3), dt.date(2020, 3, 1))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert "GreaterThanOrEqual(order_date,2020-02-03)" in plan
+    assert chosen.inputFiles() and rows(chosen, "order_number") == [("SO5",)]
+
+
+def test_refresh_creates_once_and_reads_the_new_files(spark, database, tmp_path):
+    schema = table(id=INT, t=STRING)
+    for values in ([(1, "a")], [(2, "b"), (3, "c")]):
+        tables.refresh(spark.createDataFrame(values, schema), database, "t", schema, f"{tmp_path}/t")
+        assert rows(spark.table(f"{database}.t")) == values
+    assert spark.catalog.getTable(f"{database}.t").tableType == "EXTERNAL"
+
+
+def test_a_table_with_other_columns_is_an_error(spark, database, tmp_path):
+    tables.refresh(spark.createDataFrame([(1,)], table(id=INT)), database, "t", table(id=INT), f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="another schema: t: declared string, missing"):
+        tables.ensure_table(spark, f"{database}.t", table(id=INT, t=STRING), f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="does not fit"):
+        tables.refresh(spark.createDataFrame([("x",)], table(id=STRING)), database, "t", table(id=INT), f"{tmp_path}/t")
+
+
+def test_replace_takes_the_new_schema(spark, database, tmp_path):
+    for schema, row in ((table(id=INT), (1,)), (table(id=INT, t=STRING), (1, "a"))):
+        tables.write_files(spark.createDataFrame([row], schema), f"{tmp_path}/t")
+        tables.replace_table(spark, f"{database}.t", schema, f"{tmp_path}/t")
+        assert rows(spark.table(f"{database}.t")) == [row]
+
+
+def test_repeated_keys(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert rows(repeated_keys(df, "k")) == [("a", 2)]
