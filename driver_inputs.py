@@ -21,7 +21,7 @@ RAW_SQL = {
         FROM (SELECT *, {versions} AS v FROM customer) t""",
     "crm_prd_info": """
         SELECT CAST(p_partkey * 3 + v AS INT) AS prd_id,
-               concat(CASE p_size % 3 WHEN 0 THEN 'AC-HE' WHEN 1 THEN 'BI-MB' ELSE 'ZZ-NO' END,
+               concat(substr(p_type, 1, 2), '-', lpad(substr(p_brand, 7), 2, '0'),
                       '-P-', lpad(CAST(p_partkey AS STRING), 6, '0')) AS prd_key,
                p_name AS prd_nm,
                CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INT) + CAST(v AS INT) END AS prd_cost,
@@ -58,14 +58,26 @@ RAW_SQL = {
                     ELSE '' END AS gen
         FROM customer WHERE c_custkey % 31 <> 0""",
     "erp_px_cat_g1v2": """
-        SELECT * FROM (VALUES ('AC_HE', 'Accessories', 'Helmets', 'Yes'), ('BI_MB', 'Bikes', 'Mountain Bikes', 'Yes'),
-                              ('CL_JE', 'Clothing', 'Jerseys', 'No')) AS t(id, cat, subcat, maintenance)""",
+        SELECT DISTINCT
+               concat(substr(p_type, 1, 2), CASE WHEN CAST(substr(p_brand, 7) AS INT) % 7 = 0 THEN '-' ELSE '_' END,
+                      lpad(substr(p_brand, 7), 2, '0')) AS id,
+               p_type AS cat,
+               p_brand AS subcat,
+               CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
+        FROM part""",
 }
 MORE_VERSIONS = {
     "crm_cust_info": "CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END",
     "crm_prd_info": "p_partkey % 3",
 }
-GIVEN = ["customer", "part", "orders", "lineitem"]
+DERIVED_FROM = {
+    "crm_cust_info": ["customer"],
+    "crm_prd_info": ["part"],
+    "crm_sales_details": ["lineitem", "orders"],
+    "erp_loc_a101": ["customer"],
+    "erp_cust_az12": ["customer"],
+    "erp_px_cat_g1v2": ["part"],
+}
 
 
 def raw_sql(name: str, repeat: str) -> str:
@@ -81,10 +93,11 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """Raw extracts by name; all six if none is named."""
-    for table in GIVEN:
+    names = names or tuple(RAW_SQL)
+    for table in {table for name in names for table in DERIVED_FROM[name]}:
         given(spark, sf_dir, table).createOrReplaceTempView(table)
     tables = {}
-    for name in names or RAW_SQL:
+    for name in names:
         rows = spark.sql(raw_sql(name, "explode(sequence(0, CAST({} AS INT)))"))
         tables[name] = rows.to(BRONZE[name])
     return tables

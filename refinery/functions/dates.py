@@ -5,14 +5,21 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Dates arrive as integers such as 20240131.
-CODED_FORMAT, CODED_CHARS = "yyyyMMdd", 8
+# Dates arrive as integers of eight digits, such as 20240131.
+SMALLEST, LARGEST = 10_000_000, 99_999_999
 
 
 def coded_date(number: Column) -> Column:
-    """Date of a ``yyyyMMdd`` integer; NULL if it is zero, has not eight characters or names no day."""
-    text = number.cast("string")
-    return F.when((number != 0) & (F.length(text) == CODED_CHARS), F.try_to_date(text, CODED_FORMAT))
+    """Date of a ``yyyymmdd`` integer; NULL if it has not eight digits or names no day.
+
+    Plain arithmetic: for a table of sales this is the dearest rule, and parsing text takes several times as long.
+    """
+    year = F.call_function("div", number, F.lit(10_000)).cast("int")
+    month = F.call_function("div", number % 10_000, F.lit(100)).cast("int")
+    day = number % 100
+    date = F.date_add(F.make_date(year, month, F.lit(1)), day - 1)
+    in_range = number.between(SMALLEST, LARGEST) & month.between(1, 12) & day.between(1, 31)
+    return F.when(in_range, F.when(F.month(date) == month, date))
 
 
 def not_after(date: Column, as_of: Column | dt.date | None = None) -> Column:

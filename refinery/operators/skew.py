@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from refinery.operators.storage import pin
+
 ROWS_PER_TASK = 1_000_000
 MOST_HEAVY_KEYS = 10_000
 
@@ -38,11 +40,12 @@ def left_join(
     sides once, and every combination of parts is a join key of its own.
 
     ``spread`` is an expression over the left row that cuts the left rows of a heavy key; without it they are
-    left to Spark's own skew join, which can split the left side of a left join but never the right. Rights
-    are cut by row position and so must be stored tables or plain projections of them: a position must be
-    the same if a task is run again.
+    left to Spark's own skew join, which can split the left side of a left join but never the right. The
+    right rows of a heavy key are cut by position, so that copies part too, and pinned first: a position must
+    be the same if a task is run again.
     """
-    heavy = {name: heavy_keys(df.filter(F.col(name).isNotNull()), name, rows_per_task) for name, df in rights.items()}
+    rights = {name: df.filter(F.col(name).isNotNull()) for name, df in rights.items()}
+    heavy = {name: heavy_keys(df, name, rows_per_task) for name, df in rights.items()}
     if spread is not None:
         heavy[left_key] = heavy_keys(left, left_key, rows_per_task)
     if not any(heavy.values()):
@@ -52,11 +55,11 @@ def left_join(
 
     sides = [left_key, *rights]
     parts = _parts_table(left, left_key, sides, heavy, rows_per_task)
-    cut_left = _cut(left, left_key, parts, sides, left_key, F.lit(0) if spread is None else spread)
+    cut_left = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
     joined, lost = cut_left, F.lit(False)
     for name, right in rights.items():
-        numbered = right.withColumn("_position", F.monotonically_increasing_id())
-        pieces = _cut(numbered, name, parts, sides, name, F.col("_position")).drop("_position", *map(_total, sides))
+        numbered = _with_position(right, F.col(name).isin([*heavy[name]]))
+        pieces = _cut(numbered, name, parts, sides, F.col("_position")).drop("_position", *map(_total, sides))
         pieces = pieces.withColumnsRenamed({_part(side): f"{_part(side)}_of_{name}" for side in sides})
         same = [F.col(_part(side)) == F.col(f"{_part(side)}_of_{name}") for side in sides]
         joined = joined.join(pieces, reduce(Column.__and__, same, F.col(left_key) == F.col(name)), "left")
@@ -83,13 +86,18 @@ def _parts_table(left, left_key, sides, heavy, rows_per_task) -> DataFrame:
     return left.sparkSession.createDataFrame(rows, schema)
 
 
-def _cut(df, key, parts, sides, own, by: Column) -> DataFrame:
+def _with_position(right: DataFrame, is_heavy: Column) -> DataFrame:
+    light = right.filter(~is_heavy).withColumn("_position", F.lit(0).cast("bigint"))
+    return light.unionByName(pin(right.filter(is_heavy)).withColumn("_position", F.monotonically_increasing_id()))
+
+
+def _cut(df, key, parts, sides, by: Column) -> DataFrame:
     """Gives each row its own part and copies it to all parts of the other sides."""
     # parts has at most MOST_HEAVY_KEYS rows per side.
     df = df.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
     df = df.withColumns({_total(side): F.coalesce(_total(side), F.lit(1)) for side in sides})
     for side in sides:
         total = F.col(_total(side))
-        place = F.pmod(by, total).cast("int") if side == own else F.explode(F.sequence(F.lit(0), total - 1))
+        place = F.pmod(by, total).cast("int") if side == key else F.explode(F.sequence(F.lit(0), total - 1))
         df = df.withColumn(_part(side), place)
     return df

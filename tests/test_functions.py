@@ -70,6 +70,16 @@ def test_coded_dates(spark):
     assert results(spark, "int", values, dates.coded_date) == expected
 
 
+def test_coded_dates_agree_with_the_parser(spark):
+    """All four-digit month and day parts in an ordinary, a leap and a century year, against Spark's own parser."""
+    years = F.array(*[F.lit(year) for year in (1000, 1582, 1900, 2000, 2023, 2024, 9999)])
+    numbers = spark.range(10_000).withColumn("year", F.explode(years))
+    numbers = numbers.select((F.col("year") * 10_000 + F.col("id")).cast("int").alias("c"))
+    parsed = F.try_to_date(F.col("c").cast("string"), "yyyyMMdd")
+    different = numbers.filter(~dates.coded_date(F.col("c")).eqNullSafe(parsed))
+    assert numbers.count() == 70_000 and different.isEmpty()
+
+
 def test_future_dates(spark):
     values = [dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(1900, 1, 1), None]
     expected = [dt.date(2025, 1, 1), None, dt.date(1900, 1, 1), None]
