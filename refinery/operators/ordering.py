@@ -79,7 +79,7 @@ def with_neighbours(
 
     The rows of heavy keys are put in one global order instead of into one task per key.
     """
-    heavy = heavy_keys(df, key, rows_per_task)
+    heavy = heavy_keys({key: df.select(key)}, rows_per_task)[key]
     if not heavy:
         return _neighbours_by_window(df, key, order, take)
     is_heavy = F.coalesce(F.col(key).isin([value for value in heavy if value is not None]), F.lit(None in heavy))

@@ -14,16 +14,21 @@ ROWS_PER_TASK = 1_000_000
 MOST_HEAVY_KEYS = 10_000
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict:
-    """Keys (NULL too) with more than ``rows_per_task`` rows, and how many rows they have.
+def heavy_keys(keys: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK) -> dict[str, dict]:
+    """For each table of ``keys``, given as its key column alone: the keys (NULL too) with more than
+    ``rows_per_task`` rows, and how many rows they have.
 
-    Counts are combined before the shuffle and only the key column is read. At most ``MOST_HEAVY_KEYS`` keys
-    come back, the largest ones: any other key has less than one row in ``MOST_HEAVY_KEYS`` of the table, and
-    callers treat it like every other key.
+    One job for all tables; counts are combined before the shuffle. At most ``MOST_HEAVY_KEYS`` keys come
+    back, the largest ones: any other key has less than one row in ``MOST_HEAVY_KEYS`` of all, and callers
+    treat it like every other key.
     """
-    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    named = [df.select(F.lit(name).alias("name"), F.col(df.columns[0]).alias("key")) for name, df in keys.items()]
+    counts = reduce(DataFrame.unionByName, named).groupBy("name", "key").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n")).limit(MOST_HEAVY_KEYS)
-    return {row["key"]: row["n"] for row in largest.collect()}
+    heavy = {name: {} for name in keys}
+    for name, key, n in largest.collect():
+        heavy[name][key] = n
+    return heavy
 
 
 def left_join(
@@ -45,9 +50,10 @@ def left_join(
     be the same if a task is run again.
     """
     rights = {name: df.filter(F.col(name).isNotNull()) for name, df in rights.items()}
-    heavy = {name: heavy_keys(df, name, rows_per_task) for name, df in rights.items()}
+    keys = {name: df.select(name) for name, df in rights.items()}
     if spread is not None:
-        heavy[left_key] = heavy_keys(left, left_key, rows_per_task)
+        keys[left_key] = left.select(left_key)
+    heavy = heavy_keys(keys, rows_per_task)
     if not any(heavy.values()):
         return reduce(
             lambda df, name: df.join(rights[name], F.col(left_key) == F.col(name), "left"), rights, left

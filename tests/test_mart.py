@@ -8,9 +8,11 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from refinery.__main__ import arguments, run
 from refinery.plans import gold, mart, reports, silver
 from refinery.schemas import BRONZE, GOLD, SILVER, mismatches
 from refinery.sinks import tables
+from refinery.sources import delimited
 
 D = dt.date
 AS_OF = D(2025, 1, 1)
@@ -187,3 +189,18 @@ def test_open_version_filter_reaches_the_scan(spark, gold_database):
     text = versions.filter(F.col("prd_end_dt").isNull())._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNull(prd_end_dt)]" in text
     assert tables.with_months(spark.createDataFrame([(None,)], "order_date date")).first().year is None
+
+
+def test_jobs_from_the_command_line(spark, raw, tmp_path):
+    for name, df in raw.items():
+        delimited.write(df, f"{tmp_path}/raw/{name}")
+        df.write.parquet(f"{tmp_path}/raw_parquet/{name}")
+    found = []
+    for kind, folder in (("csv", "raw"), ("parquet", "raw_parquet")):
+        run(spark, arguments(["silver", "--raw", f"{tmp_path}/{folder}", "--format", kind, "--root", f"{tmp_path}/{kind}/silver",
+                              "--database", f"job_silver_{kind}", "--as-of", "2025-01-01"]))
+        run(spark, arguments(["gold", "--silver-database", f"job_silver_{kind}", "--root", f"{tmp_path}/{kind}/gold",
+                              "--database", f"job_gold_{kind}"]))
+        found.append([rows(spark.table(f"job_gold_{kind}.{name}")) for name in GOLD])
+    assert found[0] == found[1]
+    assert [len(table) for table in found[0]] == [3, 2, 5]

@@ -40,10 +40,14 @@ def test_left_join_is_the_plain_left_join(tables, rows_per_task, spread):
 
 
 def test_heavy_keys_counts_null_too(tables):
-    left = tables[0]
-    counts = {row["k"]: row["count"] for row in left.groupBy("k").count().collect()}
-    assert heavy_keys(left, "k", 10) == {key: n for key, n in counts.items() if n > 10}
-    assert None in heavy_keys(left, "k", 10)
+    left, right, _ = tables
+
+    def heavy(df, key):
+        return {row[key]: row["count"] for row in df.groupBy(key).count().collect() if row["count"] > 10}
+
+    found = heavy_keys({"left": left.select("k"), "right": right.select("k1")}, 10)
+    assert found == {"left": heavy(left, "k"), "right": heavy(right, "k1")}
+    assert None in found["left"]
 
 
 def test_parts_of_a_hot_key_go_to_different_tasks(spark, tables):

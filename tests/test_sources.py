@@ -140,3 +140,8 @@ def test_catalog_read_checks_the_schema(spark):
     spark.range(1).write.mode("overwrite").saveAsTable("sources_test.t")
     with pytest.raises(ValueError, match="id: declared int, found id bigint"):
         catalog.read(spark, "sources_test", {"t": table(id=INT)})
+
+
+def test_views_answer_sql(spark):
+    catalog.register_views({"t": spark.range(3)}, prefix="bronze_")
+    assert spark.sql("SELECT sum(id) FROM bronze_t").first()[0] == 3
