@@ -18,7 +18,7 @@ RAW_SQL = {
                CASE (c_custkey + v) % 5 WHEN 0 THEN 'f ' WHEN 1 THEN 'M' WHEN 2 THEN NULL ELSE 'U' END AS cst_gndr,
                CASE WHEN c_custkey % 41 = 0 AND v = 1 THEN NULL
                     ELSE DATE '2020-01-01' + CAST(c_custkey % 365 + v AS INT) END AS cst_create_date
-        FROM (SELECT *, {versions} AS v FROM customer) t""",
+        FROM (SELECT *, {versions} AS v FROM {customer}) t""",
     "crm_prd_info": """
         SELECT CAST(p_partkey * 3 + v AS INT) AS prd_id,
                concat(substr(p_type, 1, 2), '-', lpad(substr(p_brand, 7), 2, '0'),
@@ -29,7 +29,7 @@ RAW_SQL = {
                     ELSE 'Z' END AS prd_line,
                CAST(DATE '2011-07-01' + CAST(v * 365 AS INT) AS TIMESTAMP) AS prd_start_dt,
                CAST(DATE '2007-01-01' AS TIMESTAMP) AS prd_end_dt
-        FROM (SELECT *, {versions} AS v FROM part) t""",
+        FROM (SELECT *, {versions} AS v FROM {part}) t""",
     "crm_sales_details": """
         SELECT concat('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num,
                concat('P-', lpad(CAST(l_partkey AS STRING), 6, CASE WHEN l_partkey % 89 = 0 THEN 'X' ELSE '0' END)) AS sls_prd_key,
@@ -44,19 +44,20 @@ RAW_SQL = {
                CASE WHEN l_orderkey % 113 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS sls_quantity,
                CASE l_orderkey % 17 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN -CAST(floor(l_extendedprice / l_quantity) AS INT)
                     ELSE CAST(floor(l_extendedprice / l_quantity) AS INT) END AS sls_price
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "erp_loc_a101": """
-        SELECT concat('AW-', lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
+        SELECT concat(CASE WHEN c_custkey % 29 = 0 THEN 'XW-' ELSE 'AW-' END, lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
                CASE c_custkey % 8 WHEN 0 THEN 'DE' WHEN 1 THEN ' US' WHEN 2 THEN 'USA' WHEN 3 THEN '' WHEN 4 THEN '   '
                     WHEN 5 THEN NULL WHEN 6 THEN 'France ' ELSE 'de' END AS cntry
-        FROM customer WHERE c_custkey % 29 <> 0""",
+        FROM {customer}""",
     "erp_cust_az12": """
-        SELECT concat(CASE WHEN c_custkey % 2 = 0 THEN 'NASAW' ELSE 'AW' END, lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
+        SELECT concat(CASE WHEN c_custkey % 31 = 0 THEN 'XW' WHEN c_custkey % 2 = 0 THEN 'NASAW' ELSE 'AW' END,
+                      lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
                CASE WHEN c_custkey % 53 = 0 THEN DATE '9999-01-01' WHEN c_custkey % 59 = 0 THEN NULL
                     ELSE DATE '1950-01-01' + CAST(c_custkey % 20000 AS INT) END AS bdate,
                CASE c_custkey % 6 WHEN 0 THEN ' f' WHEN 1 THEN 'Male ' WHEN 2 THEN 'FEMALE' WHEN 3 THEN 'm' WHEN 4 THEN NULL
                     ELSE '' END AS gen
-        FROM customer WHERE c_custkey % 31 <> 0""",
+        FROM {customer}""",
     "erp_px_cat_g1v2": """
         SELECT DISTINCT
                concat(substr(p_type, 1, 2), CASE WHEN CAST(substr(p_brand, 7) AS INT) % 7 = 0 THEN '-' ELSE '_' END,
@@ -64,27 +65,25 @@ RAW_SQL = {
                p_type AS cat,
                p_brand AS subcat,
                CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
-        FROM part""",
+        FROM {part}""",
 }
 MORE_VERSIONS = {
     "crm_cust_info": "CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END",
     "crm_prd_info": "p_partkey % 3",
 }
-DERIVED_FROM = {
-    "crm_cust_info": ["customer"],
-    "crm_prd_info": ["part"],
-    "crm_sales_details": ["lineitem", "orders"],
-    "erp_loc_a101": ["customer"],
-    "erp_cust_az12": ["customer"],
-    "erp_px_cat_g1v2": ["part"],
-}
+GIVEN = ["customer", "part", "orders", "lineitem"]
 
 
 def raw_sql(name: str, repeat: str) -> str:
-    """The text for one engine; ``repeat`` turns the number of further versions into one row per version."""
-    if name not in MORE_VERSIONS:
-        return RAW_SQL[name]
-    return RAW_SQL[name].format(versions=repeat.format(MORE_VERSIONS[name]))
+    """The text of a table, given tables in braces; ``repeat`` turns a number of further versions into one row each."""
+    return RAW_SQL[name].replace("{versions}", repeat.format(MORE_VERSIONS.get(name)))
+
+
+def duckdb_sql(name: str) -> str:
+    text = raw_sql(name, "unnest(range(0, CAST({} AS INT) + 1))")
+    for table in GIVEN:
+        text = text.replace(f"{{{table}}}", table)
+    return text
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,11 +92,10 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """Raw extracts by name; all six if none is named."""
-    names = names or tuple(RAW_SQL)
-    for table in {table for name in names for table in DERIVED_FROM[name]}:
-        given(spark, sf_dir, table).createOrReplaceTempView(table)
-    tables = {}
-    for name in names:
-        rows = spark.sql(raw_sql(name, "explode(sequence(0, CAST({} AS INT)))"))
-        tables[name] = rows.to(BRONZE[name])
-    return tables
+    texts = {name: raw_sql(name, "explode(sequence(0, CAST({} AS INT)))") for name in names or RAW_SQL}
+    tables = {table: given(spark, sf_dir, table) for table in GIVEN if any(f"{{{table}}}" in t for t in texts.values())}
+    found = {}
+    for name, text in texts.items():
+        read = {table: df for table, df in tables.items() if f"{{{table}}}" in text}
+        found[name] = spark.sql(text, **read).to(BRONZE[name])
+    return found

@@ -46,11 +46,11 @@ def in_order(df: DataFrame, order: Sequence[Column], stored: bool = False) -> Da
 def dense_key(df: DataFrame, order: Sequence[Column], name: str, stored: bool = False) -> DataFrame:
     """Adds the bigint column ``name``: 1..N in the given order, as one global ``row_number`` would."""
     placed = in_order(df, order, stored)
-    # One row per partition of the sort, so this window and the broadcast below stay small.
+    # One row per partition of the sort, so this window and the broadcast below stay small. Pinned, so that
+    # the rows are counted once and not by every query on the result.
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
+    sizes = placed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = pin(sizes.select("_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))
     row_in_chunk = F.col("_at").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
     return placed.join(F.broadcast(starts), "_chunk").select(
         *df.columns, (F.col("_start") + row_in_chunk + 1).alias(name)

@@ -82,13 +82,10 @@ def test_in_order_cuts_a_group_of_copies(spark):
     assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
-def test_dense_key_leaves_no_row_in_a_single_task(spark, plan):
-    keyed = dense_key(hot(spark), [F.col("k")], "key")
-    text = plan(keyed)
-    # The only single-partition exchange numbers the partitions themselves, below an aggregate.
-    assert text.count("SinglePartition") == 1
-    assert "HashAggregate" in text[text.index("SinglePartition"):]
-    assert "BroadcastHashJoin" in text
+def test_dense_key_is_a_scan_of_its_pinned_rows(spark, plan):
+    text = plan(dense_key(hot(spark), [F.col("k")], "key"))
+    assert "SinglePartition" not in text and "hashpartitioning" not in text
+    assert text.count("BroadcastHashJoin") == 1 and "Window" not in text
 
 
 @pytest.mark.parametrize("total", [1, 4, 5, 7, 23, 1000])
