@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import ROWS_PER_TASK, heavy_keys
+from refinery.operators.skew import LIMITS, Limits, heavy_keys
 from refinery.operators.storage import pin
 from refinery.schemas import columns_but
 
@@ -73,18 +73,19 @@ def with_neighbours(
     key: str,
     order: Sequence[Column],
     take: Mapping[str, tuple[str, int]],
-    rows_per_task: int = ROWS_PER_TASK,
+    limits: Limits = LIMITS,
+    stored: bool = False,
 ) -> DataFrame:
     """Adds columns taken from the next (+1) or the previous (-1) row of the same key: ``{new: (column, step)}``.
 
-    The rows of heavy keys are put in one global order instead of into one task per key.
+    The rows of heavy keys are put in one global order (see ``in_order``) instead of into one task per key.
     """
-    heavy = heavy_keys({key: df.select(key)}, rows_per_task)[key]
+    heavy = heavy_keys({key: df.select(key)}, limits)[key]
     if not heavy:
         return _neighbours_by_window(df, key, order, take)
     is_heavy = F.coalesce(F.col(key).isin([value for value in heavy if value is not None]), F.lit(None in heavy))
     light = _neighbours_by_window(df.filter(~is_heavy), key, order, take)
-    return light.unionByName(_neighbours_by_place(df.filter(is_heavy), key, order, take))
+    return light.unionByName(_neighbours_by_place(df.filter(is_heavy), key, order, take, stored))
 
 
 def _neighbours_by_window(df, key, order, take) -> DataFrame:
@@ -92,8 +93,8 @@ def _neighbours_by_window(df, key, order, take) -> DataFrame:
     return df.withColumns({new: F.lag(column, -step).over(rows) for new, (column, step) in take.items()})
 
 
-def _neighbours_by_place(df, key, order, take) -> DataFrame:
-    placed = in_order(df, [F.col(key), *order]).withColumn(
+def _neighbours_by_place(df, key, order, take, stored) -> DataFrame:
+    placed = in_order(df, [F.col(key), *order], stored).withColumn(
         "_row", F.struct(F.col(key).alias("key"), *[F.col(c).alias(new) for new, (c, _) in take.items()])
     )
     # The first and the last row of each partition of the sort: two rows per partition, small enough to broadcast.
@@ -124,11 +125,17 @@ def _neighbours_by_place(df, key, order, take) -> DataFrame:
 
 
 def close_versions(
-    df: DataFrame, key: str, start: str, end: str, ties: Sequence[Column], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    key: str,
+    start: str,
+    end: str,
+    ties: Sequence[Column],
+    limits: Limits = LIMITS,
+    stored: bool = False,
 ) -> DataFrame:
     """Sets ``end`` to the day before the next version of the key starts, NULL for the last; cuts ``start`` to a day."""
     order = [F.col(start).asc_nulls_first(), *ties]
-    followed = with_neighbours(df, key, order, {"_next_start": (start, 1)}, rows_per_task)
+    followed = with_neighbours(df, key, order, {"_next_start": (start, 1)}, limits, stored)
     return followed.withColumns(
         {start: F.col(start).cast("date"), end: F.date_sub(F.col("_next_start").cast("date"), 1)}
     ).drop("_next_start")

@@ -1,6 +1,7 @@
 """Keys that hold too many rows for one task, and a left join that stays spread out over them."""
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
@@ -10,11 +11,21 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from refinery.operators.storage import pin
 
-ROWS_PER_TASK = 1_000_000
 MOST_HEAVY_KEYS = 10_000
 
 
-def heavy_keys(keys: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK) -> dict[str, dict]:
+@dataclass(frozen=True)
+class Limits:
+    """``rows_per_task``: rows of one key that a task may hold. ``broadcast_bytes``: largest table sent to every task."""
+
+    rows_per_task: int = 1_000_000
+    broadcast_bytes: int = 64 * 1024 * 1024
+
+
+LIMITS = Limits()
+
+
+def heavy_keys(keys: Mapping[str, DataFrame], limits: Limits = LIMITS) -> dict[str, dict]:
     """For each table of ``keys``, given as its key column alone: the keys (NULL too) with more than
     ``rows_per_task`` rows, and how many rows they have.
 
@@ -24,45 +35,71 @@ def heavy_keys(keys: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
     """
     named = [df.select(F.lit(name).alias("name"), F.col(df.columns[0]).alias("key")) for name, df in keys.items()]
     counts = reduce(DataFrame.unionByName, named).groupBy("name", "key").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n")).limit(MOST_HEAVY_KEYS)
+    largest = counts.filter(F.col("n") > limits.rows_per_task).orderBy(F.desc("n")).limit(MOST_HEAVY_KEYS)
     heavy = {name: {} for name in keys}
     for name, key, n in largest.collect():
         heavy[name][key] = n
     return heavy
 
 
+def small_tables(tables: Mapping[str, DataFrame], limits: Limits = LIMITS) -> set[str]:
+    """Names of the tables whose values, written out, take no more than ``broadcast_bytes``."""
+
+    def size(df):
+        texts = [F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)) + 8 for column in df.columns]
+        return F.coalesce(F.sum(reduce(Column.__add__, texts)), F.lit(0))
+
+    sizes = [df.agg(F.lit(name).alias("name"), size(df).alias("bytes")) for name, df in tables.items()]
+    return {
+        name for name, size in reduce(DataFrame.unionByName, sizes).collect() if size <= limits.broadcast_bytes
+    }
+
+
 def left_join(
     left: DataFrame,
     left_key: str,
     rights: Mapping[str, DataFrame],
     spread: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """``left`` left-joined to each table of ``rights`` (named by its key column) on ``left_key``.
 
-    Without heavy keys this is the plain chain of left joins, with one shuffle of the left side for all of
-    them. The rows of a heavy key are cut into parts, each part of one side meets each part of the other
-    sides once, and every combination of parts is a join key of its own.
+    Tables found to be small are broadcast. For the others, without heavy keys this is the plain chain of
+    left joins, with one shuffle of the left side for all of them. The rows of a heavy key are cut into
+    parts, each part of one side meets each part of the other sides once, and every combination of parts is a
+    join key of its own.
 
     ``spread`` is an expression over the left row that cuts the left rows of a heavy key; without it they are
     left to Spark's own skew join, which can split the left side of a left join but never the right. The
     right rows of a heavy key are cut by position, so that copies part too, and pinned first: a position must
     be the same if a task is run again.
     """
+    columns = [*left.columns, *[column for df in rights.values() for column in df.columns]]
     rights = {name: df.filter(F.col(name).isNotNull()) for name, df in rights.items()}
+    small = small_tables(rights, limits)
+    large = {name: df for name, df in rights.items() if name not in small}
+    if large:
+        left = _join_large(left, left_key, large, spread, limits)
+    for name in rights:
+        if name in small:
+            left = left.join(F.broadcast(rights[name]), F.col(left_key) == F.col(name), "left")
+    return left.select(*columns)
+
+
+def _join_large(left, left_key, rights, spread, limits) -> DataFrame:
     keys = {name: df.select(name) for name, df in rights.items()}
     if spread is not None:
         keys[left_key] = left.select(left_key)
-    heavy = heavy_keys(keys, rows_per_task)
+    heavy = heavy_keys(keys, limits)
     if not any(heavy.values()):
         return reduce(
             lambda df, name: df.join(rights[name], F.col(left_key) == F.col(name), "left"), rights, left
         )
 
     sides = [left_key, *rights]
-    parts = _parts_table(left, left_key, sides, heavy, rows_per_task)
-    cut_left = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
-    joined, lost = cut_left, F.lit(False)
+    parts = _parts_table(left, left_key, sides, heavy, limits)
+    joined = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
+    lost = F.lit(False)
     for name, right in rights.items():
         numbered = _with_position(right, F.col(name).isin([*heavy[name]]))
         pieces = _cut(numbered, name, parts, sides, F.col("_position")).drop("_position", *map(_total, sides))
@@ -71,7 +108,7 @@ def left_join(
         joined = joined.join(pieces, reduce(Column.__and__, same, F.col(left_key) == F.col(name)), "left")
         # A key cut on the right has a match there, so a copy of the left row that met none is surplus.
         lost = lost | ((F.col(_total(name)) > 1) & F.col(name).isNull())
-    return joined.filter(~lost).select(*left.columns, *[c for df in rights.values() for c in df.columns])
+    return joined.filter(~lost)
 
 
 def _part(side: str) -> str:
@@ -82,10 +119,12 @@ def _total(side: str) -> str:
     return f"_parts_{side}"
 
 
-def _parts_table(left, left_key, sides, heavy, rows_per_task) -> DataFrame:
+def _parts_table(left, left_key, sides, heavy, limits) -> DataFrame:
     """One row per heavy key: into how many parts each side cuts it."""
     keys = {key for found in heavy.values() for key in found}
-    rows = [(key, *[max(1, ceil(heavy.get(s, {}).get(key, 1) / rows_per_task)) for s in sides]) for key in keys]
+    rows = [
+        (key, *[max(1, ceil(heavy.get(side, {}).get(key, 1) / limits.rows_per_task)) for side in sides]) for key in keys
+    ]
     schema = StructType([StructField("_heavy", left.schema[left_key].dataType)])
     for side in sides:
         schema = schema.add(_total(side), IntegerType())
@@ -99,7 +138,7 @@ def _with_position(right: DataFrame, is_heavy: Column) -> DataFrame:
 
 def _cut(df, key, parts, sides, by: Column) -> DataFrame:
     """Gives each row its own part and copies it to all parts of the other sides."""
-    # parts has at most MOST_HEAVY_KEYS rows per side.
+    # parts has at most MOST_HEAVY_KEYS rows.
     df = df.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
     df = df.withColumns({_total(side): F.coalesce(_total(side), F.lit(1)) for side in sides})
     for side in sides:

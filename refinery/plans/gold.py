@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from refinery.functions.codes import first_known
 from refinery.operators.ordering import ascending, dense_key
-from refinery.operators.skew import ROWS_PER_TASK, left_join
+from refinery.operators.skew import LIMITS, Limits, left_join
 
 
 def dim_customers(
-    customers: DataFrame, demographics: DataFrame, locations: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    customers: DataFrame, demographics: DataFrame, locations: DataFrame, limits: Limits = LIMITS
 ) -> DataFrame:
     """Customers with what the ERP knows about them; a customer the ERP knows twice appears twice."""
     erp = {
@@ -17,7 +17,7 @@ def dim_customers(
         "locations_cid": locations.withColumnRenamed("cid", "locations_cid"),
     }
     # cst_id is unique, so its hash cuts up any group of customers that share a key or have none.
-    joined = left_join(customers, "cst_key", erp, F.xxhash64("cst_id"), rows_per_task)
+    joined = left_join(customers, "cst_key", erp, F.xxhash64("cst_id"), limits)
     rows = joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -32,10 +32,10 @@ def dim_customers(
     return dense_key(rows, [F.col("customer_id").asc_nulls_first(), *ascending(rows, "customer_id")], "customer_key")
 
 
-def dim_products(versions: DataFrame, categories: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def dim_products(versions: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """The open version of each product, with its category."""
     current = versions.filter(F.col("prd_end_dt").isNull())
-    joined = left_join(current, "cat_id", {"id": categories}, rows_per_task=rows_per_task)
+    joined = left_join(current, "cat_id", {"id": categories}, limits=limits)
     rows = joined.select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
@@ -53,7 +53,7 @@ def dim_products(versions: DataFrame, categories: DataFrame, rows_per_task: int
 
 
 def fact_sales(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    sales: DataFrame, products: DataFrame, customers: DataFrame, limits: Limits = LIMITS
 ) -> DataFrame:
     """Every sale with the keys of its product and its customer, NULL where there is none.
 
@@ -61,8 +61,8 @@ def fact_sales(
     """
     product_keys = products.select("product_number", "product_key")
     customer_keys = customers.select("customer_id", "customer_key")
-    keyed = left_join(sales, "sls_prd_key", {"product_number": product_keys}, rows_per_task=rows_per_task)
-    keyed = left_join(keyed, "sls_cust_id", {"customer_id": customer_keys}, rows_per_task=rows_per_task)
+    keyed = left_join(sales, "sls_prd_key", {"product_number": product_keys}, limits=limits)
+    keyed = left_join(keyed, "sls_cust_id", {"customer_id": customer_keys}, limits=limits)
     return keyed.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.operators.ordering import ascending, dense_key, tile, with_neighbours
-from refinery.operators.skew import ROWS_PER_TASK
+from refinery.operators.skew import LIMITS, Limits, left_join
 from refinery.operators.storage import pin
 
 SCORES = 5
@@ -36,11 +36,11 @@ def rfm_segments(fact: DataFrame, as_of: dt.date) -> DataFrame:
     return scored.withColumn("segment", F.concat_ws("-", *scores))
 
 
-def price_history(versions: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def price_history(versions: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Each version of each product: when it held, its cost, and the change from the version before."""
     order = [F.col("prd_start_dt").asc_nulls_first(), F.col("prd_id").asc_nulls_last()]
     order += ascending(versions, "prd_key", "prd_start_dt", "prd_id")
-    return with_neighbours(versions, "prd_key", order, {"previous_cost": ("prd_cost", -1)}, rows_per_task).select(
+    return with_neighbours(versions, "prd_key", order, {"previous_cost": ("prd_cost", -1)}, limits).select(
         F.col("prd_key").alias("product_number"),
         F.col("prd_id").alias("product_id"),
         F.col("prd_start_dt").alias("start_date"),
@@ -71,9 +71,11 @@ def kpis_by_month(fact: DataFrame) -> DataFrame:
     return sales_kpis(fact, "year", "month")
 
 
-def kpis_by_country(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    return sales_kpis(fact.join(customers.select("customer_key", "country"), "customer_key", "left"), "country")
+def kpis_by_country(fact: DataFrame, customers: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    countries = customers.select(F.col("customer_key").alias("known_customer"), "country")
+    return sales_kpis(left_join(fact, "customer_key", {"known_customer": countries}, limits=limits), "country")
 
 
-def kpis_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
-    return sales_kpis(fact.join(products.select("product_key", "category"), "product_key", "left"), "category")
+def kpis_by_category(fact: DataFrame, products: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    categories = products.select(F.col("product_key").alias("known_product"), "category")
+    return sales_kpis(left_join(fact, "product_key", {"known_product": categories}, limits=limits), "category")

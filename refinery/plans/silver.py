@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions import amounts, codes, dates, keys
 from refinery.operators.ordering import ascending, close_versions, latest_per_key
+from refinery.operators.skew import LIMITS, Limits
 
 
 def customers(raw: DataFrame) -> DataFrame:
@@ -19,8 +20,11 @@ def customers(raw: DataFrame) -> DataFrame:
     })
 
 
-def products(raw: DataFrame) -> DataFrame:
-    """Every version of every product, each ending the day before the next one of the same product starts."""
+def products(raw: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Every version of every product, each ending the day before the next one of the same product starts.
+
+    ``raw`` has to be a scan of raw files or a plain projection of one.
+    """
     full_key = F.col("prd_key")
     versions = raw.select(
         "prd_id",
@@ -32,7 +36,7 @@ def products(raw: DataFrame) -> DataFrame:
         "prd_start_dt",
     )
     ties = [F.col("prd_id").asc_nulls_last(), *ascending(versions, "prd_id", "prd_key", "prd_start_dt")]
-    return close_versions(versions, "prd_key", "prd_start_dt", "prd_end_dt", ties)
+    return close_versions(versions, "prd_key", "prd_start_dt", "prd_end_dt", ties, limits, stored=True)
 
 
 def sales(raw: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from refinery.__main__ import arguments, run
+from refinery.operators.skew import Limits
 from refinery.plans import gold, mart, reports, silver
 from refinery.schemas import BRONZE, GOLD, SILVER, mismatches
 from refinery.sinks import tables
@@ -146,7 +147,7 @@ def test_dimensions_and_fact_with_hot_keys(spark, tmp_path, rows_per_task):
     demographics = stored("d", spark.range(0, 45, 1, 4).select(erp_key.alias("cid"), F.lit(AS_OF).alias("bdate"), F.lit("Male").alias("gen")))
     locations = stored("l", spark.range(0, 30, 1, 4).select(
         F.when(i % 3 == 0, "AW1").otherwise(F.concat(F.lit("AW"), (i % 25).cast("string"))).alias("cid"), (i % 4).cast("string").alias("cntry")))
-    dim = gold.dim_customers(customers, demographics, locations, rows_per_task)
+    dim = gold.dim_customers(customers, demographics, locations, Limits(rows_per_task, 0))
     plain = customers.alias("c").join(demographics.alias("d"), F.col("c.cst_key") == F.col("d.cid"), "left") \
         .join(locations.alias("l"), F.col("c.cst_key") == F.col("l.cid"), "left")
     assert rows(dim.select("customer_id", "birthdate", "country")) == rows(plain.select("c.cst_id", "d.bdate", "l.cntry"))
@@ -161,7 +162,7 @@ def test_dimensions_and_fact_with_hot_keys(spark, tmp_path, rows_per_task):
         *[F.lit(AS_OF).alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")],
         F.lit(1).alias("sls_sales"), F.lit(1).alias("sls_quantity"), F.lit(1.0).alias("sls_price"))
     products = stored("p", products)
-    fact = gold.fact_sales(sales, products, keys, rows_per_task)
+    fact = gold.fact_sales(sales, products, keys, Limits(rows_per_task, 0))
     expected = sales.join(products, F.col("sls_prd_key") == F.col("product_number"), "left") \
         .join(keys, F.col("sls_cust_id") == F.col("customer_id"), "left")
     assert rows(fact, "order_number", "product_key", "customer_key") == rows(expected, "sls_ord_num", "product_key", "customer_key")
@@ -173,8 +174,8 @@ def test_versions_of_a_hot_product(spark):
         i.cast("int").alias("prd_id"), F.when(i % 3 == 0, "AC-HE-P-0").otherwise(F.concat(F.lit("AC-HE-P-"), (i % 50).cast("string"))).alias("prd_key"),
         F.lit("n").alias("prd_nm"), i.cast("int").alias("prd_cost"), F.lit("m").alias("prd_line"),
         F.when(i % 4 > 0, F.timestamp_seconds(i % 30 * 40_000)).alias("prd_start_dt"))
-    clean = silver.products(versions)
-    near = [rows(reports.price_history(clean, n)) for n in (1_000_000, 20)]
+    limits = Limits(), Limits(20)
+    near = [rows(reports.price_history(silver.products(versions, limit), limit)) for limit in limits]
     assert near[0] == near[1]
 
 

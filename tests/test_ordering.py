@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from refinery.operators.ordering import (
     close_versions, dense_key, in_order, latest_per_key, tile, with_neighbours,
 )
+from refinery.operators.skew import Limits
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 DAY = dt.date
@@ -98,7 +99,7 @@ def test_tile_is_ntile(spark, total):
 def test_neighbours_of_light_and_heavy_keys(spark, rows_per_task):
     df = hot(spark, 6000).withColumn("o", F.monotonically_increasing_id() % 40)
     order = [F.col("o"), F.col("v").asc_nulls_first()]
-    near = with_neighbours(df, "k", order, {"next": ("o", 1), "before": ("v", -1)}, rows_per_task)
+    near = with_neighbours(df, "k", order, {"next": ("o", 1), "before": ("v", -1)}, Limits(rows_per_task))
     window = Window.partitionBy("k").orderBy(*order)
     expected = df.withColumns({"next": F.lead("o").over(window), "before": F.lag("v").over(window)})
     assert rows(near) == rows(expected)
@@ -122,7 +123,7 @@ VERSIONS = [
 def test_close_versions_rule_table(spark, rows_per_task):
     df = spark.createDataFrame([row[:3] for row in VERSIONS], "k string, s string, i int")
     df = df.withColumn("s", F.col("s").cast("timestamp"))
-    closed = close_versions(df, "k", "s", "e", [F.col("i")], rows_per_task)
+    closed = close_versions(df, "k", "s", "e", [F.col("i")], Limits(rows_per_task))
     found = {row.i: (row.k, row.s, row.e) for row in closed.collect()}
     assert found == {row[2]: (row[0], row[3], row[4]) for row in VERSIONS}
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import heavy_keys, left_join
+from refinery.operators.skew import Limits, heavy_keys, left_join, small_tables
 
 
 @pytest.fixture(scope="module")
@@ -30,11 +30,12 @@ def tables(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("rows_per_task", [1_000_000, 20, 4, 1])
 @pytest.mark.parametrize("spread", [True, False])
-def test_left_join_is_the_plain_left_join(tables, rows_per_task, spread):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1900, 1_000_000])
+def test_left_join_is_the_plain_left_join(tables, rows_per_task, spread, broadcast_bytes):
     left, r1, r2 = tables
     by = F.xxhash64("id") if spread else None
     expected = left.join(r1, F.col("k") == F.col("k1"), "left").join(r2, F.col("k") == F.col("k2"), "left")
-    joined = left_join(left, "k", {"k1": r1, "k2": r2}, by, rows_per_task)
+    joined = left_join(left, "k", {"k1": r1, "k2": r2}, by, Limits(rows_per_task, broadcast_bytes))
     assert joined.columns == ["id", "k", "k1", "a", "k2", "b"]
     assert rows(joined) == rows(expected)
 
@@ -45,7 +46,7 @@ def test_heavy_keys_counts_null_too(tables):
     def heavy(df, key):
         return {row[key]: row["count"] for row in df.groupBy(key).count().collect() if row["count"] > 10}
 
-    found = heavy_keys({"left": left.select("k"), "right": right.select("k1")}, 10)
+    found = heavy_keys({"left": left.select("k"), "right": right.select("k1")}, Limits(10))
     assert found == {"left": heavy(left, "k"), "right": heavy(right, "k1")}
     assert None in found["left"]
 
@@ -58,8 +59,8 @@ def test_parts_of_a_hot_key_go_to_different_tasks(spark, tables):
         def tasks_of_key_one(joined):
             return joined.filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
 
-        assert tasks_of_key_one(left_join(left, "k", {"k1": r1})) == 1
-        assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, F.xxhash64("id"), 5)) >= 5
+        assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, limits=Limits(broadcast_bytes=0))) == 1
+        assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, F.xxhash64("id"), Limits(5, 0))) >= 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -69,7 +70,7 @@ def test_joins_without_heavy_keys_share_the_shuffle_of_the_left_side(spark, tabl
     left, r1, r2 = tables
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(left_join(left, "k", {"k1": r1, "k2": r2}, F.xxhash64("id")))
+        text = plan(left_join(left, "k", {"k1": r1, "k2": r2}, F.xxhash64("id"), Limits(broadcast_bytes=0)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("SortMergeJoin") == 2 and text.count("Exchange") == 3
@@ -94,7 +95,7 @@ def test_spark_splits_a_hot_key_of_the_left_side_at_run_time(spark, tmp_path):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        joined = left_join(left, "k", {"k1": right})
+        joined = left_join(left, "k", {"k1": right}, limits=Limits(broadcast_bytes=0))
         assert joined.count() == 400_000
         run = joined.agg(F.count("text"), F.sum("v"))
         run.collect()
@@ -102,3 +103,17 @@ def test_spark_splits_a_hot_key_of_the_left_side_at_run_time(spark, tmp_path):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_only_tables_of_a_checked_size_are_broadcast(spark, tables, plan):
+    left, r1, r2 = tables
+    sizes = {"k1": 1500, "k2": 1000}  # both between these and twice as much
+    assert small_tables({"k1": r1, "k2": r2}, Limits(broadcast_bytes=sizes["k2"] // 4)) == set()
+    assert small_tables({"k1": r1, "k2": r2}, Limits(broadcast_bytes=2 * sizes["k1"])) == {"k1", "k2"}
+    assert small_tables({"empty": r1.filter("k1 > 1000")}, Limits(broadcast_bytes=0)) == {"empty"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(left_join(left, "k", {"k1": r1, "k2": r2}))
+        assert text.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
