@@ -39,7 +39,7 @@ def quality(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write(df: DataFrame, path: str) -> None:
-    """Replaces the files under ``path``, in the form that ``scan`` reads."""
+    """Replaces the files under ``path``, in the form that ``scan`` reads; values must not hold line breaks."""
     df.write.mode("overwrite").options(
         delimiter=DELIMITER, nullValue=NULL_TEXT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
