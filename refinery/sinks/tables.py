@@ -2,6 +2,7 @@
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +37,14 @@ def ensure_database(spark: SparkSession, name: str, path: str | None = None) ->
 
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
-    """Creates the table over the files if there is none; a table with other columns is an error, not ignored."""
+    """Creates the table over the files if there is none; a table with other columns or files is an error, not ignored."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING PARQUET LOCATION '{path}'")
     wrong = mismatches(spark.table(name).schema, schema)
     if wrong:
         raise ValueError(f"table {name} exists with another schema: " + "; ".join(wrong))
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+    if not urlparse(location).path.rstrip("/").endswith(urlparse(path).path.rstrip("/")):
+        raise ValueError(f"table {name} exists over other files: {location}")
     spark.catalog.refreshTable(name)
 
 

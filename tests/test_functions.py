@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from refinery.functions import amounts, codes, dates, keys
@@ -122,3 +125,22 @@ def test_amounts_and_prices(spark):
     assert repaired.schema["a"].dataType.simpleString() == "int"
     assert repaired.schema["b"].dataType.simpleString() == "double"
     assert [(row.a, row.b) for row in repaired.orderBy("i").collect()] == [row[3:] for row in AMOUNTS]
+
+
+FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+TEXTS = st.lists(st.none() | st.text(st.sampled_from("fFmMsSdeDEuUaA \t"), max_size=6), min_size=1, max_size=50)
+
+
+@FEW
+@given(TEXTS)
+@pytest.mark.parametrize("labels", [codes.MARITAL_STATUS, codes.CRM_GENDER, codes.ERP_GENDER, codes.PRODUCT_LINE])
+def test_codes_become_a_listed_label(spark, labels, values):
+    found = results(spark, "string", values, lambda c: codes.standard_code(c, labels))
+    expected = [codes.UNKNOWN if value is None else labels.get(value.strip(" ").upper(), codes.UNKNOWN) for value in values]
+    assert found == expected
+
+
+@FEW
+@given(TEXTS)
+def test_country_is_never_missing_or_blank(spark, values):
+    assert all(country and country.strip(" ") for country in results(spark, "string", values, codes.standard_country))

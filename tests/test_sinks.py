@@ -111,6 +111,13 @@ def test_a_table_with_other_columns_is_an_error(spark, database, tmp_path):
         tables.refresh(spark.createDataFrame([("x",)], table(id=STRING)), database, "t", table(id=INT), f"{tmp_path}/t")
 
 
+def test_a_table_over_other_files_is_an_error(spark, database, tmp_path):
+    schema = table(id=INT)
+    tables.refresh(spark.createDataFrame([(1,)], schema), database, "t", schema, f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="over other files"):
+        tables.refresh(spark.createDataFrame([(1,)], schema), database, "t", schema, f"{tmp_path}/elsewhere")
+
+
 def test_replace_takes_the_new_schema(spark, database, tmp_path):
     for schema, row in ((table(id=INT), (1,)), (table(id=INT, t=STRING), (1, "a"))):
         tables.write_files(spark.createDataFrame([row], schema), f"{tmp_path}/t")
