@@ -2,10 +2,12 @@
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.plans import gold, silver
+from refinery.plans.together import together
 from refinery.schemas import GOLD, SILVER
 from refinery.sinks import tables
 from refinery.sources import catalog
@@ -15,18 +17,27 @@ def refresh_silver(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, database: str = "silver", as_of: dt.date | None = None
 ) -> None:
     tables.ensure_database(spark, database, root)
-    for name, rows in silver.build(raw, as_of).items():
-        tables.refresh(rows, database, name, SILVER[name], f"{root}/{name}")
+
+    def refresh(name: str) -> None:
+        tables.refresh(silver.build(name, raw[name], as_of), database, name, SILVER[name], f"{root}/{name}")
+
+    together(spark, [partial(refresh, name) for name in SILVER])
 
 
 def refresh_gold(spark: SparkSession, silver_database: str, root: str, database: str = "gold") -> None:
     """The fact comes last and reads the dimensions just published, so their keys always agree."""
     tables.ensure_database(spark, database, root)
     clean = catalog.read(spark, silver_database, SILVER)
-    customers = gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"])
-    tables.publish_dimension(customers, database, "dim_customers", f"{root}/dim_customers")
-    products = gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"])
-    tables.publish_dimension(products, database, "dim_products", f"{root}/dim_products")
+
+    def customers() -> None:
+        rows = gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"])
+        tables.publish_dimension(rows, database, "dim_customers", f"{root}/dim_customers")
+
+    def products() -> None:
+        rows = gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"])
+        tables.publish_dimension(rows, database, "dim_products", f"{root}/dim_products")
+
+    together(spark, [customers, products])
     published = catalog.read(spark, database, GOLD, "dim_customers", "dim_products")
     fact = gold.fact_sales(clean["crm_sales_details"], published["dim_products"], published["dim_customers"])
     tables.publish_fact(fact, database, "fact_sales", f"{root}/fact_sales")

@@ -1,7 +1,7 @@
 """Clean tables, one function per raw table."""
 
 import datetime as dt
-from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,12 +71,14 @@ def categories(raw: DataFrame) -> DataFrame:
     return raw
 
 
-def build(raw: Mapping[str, DataFrame], as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    return {
-        "crm_cust_info": customers(raw["crm_cust_info"]),
-        "crm_prd_info": products(raw["crm_prd_info"]),
-        "crm_sales_details": sales(raw["crm_sales_details"]),
-        "erp_loc_a101": locations(raw["erp_loc_a101"]),
-        "erp_cust_az12": demographics(raw["erp_cust_az12"], as_of),
-        "erp_px_cat_g1v2": categories(raw["erp_px_cat_g1v2"]),
+def build(name: str, raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """The clean table of that name from its raw table."""
+    rules = {
+        "crm_cust_info": customers,
+        "crm_prd_info": products,
+        "crm_sales_details": sales,
+        "erp_loc_a101": locations,
+        "erp_cust_az12": partial(demographics, as_of=as_of),
+        "erp_px_cat_g1v2": categories,
     }
+    return rules[name](raw)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from refinery.__main__ import arguments, run
 from refinery.operators.skew import Limits
 from refinery.plans import gold, mart, reports, silver
+from refinery.plans.together import together
 from refinery.schemas import BRONZE, GOLD, SILVER, mismatches
 from refinery.sinks import tables
 from refinery.sources import delimited
@@ -58,8 +59,8 @@ def gold_database(spark, raw, tmp_path_factory):
 
 
 def test_layers_have_the_declared_schemas(spark, raw, gold_database):
-    for name, df in silver.build(raw, AS_OF).items():
-        assert not mismatches(df.schema, SILVER[name])
+    for name, df in raw.items():
+        assert not mismatches(silver.build(name, df, AS_OF).schema, SILVER[name])
     for name, schema in GOLD.items():
         assert not mismatches(spark.table(f"{gold_database}.{name}").schema, schema)
 
@@ -205,3 +206,15 @@ def test_jobs_from_the_command_line(spark, raw, tmp_path):
         found.append([rows(spark.table(f"job_gold_{kind}.{name}")) for name in GOLD])
     assert found[0] == found[1]
     assert [len(table) for table in found[0]] == [3, 2, 5]
+
+
+def test_steps_run_together_and_report_failure(spark):
+    assert together(spark, [lambda n=n: spark.range(n).count() for n in range(4)]) == [0, 1, 2, 3]
+    done = []
+
+    def fails():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        together(spark, [fails, lambda: done.append(spark.range(3).count())])
+    assert done == [3]
