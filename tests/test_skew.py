@@ -51,6 +51,14 @@ def test_heavy_keys_counts_null_too(tables):
     assert None in found["left"]
 
 
+def test_heavy_keys_of_many_rows_come_from_a_sample(spark):
+    i = F.col("id")
+    many = spark.range(0, 300_000, 1, 4).select(F.when(i % 3 == 0, -1).when(i % 3 == 1, None).otherwise(i).alias("k"))
+    found = heavy_keys({"many": many}, Limits(20_000))["many"]
+    assert found.keys() == {-1, None} and all(80_000 < n < 120_000 for n in found.values())
+    assert heavy_keys({"many": many}, Limits(200_000)) == {"many": {}}
+
+
 def test_parts_of_a_hot_key_go_to_different_tasks(spark, tables):
     left, r1, _ = tables
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
