@@ -5,16 +5,15 @@ from pyspark.sql import functions as F
 
 
 def repaired_amount(amount: Column, quantity: Column, price: Column) -> Column:
-    """quantity * |price| where the amount is missing, not positive or differs from it; else the amount.
+    """The amount if it is positive and not known to differ from quantity * |price|; else that product.
 
     The product is taken in bigint, so it cannot overflow; one that is no int becomes NULL.
     """
     expected = quantity.cast("bigint") * F.abs(price.cast("bigint"))
-    wrong = amount.isNull() | (amount <= 0) | (amount != expected)
-    return F.when(wrong, expected.try_cast("int")).otherwise(amount)
+    agrees = F.coalesce(amount == expected, F.lit(True))
+    return F.when((amount > 0) & agrees, amount).otherwise(expected.try_cast("int"))
 
 
 def repaired_price(price: Column, amount: Column, quantity: Column) -> Column:
-    """amount / quantity where the price is missing or not positive (NULL for no quantity); else the price."""
-    wrong = price.isNull() | (price <= 0)
-    return F.when(wrong, amount / F.nullif(quantity, F.lit(0))).otherwise(price.cast("double"))
+    """The price if it is positive; else amount / quantity, NULL for no quantity."""
+    return F.when(price > 0, price.cast("double")).otherwise(amount / F.nullif(quantity, F.lit(0)))

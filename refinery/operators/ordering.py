@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from refinery.operators.skew import LIMITS, Limits, heavy_keys
 from refinery.operators.storage import pin
-from refinery.schemas import columns_but
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
 
 
 def ascending(df: DataFrame, *but: str) -> list[Column]:
     """All other columns in schema order: breaks every tie but that of exact copies."""
-    return [column.asc_nulls_last() for column in columns_but(df, *but)]
+    return [F.col(column).asc_nulls_last() for column in df.columns if column not in but]
 
 
 def latest_per_key(

@@ -1,5 +1,7 @@
 """The star schema: two dimensions and a fact, from clean tables."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +10,47 @@ from refinery.operators.ordering import ascending, dense_key
 from refinery.operators.skew import LIMITS, Limits, left_join
 
 
+# Column of the star schema, and the clean column it holds.
+CUSTOMER_COLUMNS = {
+    "customer_id": "cst_id",
+    "customer_number": "cst_key",
+    "first_name": "cst_firstname",
+    "last_name": "cst_lastname",
+    "country": "cntry",
+    "marital_status": "cst_marital_status",
+    "gender": "known_gender",
+    "birthdate": "bdate",
+    "create_date": "cst_create_date",
+}
+PRODUCT_COLUMNS = {
+    "product_id": "prd_id",
+    "product_number": "prd_key",
+    "product_name": "prd_nm",
+    "category_id": "cat_id",
+    "category": "cat",
+    "subcategory": "subcat",
+    "maintenance": "maintenance",
+    "cost": "prd_cost",
+    "product_line": "prd_line",
+    "start_date": "prd_start_dt",
+}
+SALES_COLUMNS = {
+    "order_number": "sls_ord_num",
+    "product_key": "product_key",
+    "customer_key": "customer_key",
+    "order_date": "sls_order_dt",
+    "shipping_date": "sls_ship_dt",
+    "due_date": "sls_due_dt",
+    "sales_amount": "sls_sales",
+    "quantity": "sls_quantity",
+    "price": "sls_price",
+}
+
+
+def _named(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    return df.select(*[F.col(clean).alias(name) for name, clean in names.items()])
+
+
 def dim_customers(
     customers: DataFrame, demographics: DataFrame, locations: DataFrame, limits: Limits = LIMITS
 ) -> DataFrame:
@@ -18,36 +61,15 @@ def dim_customers(
     }
     # cst_id is unique, so its hash cuts up any group of customers that share a key or have none.
     joined = left_join(customers, "cst_key", erp, F.xxhash64("cst_id"), limits)
-    rows = joined.select(
-        F.col("cst_id").alias("customer_id"),
-        F.col("cst_key").alias("customer_number"),
-        F.col("cst_firstname").alias("first_name"),
-        F.col("cst_lastname").alias("last_name"),
-        F.col("cntry").alias("country"),
-        F.col("cst_marital_status").alias("marital_status"),
-        first_known(F.col("cst_gndr"), F.col("gen")).alias("gender"),
-        F.col("bdate").alias("birthdate"),
-        F.col("cst_create_date").alias("create_date"),
-    )
+    known_gender = first_known(F.col("cst_gndr"), F.col("gen"))
+    rows = _named(joined.withColumn("known_gender", known_gender), CUSTOMER_COLUMNS)
     return dense_key(rows, [F.col("customer_id").asc_nulls_first(), *ascending(rows, "customer_id")], "customer_key")
 
 
 def dim_products(versions: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """The open version of each product, with its category."""
     current = versions.filter(F.col("prd_end_dt").isNull())
-    joined = left_join(current, "cat_id", {"id": categories}, limits=limits)
-    rows = joined.select(
-        F.col("prd_id").alias("product_id"),
-        F.col("prd_key").alias("product_number"),
-        F.col("prd_nm").alias("product_name"),
-        F.col("cat_id").alias("category_id"),
-        F.col("cat").alias("category"),
-        F.col("subcat").alias("subcategory"),
-        "maintenance",
-        F.col("prd_cost").alias("cost"),
-        F.col("prd_line").alias("product_line"),
-        F.col("prd_start_dt").alias("start_date"),
-    )
+    rows = _named(left_join(current, "cat_id", {"id": categories}, limits=limits), PRODUCT_COLUMNS)
     order = [F.col("start_date").asc_nulls_first(), F.col("product_number").asc_nulls_first()]
     return dense_key(rows, [*order, *ascending(rows, "start_date", "product_number")], "product_key")
 
@@ -63,14 +85,4 @@ def fact_sales(
     customer_keys = customers.select("customer_id", "customer_key")
     keyed = left_join(sales, "sls_prd_key", {"product_number": product_keys}, limits=limits)
     keyed = left_join(keyed, "sls_cust_id", {"customer_id": customer_keys}, limits=limits)
-    return keyed.select(
-        F.col("sls_ord_num").alias("order_number"),
-        "product_key",
-        "customer_key",
-        F.col("sls_order_dt").alias("order_date"),
-        F.col("sls_ship_dt").alias("shipping_date"),
-        F.col("sls_due_dt").alias("due_date"),
-        F.col("sls_sales").alias("sales_amount"),
-        F.col("sls_quantity").alias("quantity"),
-        F.col("sls_price").alias("price"),
-    )
+    return _named(keyed, SALES_COLUMNS)
