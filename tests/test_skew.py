@@ -84,30 +84,35 @@ def test_joins_without_heavy_keys_share_the_shuffle_of_the_left_side(spark, tabl
     assert text.count("SortMergeJoin") == 2 and text.count("Exchange") == 3
 
 
-def test_spark_splits_a_hot_key_of_the_left_side_at_run_time(spark, tmp_path):
-    """What the lookups of the fact rely on: with thresholds fit for this little data, the join turns into a skew join."""
+def test_spark_splits_hot_keys_of_the_left_side_at_run_time(spark, tmp_path):
+    """What the two lookups of the fact rely on, with thresholds fit for this little data."""
     i = F.col("id")
     spark.range(0, 400_000, 1, 8).select(
-        i.alias("id"), F.when(i % 3 == 0, None).when(i % 3 == 1, 1).otherwise(i % 1000).cast("int").alias("k"),
+        i.alias("id"),
+        F.when(i % 3 == 0, None).when(i % 3 == 1, 1).otherwise(i % 1000).cast("int").alias("k"),
+        F.when(i % 2 == 0, 7).otherwise(i % 1000).cast("int").alias("h"),
         F.sha2(i.cast("string"), 256).alias("text"),
     ).write.parquet(f"{tmp_path}/left")
     spark.range(1000).select(i.cast("int").alias("k1"), (i * 2).alias("v")).write.parquet(f"{tmp_path}/right")
     left, right = spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/right")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        joined = left_join(left, "k", {"k1": right}, limits=Limits(broadcast_bytes=0))
-        assert joined.count() == 400_000
-        run = joined.agg(F.count("text"), F.sum("v"))
+        limits = Limits(broadcast_bytes=0)
+        first = left_join(left, "k", {"k1": right}, limits=limits)
+        both = left_join(first, "h", {"k2": right.toDF("k2", "w")}, limits=limits)
+        run = both.agg(F.count("text"), F.sum("v"), F.sum("w"))
+        assert run.first()[0] == 400_000
         run.collect()
-        assert "skew=true" in run._jdf.queryExecution().executedPlan().toString()
+        final = run._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("skew=true") == 2
     finally:
         for name in settings:
             spark.conf.unset(name)
