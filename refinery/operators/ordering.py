@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import LIMITS, Limits, heavy_keys
+from refinery.operators.skew import LIMITS, Limits, heavy_keys, is_among
 from refinery.operators.storage import pin
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
@@ -82,7 +82,7 @@ def with_neighbours(
     heavy = heavy_keys({key: df.select(key)}, limits)[key]
     if not heavy:
         return _neighbours_by_window(df, key, order, take)
-    is_heavy = F.coalesce(F.col(key).isin([value for value in heavy if value is not None]), F.lit(None in heavy))
+    is_heavy = is_among(key, heavy)
     light = _neighbours_by_window(df.filter(~is_heavy), key, order, take)
     return light.unionByName(_neighbours_by_place(df.filter(is_heavy), key, order, take, stored))
 

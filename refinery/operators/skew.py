@@ -1,6 +1,6 @@
 """Keys that hold too many rows for one task, and a left join that stays spread out over them."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -47,6 +47,12 @@ def heavy_keys(keys: Mapping[str, DataFrame], limits: Limits = LIMITS) -> dict[s
     return heavy
 
 
+def is_among(key: str, heavy: Iterable) -> Column:
+    """Whether the row has one of the keys, which may include NULL; never NULL itself."""
+    known = [value for value in heavy if value is not None]
+    return F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(F.col(key).isin(known))
+
+
 _BYTES_PER_VALUE = 8  # taken for each value on top of its text
 
 
@@ -122,7 +128,7 @@ def _join_large(left, left_key, rights, spread, limits) -> DataFrame:
     joined = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
     lost = F.lit(False)
     for name, right in rights.items():
-        numbered = _with_position(right, F.col(name).isin([*heavy[name]]))
+        numbered = _with_position(right, is_among(name, heavy[name]))
         pieces = _cut(numbered, name, parts, sides, F.col("_position")).drop("_position", *map(_total, sides))
         pieces = pieces.withColumnsRenamed({_part(side): f"{_part(side)}_of_{name}" for side in sides})
         same = [F.col(_part(side)) == F.col(f"{_part(side)}_of_{name}") for side in sides]

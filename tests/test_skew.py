@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import Limits, heavy_keys, left_join, small_tables
+from refinery.operators.skew import Limits, heavy_keys, is_among, left_join, small_tables
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +51,13 @@ def test_heavy_keys_counts_null_too(tables):
     assert None in found["left"]
 
 
+@pytest.mark.parametrize("heavy", [[], [None], [1], [1, None]])
+def test_is_among_knows_null(spark, heavy):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    assert {row[0] for row in df.filter(is_among("k", heavy)).collect()} == set(heavy)
+    assert df.filter(~is_among("k", heavy)).count() == 3 - len(heavy)
+
+
 def test_heavy_keys_of_many_rows_come_from_a_sample(spark):
     i = F.col("id")
     many = spark.range(0, 300_000, 1, 4).select(F.when(i % 3 == 0, -1).when(i % 3 == 1, None).otherwise(i).alias("k"))
