@@ -1,21 +1,18 @@
 """Rows kept on the shared file system, out of reach of a lost executor."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new temporary one only on a local master."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one beside the tables of the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="refinery-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return context.getCheckpointDir()
 
 

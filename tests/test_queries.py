@@ -10,7 +10,7 @@ from driver_inputs import GIVEN
 from refinery.operators import skew
 
 SF_DIR = Path(entry.FLAGSHIP_DIR)
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.mart_queries(), entry.mart_oracles()
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="the given tables are not here")
 
 

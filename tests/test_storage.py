@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from conftest import rows
 
 from refinery.operators.storage import new_folder, pin, shared_folder
@@ -15,8 +14,8 @@ class Session:
         self.master, self.named, self.chosen = master, named, chosen
         self.conf = self.sparkContext = self
 
-    def get(self, name, default):
-        return self.named if name == "spark.checkpoint.dir" else default
+    def get(self, name, default=None):
+        return {"spark.checkpoint.dir": self.named, "spark.sql.warehouse.dir": "hdfs:/tables/"}.get(name, default)
 
     def getCheckpointDir(self):
         return self.chosen
@@ -31,13 +30,9 @@ def test_the_named_folder_is_used(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session("spark://master"))
-
-
-def test_a_local_master_gets_a_folder_of_its_own():
-    assert os.path.isdir(shared_folder(Session("local[2]")))
+def test_without_a_name_the_folder_is_in_the_warehouse_on_any_master():
+    for master in ("local[2]", "spark://master"):
+        assert shared_folder(Session(master)) == "hdfs:/tables/_checkpoints"
 
 
 def test_pinned_rows_are_files(spark):
