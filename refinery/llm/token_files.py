@@ -8,6 +8,7 @@ reader adds up the parts. Spark's writer commits the rows, so a lost executor le
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,8 @@ from tokenizers import Tokenizer
 
 from refinery.llm import rans
 
-_MEMO_ENTRIES = 200_000
+_MEMO_ENTRIES = 400_000
+_TEXTS_AT_ONCE = 256
 _INDEX = struct.Struct("<4sII")
 _MAGIC = b"TKG1"
 _GROUPS = "part int, group int, first bigint, n_ids bigint, payload binary"
@@ -33,26 +35,33 @@ class _Encoder:
     """The library's ids, asked for once per pre-token; a text with a special token's string goes in whole."""
 
     def __init__(self, model: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         self.tokenizer = Tokenizer.from_str(model)
         self.pattern = regex.compile(pattern)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, list[int]] = {}
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-
-    def ids(self, text: str) -> list[int]:
-        if any(token in text for token in self.special):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        memo = self.memo
-        if len(memo) > _MEMO_ENTRIES:
-            memo.clear()
-        found: list[int] = []
-        pieces = self.pattern.findall(text)
-        unknown = list({piece for piece in pieces if piece not in memo})
-        for piece, encoded in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-            memo[piece] = encoded.ids
-        for piece in pieces:
-            found.extend(memo[piece])
-        return found
+        self.memo: dict[str, bytes] = {}
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian numbers of 2 or 4 bytes."""
+        if len(self.memo) > _MEMO_ENTRIES:
+            self.memo.clear()
+        whole = [any(token in text for token in self.special) for text in texts]
+        pieces = [() if is_whole else self.pattern.findall(text) for text, is_whole in zip(texts, whole, strict=True)]
+        self._learn(list(set().union(*pieces).difference(self.memo)))
+        return [
+            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+            if is_whole
+            else b"".join(map(self.memo.__getitem__, found))
+            for text, is_whole, found in zip(texts, whole, pieces, strict=True)
+        ]
+
+    def _learn(self, pieces: list[str]) -> None:
+        encoded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        width = np.dtype(self.kind).itemsize
+        raw = np.array(encoded.ids, self.kind).tobytes()
+        ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(pieces) + 1)) * width
+        self.memo.update((piece, raw[a:b]) for piece, a, b in zip(pieces, ends.tolist(), ends[1:].tolist()))  # noqa: B905
 
 
 @lru_cache(maxsize=2)
@@ -60,34 +69,29 @@ def _encoder(model: str, pattern: str) -> _Encoder:
     return _Encoder(model, pattern)
 
 
-def _schema_of(ids_type: str = "binary") -> str:
-    return f"doc_id bigint, n_tokens bigint, ids {ids_type}"
-
-
 def tokenize(docs: DataFrame, model: str, pattern: str, end_id: int) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian 32-bit numbers, the end id included) of each document."""
+    """``doc_id`` and ``ids`` of each document, the end id included: little-endian numbers, 2 bytes if all ids fit."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model, pattern)
+        end = np.array([end_id], encoder.kind).tobytes()
         for batch in found:
-            rows = [np.array([*(encoder.ids(text) if text else ()), end_id], "<u4") for text in batch.column("text").to_pylist()]
-            counts = pa.array([len(row) for row in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), counts, pa.array([row.tobytes() for row in rows], pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
-            )
+            for at in range(0, len(batch), _TEXTS_AT_ONCE):
+                some = batch.slice(at, _TEXTS_AT_ONCE)
+                rows = [ids + end for ids in encoder.encode([text or "" for text in some.column("text").to_pylist()])]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(batches, _schema_of())
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(batches, "doc_id bigint, ids binary")
 
 
-def _counts(tokens: DataFrame) -> DataFrame:
+def _counts(tokens: DataFrame, kind: str) -> DataFrame:
     """How often each id occurs; a task sends one row per id at most."""
 
     def partial(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in found:
             for row in batch.column("ids"):
-                seen = np.bincount(np.frombuffer(row.as_buffer(), "<u4"))
+                seen = np.bincount(np.frombuffer(row.as_buffer(), kind))
                 if len(seen) > len(total):
                     seen[: len(total)] += total
                     total = seen
@@ -117,10 +121,11 @@ def write(
     of columns, but an empty one gives an empty file set.
     """
     spark = docs.sparkSession
+    kind = _encoder(model, pattern).kind
     tokenize(docs, model, pattern, end_id).write.parquet(f"{path}/tokens")
     tokens = spark.read.parquet(f"{path}/tokens")
     # At most one row per entry of the vocabulary.
-    counts = sorted(map(tuple, _counts(tokens).collect()))
+    counts = sorted(map(tuple, _counts(tokens, kind).collect()))
     table = rans.Table([i for i, _ in counts], [n for _, n in counts])
     frequencies = table.to_bytes()
     spark.createDataFrame([(bytearray(frequencies),)], "frequencies binary").coalesce(1).write.parquet(f"{path}/frequencies")
@@ -139,7 +144,7 @@ def write(
 
         for batch in found:
             for doc_id, row in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                values = np.frombuffer(row.as_buffer(), "<u4")
+                values = np.frombuffer(row.as_buffer(), kind)
                 index.append((doc_id, len(values)))
                 ids.append(values)
                 size += len(values)
