@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, token_files
+from refinery.llm import bpe, mixing, quality, reputation, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
+RULES = reputation.rules_by_text([
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+])
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,16 @@ def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, with_ids=False)
 
 
+def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_documents(spark, sf_dir)).drop("source")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = _documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), ranks).alias("ids"))
@@ -39,12 +52,90 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judged(_table(spark, sf_dir, "pages"), RULES)
+
+
+def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries() -> dict:
     return {
         "op1_rans_token_files": op1_rans_token_files,
+        "op3_robust_outliers": op3_robust_outliers,
+        "op4_pivotal_mix": op4_pivotal_mix,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_host_reputation": op6_host_reputation,
+        "op10_vector_approximation": op10_vector_approximation,
     }
 
 
+OP6_SQL = """
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages),
+rules(verdict, rule_host, rule_path) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+labelled AS (
+    SELECT page_id, host, path,
+           (SELECT max_by(rule_host || rule_path, length(rule_host || rule_path)) FROM rules
+            WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+           (SELECT max_by(verdict, length(rule_host || rule_path)) FROM rules
+            WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS label
+    FROM parts),
+hosts AS (
+    SELECT host, string_split(host, '.') AS p, count(label) AS n, count(*) FILTER (label = 'block') AS k FROM labelled GROUP BY host),
+named AS (
+    SELECT host, n, k,
+           array_to_string(p[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz') AS two,
+           CASE WHEN two THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain,
+           CASE WHEN two THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix
+    FROM hosts),
+levels AS (
+    SELECT 1 AS level, suffix AS name, suffix AS parent, sum(n) AS n, sum(k) AS k FROM named GROUP BY suffix
+    UNION ALL SELECT 2, domain, suffix, sum(n), sum(k) FROM named GROUP BY domain, suffix
+    UNION ALL SELECT 3, host, domain, n, k FROM named),
+moments AS (
+    SELECT level, count(*) FILTER (n > 0) AS g, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k, sum(n::DOUBLE * n) AS nn,
+           coalesce(sum(k::DOUBLE * k / n) FILTER (n > 0), 0) AS kk
+    FROM levels GROUP BY level),
+alike AS (
+    SELECT level, k / nullif(n, 0) AS m,
+           (kk - k * m - (g - 1) * (m * (1 - m))) / nullif(m * (1 - m) * (n - nn / nullif(n, 0) - (g - 1)), 0) AS r
+    FROM moments),
+strengths AS (
+    SELECT level, round(least(greatest(CASE WHEN r > 0 THEN 1 / r - 1 ELSE 1000.0 END, 0.5), 1000.0), 6) AS s FROM alike),
+everything AS (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) AS share FROM named),
+suffixes AS (
+    SELECT name, (k + s * share) / (n + s) AS share FROM levels JOIN strengths USING (level), everything WHERE level = 1),
+domains AS (
+    SELECT l.name, (k + s * u.share) / (n + s) AS share
+    FROM levels l JOIN strengths USING (level) JOIN suffixes u ON l.parent = u.name WHERE level = 2),
+bounds AS (
+    SELECT l.name AS host, (k + s * u.share) / (n + s) AS p,
+           round(p - 1.645 * sqrt(greatest(p * (1 - p), 0) / (n + s + 1)), 9) AS bound
+    FROM levels l JOIN strengths USING (level) JOIN domains u ON l.parent = u.name WHERE level = 3)
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM labelled JOIN bounds USING (host)
+"""
+
+OP10_SQL = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_host_reputation": OP6_SQL, "op10_vector_approximation": OP10_SQL}

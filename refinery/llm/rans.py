@@ -126,6 +126,6 @@ def decode(block: bytes, table: Table, checkpoint: int = 0) -> np.ndarray:
             x[low] = (x[low] << _WORD) | words[position : position + len(low)]
             position += len(low)
     ids = table.symbols[out] if len(out) else out
-    if position != n_words or (not checkpoint and zlib.crc32(ids.astype("<u4").tobytes()) != crc):
+    if position != n_words or (state != _LOW).any() or (not checkpoint and zlib.crc32(ids.astype("<u4").tobytes()) != crc):
         raise ValueError("a block does not match its checksum")
     return ids

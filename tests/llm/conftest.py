@@ -1,0 +1,20 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+SF_DIR = Path("/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    if not SF_DIR.exists():
+        pytest.skip("the given tables are not here")
+    return str(SF_DIR)
+
+
+@pytest.fixture(scope="session")
+def given_documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
