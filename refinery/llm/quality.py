@@ -115,8 +115,8 @@ def vector() -> list[Column]:
     values = [
         F.ln(chars / n) * 4,
         F.asinh(F.col("n_symbols") / chars * 100),
-        F.asinh(F.col("n_repeat_words") / n * 10),
-        F.asinh(F.col("n_dup_lines") / (F.col("n_lines") + 5) * 10),
+        F.asinh(F.col("n_repeat_words") / n * 2),
+        F.asinh(F.col("n_dup_lines") / (F.col("n_lines") + 5) * 2),
         F.asinh(F.col("n_upper") / chars * 10),
         F.asinh(F.col("n_marks") / chars * 10),
     ]
