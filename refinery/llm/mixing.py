@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.operators.storage import new_folder
+from refinery.llm.tables import stored
 
 # Words, weights by place of the source, and how often a document may be taken at most.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,12 +63,6 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """``source``, ``source_size`` and ``target`` from ``source`` and ``size``.
 
@@ -112,11 +106,11 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
     """
     units = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), words_in(F.col("text")).alias("size"))
     units = units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
-    units = _stored(units.withColumn("key", F.xxhash64("doc_id", "source", "size")), "sizes")
+    units = stored(units.withColumn("key", F.xxhash64("doc_id", "source", "size")), "sizes")
     by_source = targets(units.select("source", (F.col("size") * F.col("copies")).alias("size")), weights, most)
     counts = units.groupBy("source").agg(F.count(F.lit(1)).alias("units_of_source"))
     by_source = by_source.join(counts.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
-    by_source = _stored(by_source.withColumn("rate", F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0))), "targets")
+    by_source = stored(by_source.withColumn("rate", F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0))), "targets")
     per_source = by_source.withColumnRenamed("source", "of_source")
     units = units.join(per_source, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
     whole = F.least(F.floor("rate"), F.lit(most)).cast("bigint")
@@ -128,7 +122,7 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
     most_units = by_source.agg(F.max("units_of_source")).first()[0] or 0
     expected, settled, level = F.col("units_of_source"), [], 0
     while True:
-        folded = _stored(_level(left, level, expected), "level")
+        folded = stored(_level(left, level, expected), "level")
         settled.append(folded.select(F.explode("settled").alias("one")).select("one.*"))
         left = folded.select("source", "units_of_source", "hand.*")
         most_units = -(-most_units // BLOCK)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refinery.llm.tables import stored
 from refinery.llm.words import Words, in_parts
-from refinery.operators.storage import new_folder
 
 # The base rule and the characters it counts.
 SYMBOLS = b"#*$%&|<>"
@@ -148,12 +148,6 @@ _PARAMETERS = "lang string, source string, " + ", ".join(
 )
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _with(rows: DataFrame, per_group: DataFrame) -> DataFrame:
     """Rows beside what is known of their group, of which there may be no language or source."""
     other = per_group.withColumnsRenamed({name: f"of_{name}" for name in _GROUP})
@@ -171,7 +165,7 @@ def _distance() -> Column:
 def _start(rows: DataFrame) -> DataFrame:
     """Medians and spreads of the statistics one by one. A group's values are few whole numbers, so exact medians stay small."""
     medians = rows.groupBy(*_GROUP).agg(*[F.percentile(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)])
-    apart = _with(rows, _stored(medians, "medians"))
+    apart = _with(rows, stored(medians, "medians"))
     spreads = apart.groupBy(*_GROUP).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(FEATURES))],
         *[F.percentile(F.abs(F.col(name) - F.col(f"m{i}")).cast("bigint"), 0.5).alias(f"s{i}") for i, name in enumerate(FEATURES)],
@@ -224,12 +218,12 @@ def _concentrate(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     """One step: the closest ``SUPPORT`` of each group under the parameters gives new ones."""
     measured = _with(rows, parameters).select(*_GROUP, *FEATURES, _distance().alias("distance"))
     borders = measured.groupBy(*_GROUP).agg(F.percentile("distance", SUPPORT).alias("border"))
-    closest = _with(measured, _stored(borders, "borders")).filter(F.col("distance") <= F.col("border"))
-    sums = _stored(closest.groupBy(*_GROUP).agg(*_sums()), "sums")
+    closest = _with(measured, stored(borders, "borders")).filter(F.col("distance") <= F.col("border"))
+    sums = stored(closest.groupBy(*_GROUP).agg(*_sums()), "sums")
     numbers = [name for name in sums.columns if name not in _GROUP]
     by_lang = sums.groupBy(F.col("lang").alias("l_lang")).agg(*[F.sum(name).alias(f"l_{name}") for name in numbers])
     both = sums.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).drop("l_lang")
-    return _stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
+    return stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -239,9 +233,9 @@ def judged(docs: DataFrame) -> DataFrame:
     the estimates. Other columns are ignored, repeated rows judged alike, and an empty table gives an empty result.
     """
     counts = statistics(docs).withColumn("base_failed", base_failed())
-    rows = _stored(counts.select("*", *vector()), "statistics")
+    rows = stored(counts.select("*", *vector()), "statistics")
     sound = rows.filter(~F.col("base_failed"))
-    parameters = _stored(_start(sound), "parameters")
+    parameters = stored(_start(sound), "parameters")
     for _ in range(CONCENTRATION_STEPS):
         parameters = _concentrate(sound, parameters)
     limit = round(math.log1p(CUTOFF) * 100)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, mixing, quality, reputation, token_files, vafile
+from refinery.llm import bpe, mixing, quality, reputation, sigtree, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
@@ -56,6 +56,10 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judged(_table(spark, sf_dir, "pages"), RULES)
 
 
+def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.classified(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -67,6 +71,7 @@ def queries() -> dict:
         "op4_pivotal_mix": op4_pivotal_mix,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_host_reputation": op6_host_reputation,
+        "op8_signature_trees": op8_signature_trees,
         "op10_vector_approximation": op10_vector_approximation,
     }
 
@@ -124,6 +129,28 @@ SELECT page_id, host, path, rule, coalesce(label, CASE WHEN bound > 0.5 THEN 'bl
 FROM labelled JOIN bounds USING (host)
 """
 
+OP8_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+    FROM words WHERE w IS NOT NULL),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+rare AS (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1),
+shared AS (SELECT doc_id, s FROM shingles SEMI JOIN rare USING (s)),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shared a JOIN shared b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r USING (doc_id) GROUP BY d.doc_id
+"""
+
 OP10_SQL = """
 WITH vectors AS (
     SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
@@ -138,4 +165,4 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_reputation": OP6_SQL, "op10_vector_approximation": OP10_SQL}
+    return {"op6_host_reputation": OP6_SQL, "op8_signature_trees": OP8_SQL, "op10_vector_approximation": OP10_SQL}
