@@ -21,7 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SECOND_SEED = 0x9E3779B9
-_MEMO_ENTRIES = 400_000  # pre-tokens a Python worker remembers before it starts afresh; never changes a result
+_MEMO_ENTRIES = 120_000  # pre-tokens a Python worker remembers before it starts afresh; never changes a result
 _TEXTS_AT_ONCE = 256
 
 
@@ -72,7 +72,6 @@ class Vocabulary:
         self.ranks = ranks
         self.whole = PerfectHash(self.tokens) if ranks else None
         self.pattern = regex.compile(pattern)
-        self.by_id = {rank: token for token, rank in ranks.items()}
         self.memo: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -118,9 +117,6 @@ class Vocabulary:
             i = after[i]
         return found
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, ids))
-
 
 def read_ranks(path: str) -> bytes:
     """A rank file (one base64 token and its rank a line), read once on the driver."""
@@ -128,10 +124,18 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-@lru_cache(maxsize=2)
+def _ranks(content: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
+
+
+@lru_cache(maxsize=1)
 def _vocabulary(ranks: bytes, pattern: str) -> Vocabulary:
-    pairs = (line.split() for line in ranks.splitlines())
-    return Vocabulary({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
+    return Vocabulary(_ranks(ranks), pattern)
+
+
+@lru_cache(maxsize=1)
+def _tokens(ranks: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in _ranks(ranks).items()}
 
 
 def _int_lists(rows: list[bytes]) -> pa.Array:
@@ -152,17 +156,19 @@ def encode(text: Column, ranks: bytes, pattern: str = public_tokenizers.PATTERN)
         for batch in batches:
             parts = (batch.slice(at, _TEXTS_AT_ONCE) for at in range(0, len(batch), _TEXTS_AT_ONCE))
             yield _int_lists([ids for part in parts for ids in vocabulary.encode([text or "" for text in part.to_pylist()])])
+            pa.default_memory_pool().release_unused()
 
     return ids(text)
 
 
-def decode(ids: Column, ranks: bytes, pattern: str = public_tokenizers.PATTERN) -> Column:
+def decode(ids: Column, ranks: bytes) -> Column:
     """Bytes of a column of ids (array<int>); NULL counts as no ids. An id outside the vocabulary is an error."""
 
     @F.arrow_udf("binary")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(ranks, pattern)
+        of = _tokens(ranks).__getitem__
         for batch in batches:
-            yield pa.array([vocabulary.decode(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in batch], pa.binary())
+            yield pa.array([b"".join(map(of, row.values.to_numpy().tolist())) if row.is_valid else b"" for row in batch], pa.binary())
+            pa.default_memory_pool().release_unused()
 
     return text(ids)
