@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +34,7 @@ BITS = 2048
 FANOUT = 8
 BUCKET_ROWS = 2048  # classes of a bucket that one task compares; more are dealt into pairs of parts
 # The order of shingles, not the result, rests on these: documents sampled for frequent shingles, and how many are kept.
-SAMPLED_DOCUMENTS, FREQUENT_IN, MOST_FREQUENT = 20_000, 5, 1 << 18
+SAMPLED_DOCUMENTS, FREQUENT_IN, MOST_FREQUENT = 20_000, 2, 1 << 18
 BROADCAST_ROWS = 4_000_000  # of one number each, at most 64 MB in memory
 _PAIRS_AT_ONCE = 1 << 18
 
@@ -161,24 +160,36 @@ def _popcount(bitmaps: np.ndarray) -> np.ndarray:
     return np.bitwise_count(bitmaps).sum(axis=-1, dtype=np.int64)
 
 
-class SignatureTree:
-    """A tree over sets: per level the OR and AND of bitmaps, the range of sizes, and the component if it is the only one."""
+class SignatureForest:
+    """A signature tree for each of some buckets, level by level in shared arrays.
 
-    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, parts: np.ndarray, percent: int):
+    Level 0 are the rows, the rows of a bucket together. A node of the next level stands for up to ``FANOUT`` nodes of
+    one bucket: OR and AND of their bitmaps, range of their sizes, and their component if it is the only one. The last
+    level has one node per bucket.
+    """
+
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, parts: np.ndarray, begin: np.ndarray, percent: int):
+        """``begin``: first row of each bucket."""
         self.percent = percent
         self.levels = [(bitmaps, bitmaps, sizes, sizes, parts)]
-        while len(self.levels[-1][2]) > 1:
+        self.below: list[tuple[np.ndarray, np.ndarray]] = []  # of each node: its first node on the level below, and the end
+        end = np.append(begin[1:], len(sizes))
+        while len(begin) and (end - begin).max() > 1:
             any_bits, all_bits, least, most, part = self.levels[-1]
-            begin = np.arange(0, len(least), FANOUT)
-            low, high = np.minimum.reduceat(part, begin), np.maximum.reduceat(part, begin)
+            nodes = -(-(end - begin) // FANOUT)
+            place = np.arange(nodes.sum()) - np.repeat(np.cumsum(nodes) - nodes, nodes)
+            first = np.repeat(begin, nodes) + place * FANOUT
+            self.below.append((first, np.minimum(first + FANOUT, np.repeat(end, nodes))))
+            low, high = np.minimum.reduceat(part, first), np.maximum.reduceat(part, first)
             self.levels.append((
-                np.bitwise_or.reduceat(any_bits, begin, axis=0), np.bitwise_and.reduceat(all_bits, begin, axis=0),
-                np.minimum.reduceat(least, begin), np.maximum.reduceat(most, begin),
-                np.where((low == high) & (low >= 0), low, -1),
+                np.bitwise_or.reduceat(any_bits, first, axis=0), np.bitwise_and.reduceat(all_bits, first, axis=0),
+                np.minimum.reduceat(least, first), np.maximum.reduceat(most, first), np.where((low == high) & (low >= 0), low, -1),
             ))
+            end = np.cumsum(nodes)
+            begin = end - nodes
 
     def possible(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether two sets below nodes a and b can be alike enough and are not known to be linked."""
+        """Places of the pairs of nodes below which two sets can be alike enough and are not known to be linked."""
         any_bits, all_bits, least, most, part = self.levels[level]
         kept = (part[a] != part[b]) | (part[a] < 0)
         kept &= (most[a] * 100 >= least[b] * self.percent) & (most[b] * 100 >= least[a] * self.percent)
@@ -191,10 +202,10 @@ class SignatureTree:
         return found[fits]
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of leaves (by place, smaller first) that the dual traversal leaves over."""
+        """Pairs of rows (smaller place first) that the dual traversal leaves over."""
         top = len(self.levels) - 1
-        zero = np.zeros(1, np.int64)
-        waiting = [(top, zero, zero)]
+        roots = np.arange(len(self.levels[top][2]))
+        waiting = [(top, roots, roots)]
         while waiting:
             level, a, b = waiting.pop()
             if len(a) > _PAIRS_AT_ONCE:
@@ -208,30 +219,54 @@ class SignatureTree:
                     yield a[apart], b[apart]
             elif len(a):
                 step = max(1, _PAIRS_AT_ONCE // (FANOUT * FANOUT))
-                below = len(self.levels[level - 1][2])
                 for i in range(0, len(a), step):
-                    waiting.append((level - 1, *_children(a[i : i + step], b[i : i + step], below)))
-
-
-def _children(a: np.ndarray, b: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
-    places = np.arange(FANOUT)
-    left = np.repeat((a[:, None] * FANOUT + places), FANOUT, axis=1).ravel()
-    right = np.tile((b[:, None] * FANOUT + places), (1, FANOUT)).ravel()
-    kept = (left < below) & (right < below) & (left <= right)
-    return left[kept], right[kept]
+                    waiting.append((level - 1, *self._children(level, a[i : i + step], b[i : i + step])))
+
+    def _children(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, end = self.below[level - 1]
+        places = np.arange(FANOUT)
+        left = np.repeat(first[a][:, None] + places, FANOUT, axis=1)
+        right = np.tile(first[b][:, None] + places, (1, FANOUT))
+        kept = (left < end[a][:, None]) & (right < end[b][:, None]) & (left <= right)
+        return left[kept], right[kept]
+
+
+def _forest_pairs(dealt: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of one bucket that may be alike and are of different components; buckets pass in order."""
+    spread = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = ["shingle", "low", "high"]
+    ordered = dealt.select(*bucket, "n", "class", "component", "bitmap").repartition(spread, *bucket).sortWithinPartitions(*bucket, "n", "class")
+
+    def searched(rows: pa.Table) -> pa.RecordBatch:
+        columns = {name: rows.column(name).to_numpy() for name in [*bucket, "n", "class", "component"]}
+        bitmaps = np.frombuffer(b"".join(rows.column("bitmap").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        new = np.ones(len(bitmaps), bool)
+        new[1:] = np.any([columns[name][1:] != columns[name][:-1] for name in bucket], axis=0)
+        parts = np.unique(columns["component"], return_inverse=True)[1]
+        forest = SignatureForest(bitmaps, columns["n"], parts, np.flatnonzero(new), percent)
+        found = [np.zeros((2, 0), np.int64), *(columns["class"][np.stack(pair)] for pair in forest.pairs())]
+        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-
-def _tree_pairs(bucket: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of classes of one bucket that may be alike and are of different components."""
-    rows = bucket.sort_values(["n", "class"])
-    bitmaps = np.frombuffer(b"".join(rows["bitmap"]), np.uint8).reshape(len(rows), BITS // 8).view(np.uint64)
-    parts = pd.factorize(rows["component"])[0].astype(np.int64)
-    tree = SignatureTree(bitmaps, rows["n"].to_numpy(), parts, percent)
-    names = rows["class"].to_numpy()
-    found = [(names[a], names[b]) for a, b in tree.pairs()]
-    a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-    b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
-    return pd.DataFrame({"a": a, "b": b})
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of the last bucket, which the next batch may go on with
+        for batch in found:
+            if not len(batch):
+                continue
+            last = [batch.column(name)[len(batch) - 1].as_py() for name in bucket]
+            same = np.all([batch.column(name).to_numpy() == value for name, value in zip(bucket, last, strict=True)], axis=0)
+            begin = int(np.flatnonzero(same)[0])
+            if begin:
+                yield searched(pa.Table.from_batches([*held, batch.slice(0, begin)]))
+                held = []
+            elif held and [held[0].column(name)[0].as_py() for name in bucket] != last:
+                yield searched(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(begin))
+        if held:
+            yield searched(pa.Table.from_batches(held))
+
+    return ordered.mapInArrow(batches, "a bigint, b bigint")
 
 
 def _beside(rows: DataFrame, key: str, other: DataFrame, other_key: str, names: dict[str, str]) -> DataFrame:
@@ -341,9 +376,8 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     mixed = stored(mixed.select(F.col("shingle").alias("of")), "mixed")
     open_rows = stored(rows.join(mixed, F.col("shingle") == F.col("of"), "left_semi"), "open")
     dealt = _beside(_dealt(open_rows), "class", sketches, "class", {"bitmap": "bitmap"})
-    found = dealt.groupBy("shingle", "low", "high").applyInPandas(lambda bucket: _tree_pairs(bucket, percent), "a bigint, b bigint")
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+    pairs = _forest_pairs(dealt, percent).distinct().join(done, ["a", "b"], "left_anti")
     more = stored(_alike(stored(pairs, "pairs"), sketches, texts, percent, size), "links")
     known = components(links.unionByName(more))
 
