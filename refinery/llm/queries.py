@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, mixing, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import bpe, lines, mixing, quality, reputation, sigtree, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
@@ -60,6 +60,10 @@ def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.classified(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_cut", "text")
+
+
 def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -72,6 +76,7 @@ def queries() -> dict:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_host_reputation": op6_host_reputation,
         "op8_signature_trees": op8_signature_trees,
+        "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_vector_approximation": op10_vector_approximation,
     }
 
