@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, lines, mixing, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import bpe, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
@@ -31,6 +32,13 @@ def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, with_ids=False)
 
 
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    held_out = F.crc32(name.cast("binary")) % 7 == 2
+    scores = ppm.scored(_documents(spark, sf_dir), ~held_out)
+    return scores.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -70,7 +78,9 @@ def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_rans_token_files": op1_rans_token_files,
+        "op2_ppm_scores": op2_ppm_scores,
         "op3_robust_outliers": op3_robust_outliers,
         "op4_pivotal_mix": op4_pivotal_mix,
         "op5_byte_bpe": op5_byte_bpe,
