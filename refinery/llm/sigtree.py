@@ -30,12 +30,12 @@ from refinery.llm.words import Words, in_parts, mix
 
 PERCENT = 80
 SHINGLE = 5
-BITS = 2048
+BITS = 1024
 FANOUT = 8
 BUCKET_ROWS = 2048  # classes of a bucket that one task compares; more are dealt into pairs of parts
 # The order of shingles, not the result, rests on these: documents sampled for frequent shingles, and how many are kept.
 SAMPLED_DOCUMENTS, FREQUENT_IN, MOST_FREQUENT = 20_000, 2, 1 << 18
-BROADCAST_ROWS = 4_000_000  # of one number each, at most 64 MB in memory
+BROADCAST_ROWS = 1_000_000  # of up to four numbers each, some 80 MB in memory
 _PAIRS_AT_ONCE = 1 << 18
 
 
@@ -274,6 +274,11 @@ def _beside(rows: DataFrame, key: str, other: DataFrame, other_key: str, names:
     return rows.join(chosen, F.col(key) == F.col("_key")).drop("_key")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast if it is small enough and joined by a shuffle if not."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _may_be_alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (``a``, ``b``) whose sizes and bitmaps do not rule the similarity out."""
     both = _beside(pairs, "a", classes, "class", {"n": "n_a", "bitmap": "bitmap_a"})
@@ -296,9 +301,7 @@ def _may_be_alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 def _alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs whose sets are alike. Sets are built anew from the texts of the classes that are in a pair."""
     asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    keys = stored(_beside(asked, "class", classes, "class", {"row_key": "class_key"}), "asked")
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
+    keys = _small(stored(_beside(asked, "class", classes, "class", {"row_key": "class_key"}), "asked"))
     chosen = texts.join(keys, F.col("row_key") == F.col("class_key")).select("class", "text")
 
     def sets(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,17 +357,15 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
     classes = some.groupBy(*same).agg(F.min(named).alias("best"))
     classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    of_class = classes.select("class", F.col("best.row_key").alias("class_key"), F.col("n").alias("n_class"), F.col("first").alias("first_class"))
+    of_class = _small(classes.select("class", F.col("best.row_key").alias("class_key"), F.col("n").alias("n_class"), F.col("first").alias("first_class")))
     # One row per class carries its prefix and bitmap on; equal rows have equal ones.
     chosen = some.join(
         of_class, (F.col("row_key") == F.col("class_key")) & (F.col("n") == F.col("n_class")) & (F.col("first") == F.col("first_class"))
     ).select("class", "row_key", "n", "prefix", "bitmap")
-    repeated = chosen.groupBy("class").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").limit(1).count()
-    if repeated:
-        chosen = chosen.dropDuplicates(["class"])
-    sketches = stored(chosen, "sketches")
-
-    buckets = stored(_buckets(sketches.select("prefix", "class", "n")), "buckets")
+    sketches = chosen.select("class", "row_key", "n", "bitmap").dropDuplicates(["class"])
+    sketches = stored(sketches, "sketches")
+    # Rows that share a key give the same prefix again; a bucket of one class that is there twice says nothing.
+    buckets = stored(_buckets(chosen.select("prefix", "class", "n")), "buckets")
     stars = buckets.filter("leader != class").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     first = stored(_may_be_alike(stars, sketches, percent), "pairs")
     links = stored(_alike(first, sketches, texts, percent, size), "links")

@@ -8,5 +8,5 @@ from refinery.operators.storage import new_folder
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table: worked out once, read again by every later step."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
