@@ -6,7 +6,7 @@ context has different bytes) and is predicted from the next shorter context with
 down to one chance in 255 for a byte never seen. A text is preceded by a mark that no text holds (0xFF) and ends with
 another one (0xFE), which is predicted like a byte.
 
-A trie of a large corpus fits no task, and no task needs all of it. Documents lie in blocks of some 16 MB; a block's
+A trie of a large corpus fits no task, and no task needs all of it. Documents lie in blocks of some 8 MB (as stored); a block's
 windows of ORDER + 1 bytes and words are counted once, counts of all blocks are added up per window, every window's
 probability is worked out once on the trie's tables, and each block gets back the windows and words that it holds. So
 what a task holds is bounded by its block, and what is gathered from the corpus grows with it.
@@ -32,8 +32,10 @@ from refinery.llm.tables import stored
 ORDER = 4
 START, END = 0xFF, 0xFE
 SYMBOLS = 255
-BLOCK_BYTES = 16 << 20
-_PART_BYTES = 1 << 20
+BLOCK_BYTES = 8 << 20
+_PART_BYTES = 1 << 18
+_ROWS_AT_ONCE = 256
+_HELD = 60_000  # words or windows a task holds before it passes their counts on
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
@@ -111,53 +113,61 @@ def _in_blocks(docs: DataFrame, is_training: Column) -> DataFrame:
     return stored(docs.select(block.alias("block"), F.col("doc_id").cast("bigint"), is_training.alias("training"), text.alias("text")), "blocks")
 
 
+def _added(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by ascending keys, with those of some more keys added."""
+    order = np.argsort(more)
+    more, weights = more[order], weights[order]
+    begin = np.flatnonzero(np.concatenate([[True], more[1:] != more[:-1]])) if len(more) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(weights, begin, dtype=np.int64) if len(more) else np.zeros(0, np.int64)
+    merged, place = np.unique(np.concatenate([keys, more[begin]]), return_inverse=True)
+    total = np.zeros(len(merged), np.int64)
+    total[place[: len(keys)]] = counts
+    total[place[len(keys) :]] += sums
+    return merged, total
+
+
 def _counted(blocks: DataFrame) -> DataFrame:
-    """``block``, ``window`` or ``word`` (-1, '' for the other) and ``n``, its occurrences in the block's training texts."""
+    """``block``, ``window`` or ``word`` (-1, '' for the other) and ``n``, occurrences in the block's training texts.
+
+    A task passes counts on when it holds many, so a window or word of a block may have several rows.
+    """
 
-    def rows(block: int, found: tuple[list, list, dict]) -> pa.RecordBatch:
-        keys = np.concatenate([np.zeros(0, np.int64), *found[0]])
-        distinct, place = np.unique(keys, return_inverse=True)
-        counts = np.bincount(place, np.concatenate([np.zeros(0), *found[1]]), len(distinct)).astype(np.int64)
-        words = list(found[2])
+    def rows(block: int, keys: np.ndarray, counts: np.ndarray, words: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(len(distinct) + len(words), block)),
-                pa.array(np.concatenate([distinct, np.full(len(words), -1)])),
-                pa.array([""] * len(distinct) + words, pa.string()),
-                pa.array(np.concatenate([counts, np.array(list(found[2].values()), np.int64)])),
+                pa.array(np.full(len(keys) + len(words), block)),
+                pa.array(np.concatenate([keys, np.full(len(words), -1)])),
+                pa.array([""] * len(keys) + list(words), pa.string()),
+                pa.array(np.concatenate([counts, np.array(list(words.values()), np.int64)])),
             ],
             names=["block", "window", "word", "n"],
         )
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list, Counter]] = {}
+        none = np.zeros(0, np.int64)
+        held: dict[int, tuple[Counter, np.ndarray, np.ndarray]] = {}
         for batch in found:
-            of = batch.column("block").to_numpy()
-            for block in np.unique(of).tolist():
-                some = batch.filter(pa.array(of == block))
-                keys, counts, words = held.setdefault(block, ([], [], Counter()))
-                training = some.column("training").to_numpy(zero_copy_only=False).astype(bool)
-                texts = some.column("text").to_pylist()
-                for text, learns in zip(texts, training.tolist(), strict=True):
-                    tokens = _WORD.findall(text)
-                    if learns:
-                        words.update(tokens)
+            for at in range(0, len(batch), _ROWS_AT_ONCE):
+                some = batch.slice(at, _ROWS_AT_ONCE)
+                of = some.column("block").to_numpy()
+                for block in np.unique(of).tolist():
+                    mine = some.filter(pa.array(of == block))
+                    words, keys, counts = held.pop(block, (Counter(), none, none))
+                    training = mine.column("training").to_numpy(zero_copy_only=False).astype(bool)
+                    texts = mine.column("text").to_pylist()
+                    for text, learns in zip(texts, training.tolist(), strict=True):
+                        tokens = _WORD.findall(text)
+                        words.update(tokens if learns else dict.fromkeys(tokens, 0))
+                    for first, part in _parts(texts):
+                        every, begin = windows(part)
+                        weights = np.repeat(training[first : first + len(part)], np.diff(begin))
+                        keys, counts = _added(keys, counts, every, weights)
+                    if len(words) > _HELD or len(keys) > _HELD * 4:
+                        yield rows(block, keys, counts, words)
                     else:
-                        words.update(dict.fromkeys(tokens, 0))
-                for first, part in _parts(texts):
-                    every, begin = windows(part)
-                    learns = np.repeat(training[first : first + len(part)], np.diff(begin))
-                    for wanted, weight in ((learns, 1), (~learns, 0)):
-                        distinct, n = np.unique(every[wanted], return_counts=True)
-                        keys.append(distinct)
-                        counts.append((n * weight).astype(np.float64))
-                if len(keys) > 64:
-                    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-                    counts[:] = [np.bincount(place, np.concatenate(counts), len(distinct))]
-                    keys[:] = [distinct]
-            # Blocks of other partitions of the scan can't come any more; those of this one may.
-        for block, parts in held.items():
-            yield rows(block, parts)
+                        held[block] = words, keys, counts
+        for block, (words, keys, counts) in held.items():
+            yield rows(block, keys, counts, words)
 
     return stored(blocks.select("block", "training", "text").mapInArrow(batches, "block bigint, window bigint, word string, n bigint"), "counts")
 
@@ -227,8 +237,8 @@ def window_scores(totals: DataFrame, order: int = ORDER) -> DataFrame:
 
 def _per_block(counted: DataFrame, training: DataFrame) -> tuple[DataFrame, dict]:
     """What each block has to know of its windows (``score``) and words (``n``), and the totals N and V of the base."""
-    # A window or word has a row per block at most, so the lists are as long as there are blocks.
-    of = F.collect_list("block").alias("blocks")
+    # The sets are as large as there are blocks at most.
+    of = F.collect_set("block").alias("blocks")
     grams = stored(counted.filter("window >= 0").groupBy("window").agg(F.sum("n").alias("n"), of), "windows")
     words = stored(counted.filter("window < 0").groupBy("word").agg(F.sum("n").alias("n"), of), "words")
     texts = training.agg(F.count_if("training")).first()[0]
@@ -259,20 +269,21 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
         values = facts.column("score").to_numpy()
         lookup = Lookup(of[of >= 0], values[of >= 0])
         vocabulary = dict(zip(facts.column("word").filter(pa.array(of < 0)).to_pylist(), values[of < 0].tolist(), strict=True))
-        strings = texts.column("text").to_pylist()
         tokens, familiar, base, total = [], [], [], []
-        for text in strings:
-            found = _WORD.findall(text)
-            counts = np.fromiter((vocabulary.get(word, 0.0) for word in found), np.float64, len(found))
-            tokens.append(len(found) + 1)
-            familiar.append(int((counts > 0).sum()) + (ends > 0))
-            base.append(float(np.log10(counts + 1).sum()) + math.log10(ends + 1) - missing * (len(found) + 1))
-        for _, part in _parts(strings):
-            keys, begin = windows(part)
-            total.append(np.add.reduceat(lookup[keys], begin[:-1]))
+        for at in range(0, len(texts), _ROWS_AT_ONCE):
+            strings = texts.column("text").slice(at, _ROWS_AT_ONCE).to_pylist()
+            for text in strings:
+                found = _WORD.findall(text)
+                counts = np.fromiter((vocabulary.get(word, 0.0) for word in found), np.float64, len(found))
+                tokens.append(len(found) + 1)
+                familiar.append(int((counts > 0).sum()) + (ends > 0))
+                base.append(float(np.log10(counts + 1).sum()) + math.log10(ends + 1) - missing * (len(found) + 1))
+            for _, part in _parts(strings):
+                keys, begin = windows(part)
+                total.append(np.add.reduceat(lookup[keys], begin[:-1]))
         return pa.table({
             "doc_id": texts.column("doc_id"), "training": texts.column("training"), "n_tokens": pa.array(tokens, pa.int64()),
-            "n_known": pa.array(familiar, pa.int64()), "train_tokens": pa.array([n] * len(strings), pa.int64()),
+            "n_known": pa.array(familiar, pa.int64()), "train_tokens": pa.array(np.full(len(texts), n)),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(np.concatenate([np.zeros(0), *total])),
         })
 
