@@ -7,12 +7,13 @@
 3. Each class of a bucket is compared with the bucket's first class. That links copies with few changes, however many
    there are, by one comparison each.
 4. Buckets that still hold several components go through a signature tree: leaves are the bucket's classes, with a
-   bitmap of hashed shingles and a size; a node has the OR and the AND of its children's bitmaps and their range of
-   sizes. A pair of nodes is dropped if no two sets below it can overlap enough, or if all are linked already. What
-   two leaves leave over is compared exactly.
+   bitmap of hashed shingles, a size, and how many shingles are left in the order from the bucket's on; a node has the
+   OR and the AND of its children's bitmaps and the ranges of their numbers. A pair of nodes is dropped if no two sets
+   below it can overlap enough, or if all are linked already. What two leaves leave over is compared exactly.
 
-Steps 3 and 4 together compare every pair that shares a prefix shingle and is not in one component anyway, so no link
-between different components is lost.
+Two alike sets meet in the bucket of the first shingle they share, where all that they share is still left. So steps 3
+and 4 together compare every pair of alike sets that is not in one component anyway, and no link between different
+components is lost.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from refinery.llm.words import Words, in_parts, mix
 
 PERCENT = 80
 SHINGLE = 5
-BITS = 1024
+BITS = 2048
 FANOUT = 8
 BUCKET_ROWS = 2048  # classes of a bucket that one task compares; more are dealt into pairs of parts
 # The order of shingles, not the result, rests on these: documents sampled for frequent shingles, and how many are kept.
@@ -115,19 +116,22 @@ def _features(docs: DataFrame, percent: int, size: int, frequent: np.ndarray) ->
 
 
 def _buckets(prefixes: DataFrame) -> DataFrame:
-    """``shingle``, ``class``, ``n`` and ``leader`` of every shingle that two or more classes have in their prefix.
+    """``shingle``, ``class``, ``n``, ``rest`` and ``leader`` of every shingle that two or more classes have in their prefix.
+
+    ``rest`` counts the shingles of the class from this one on.
 
     Rows pass in the order of their shingles and are not held, so a bucket may be of any size.
     """
-    rows = prefixes.select(F.explode("prefix").alias("shingle"), "class", "n")
+    rows = prefixes.select(F.posexplode("prefix").alias("at", "shingle"), "class", F.col("n").cast("int"))
+    rows = rows.select("shingle", "class", "n", (F.col("n") - F.col("at")).alias("rest"))
     spread = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(spread, "shingle").sortWithinPartitions("shingle", "class")
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 3), np.int64)  # the last row, which may begin a bucket
+        held = np.zeros((0, 4), np.int64)  # the last row, which may begin a bucket
         shingle = leader = None  # of the bucket that the last row given out is in
         for batch in found:
-            rows = np.concatenate([held, np.column_stack([batch.column(i).to_numpy() for i in range(3)])])
+            rows = np.concatenate([held, np.column_stack([batch.column(i).to_numpy() for i in range(4)])])
             held = rows[-1:]
             if len(rows) < 2:
                 continue
@@ -148,12 +152,12 @@ def _buckets(prefixes: DataFrame) -> DataFrame:
         if shingle is not None and len(held):
             yield _bucket_rows(held, np.array([leader]))
 
-    return ordered.mapInArrow(batches, "shingle bigint, class bigint, n bigint, leader bigint")
+    return ordered.mapInArrow(batches, "shingle bigint, class bigint, n bigint, rest bigint, leader bigint")
 
 
 def _bucket_rows(rows: np.ndarray, leaders: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(leaders)], names=["shingle", "class", "n", "leader"])
+    columns = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(4)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(leaders)], names=["shingle", "class", "n", "rest", "leader"])
 
 
 def _popcount(bitmaps: np.ndarray) -> np.ndarray:
@@ -164,18 +168,18 @@ class SignatureForest:
     """A signature tree for each of some buckets, level by level in shared arrays.
 
     Level 0 are the rows, the rows of a bucket together. A node of the next level stands for up to ``FANOUT`` nodes of
-    one bucket: OR and AND of their bitmaps, range of their sizes, and their component if it is the only one. The last
-    level has one node per bucket.
+    one bucket: OR and AND of their bitmaps, range of their sizes, the largest rest, and their component if it is the
+    only one. The last level has one node per bucket.
     """
 
-    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, parts: np.ndarray, begin: np.ndarray, percent: int):
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, rests: np.ndarray, parts: np.ndarray, begin: np.ndarray, percent: int):
         """``begin``: first row of each bucket."""
         self.percent = percent
-        self.levels = [(bitmaps, bitmaps, sizes, sizes, parts)]
+        self.levels = [(bitmaps, bitmaps, sizes, sizes, rests, parts)]
         self.below: list[tuple[np.ndarray, np.ndarray]] = []  # of each node: its first node on the level below, and the end
         end = np.append(begin[1:], len(sizes))
         while len(begin) and (end - begin).max() > 1:
-            any_bits, all_bits, least, most, part = self.levels[-1]
+            any_bits, all_bits, least, most, rest, part = self.levels[-1]
             nodes = -(-(end - begin) // FANOUT)
             place = np.arange(nodes.sum()) - np.repeat(np.cumsum(nodes) - nodes, nodes)
             first = np.repeat(begin, nodes) + place * FANOUT
@@ -183,16 +187,17 @@ class SignatureForest:
             low, high = np.minimum.reduceat(part, first), np.maximum.reduceat(part, first)
             self.levels.append((
                 np.bitwise_or.reduceat(any_bits, first, axis=0), np.bitwise_and.reduceat(all_bits, first, axis=0),
-                np.minimum.reduceat(least, first), np.maximum.reduceat(most, first), np.where((low == high) & (low >= 0), low, -1),
+                np.minimum.reduceat(least, first), np.maximum.reduceat(most, first), np.maximum.reduceat(rest, first), np.where((low == high) & (low >= 0), low, -1),
             ))
             end = np.cumsum(nodes)
             begin = end - nodes
 
     def possible(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Places of the pairs of nodes below which two sets can be alike enough and are not known to be linked."""
-        any_bits, all_bits, least, most, part = self.levels[level]
+        any_bits, all_bits, least, most, rest, part = self.levels[level]
         kept = (part[a] != part[b]) | (part[a] < 0)
         kept &= (most[a] * 100 >= least[b] * self.percent) & (most[b] * 100 >= least[a] * self.percent)
+        kept &= np.minimum(rest[a], rest[b]) >= _needed(least[a], least[b], self.percent)
         found = np.flatnonzero(kept)
         a, b = a[found], b[found]
         needed = _needed(least[a], least[b], self.percent)
@@ -235,15 +240,15 @@ def _forest_pairs(dealt: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of one bucket that may be alike and are of different components; buckets pass in order."""
     spread = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = ["shingle", "low", "high"]
-    ordered = dealt.select(*bucket, "n", "class", "component", "bitmap").repartition(spread, *bucket).sortWithinPartitions(*bucket, "n", "class")
+    ordered = dealt.select(*bucket, "n", "rest", "class", "component", "bitmap").repartition(spread, *bucket).sortWithinPartitions(*bucket, "n", "class")
 
     def searched(rows: pa.Table) -> pa.RecordBatch:
-        columns = {name: rows.column(name).to_numpy() for name in [*bucket, "n", "class", "component"]}
+        columns = {name: rows.column(name).to_numpy() for name in [*bucket, "n", "rest", "class", "component"]}
         bitmaps = np.frombuffer(b"".join(rows.column("bitmap").to_pylist()), np.uint64).reshape(-1, BITS // 64)
         new = np.ones(len(bitmaps), bool)
         new[1:] = np.any([columns[name][1:] != columns[name][:-1] for name in bucket], axis=0)
         parts = np.unique(columns["component"], return_inverse=True)[1]
-        forest = SignatureForest(bitmaps, columns["n"], parts, np.flatnonzero(new), percent)
+        forest = SignatureForest(bitmaps, columns["n"], columns["rest"], parts, np.flatnonzero(new), percent)
         found = [np.zeros((2, 0), np.int64), *(columns["class"][np.stack(pair)] for pair in forest.pairs())]
         pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -371,8 +376,8 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     links = stored(_alike(first, sketches, texts, percent, size), "links")
     known = components(links)
 
-    rows = buckets.select("shingle", "class", "n").join(known, F.col("class") == F.col("node"), "left")
-    rows = stored(rows.select("shingle", "class", "n", F.coalesce("component", "class").alias("component")), "members")
+    rows = buckets.select("shingle", "class", "n", "rest").join(known, F.col("class") == F.col("node"), "left")
+    rows = stored(rows.select("shingle", "class", "n", "rest", F.coalesce("component", "class").alias("component")), "members")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
     mixed = stored(mixed.select(F.col("shingle").alias("of")), "mixed")
     open_rows = stored(rows.join(mixed, F.col("shingle") == F.col("of"), "left_semi"), "open")

@@ -111,7 +111,7 @@ def test_the_forest_leaves_every_pair_that_is_alike():
     sets = [sets[i] for i in order]
     bitmaps = np.frombuffer(b"".join(map(sigtree._bitmap, sets)), np.uint64).reshape(len(sets), -1)
     sizes, parts = np.array(list(map(len, sets))), np.arange(len(sets))
-    forest = sigtree.SignatureForest(bitmaps, sizes, parts, begin, 80)
+    forest = sigtree.SignatureForest(bitmaps, sizes, sizes, parts, begin, 80)
     found = {pair for a, b in forest.pairs() for pair in zip(a.tolist(), b.tolist(), strict=True)}
     bucket = np.searchsorted(begin, np.arange(len(sets)), "right")
     alike = set()
