@@ -37,7 +37,8 @@ BUCKET_ROWS = 2048  # classes of a bucket that one task compares; more are dealt
 # The order of shingles, not the result, rests on these: documents sampled for frequent shingles, and how many are kept.
 SAMPLED_DOCUMENTS, FREQUENT_IN, MOST_FREQUENT = 20_000, 2, 1 << 18
 BROADCAST_ROWS = 1_000_000  # of up to four numbers each, some 80 MB in memory
-_PAIRS_AT_ONCE = 1 << 18
+_PAIRS_AT_ONCE = 1 << 16
+_ROWS_AT_ONCE = 512
 
 
 def _needed(size: np.ndarray | int, other: np.ndarray | int, percent: int):
@@ -52,6 +53,14 @@ def _shingle_rows(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
             yield hashes[a:b]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that what a step makes of one stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), _ROWS_AT_ONCE):
+            yield batch.slice(at, _ROWS_AT_ONCE)
+            pa.default_memory_pool().release_unused()
+
+
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
     """Shingles of many documents, ascending, from a sample of documents with different texts."""
     total = docs.count()
@@ -59,7 +68,7 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
     some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text").distinct()
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in _slices(found):
             rows = list(_shingle_rows(batch.column("text").to_pylist(), size))
             if rows:
                 shingles, counts = np.unique(np.concatenate(rows), return_counts=True)
@@ -90,26 +99,24 @@ def _features(docs: DataFrame, percent: int, size: int, frequent: np.ndarray) ->
         return shingles[:kept]
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for at in range(0, len(batch), 1024):
-                some = batch.slice(at, 1024)
-                sizes, first, second, prefixes, maps = [], [], [], [], []
-                for shingles in _shingle_rows(some.column("text").to_pylist(), size):
-                    spread = mix(shingles)
-                    sizes.append(len(shingles))
-                    first.append(int(np.sum(spread, dtype=np.uint64).view(np.int64)))
-                    second.append(int(np.sum(mix(spread ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64).view(np.int64)))
-                    prefixes.append(prefix(shingles) if len(shingles) else shingles)
-                    maps.append(_bitmap(shingles))
-                ends = pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32())
-                flat = np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column("doc_id"), some.column("row_key"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                        pa.array(second, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat)), pa.array(maps, pa.binary()),
-                    ],
-                    names=["doc_id", "row_key", "n", "first", "second", "prefix", "bitmap"],
-                )
+        for some in _slices(found):
+            sizes, first, second, prefixes, maps = [], [], [], [], []
+            for shingles in _shingle_rows(some.column("text").to_pylist(), size):
+                spread = mix(shingles)
+                sizes.append(len(shingles))
+                first.append(int(np.sum(spread, dtype=np.uint64).view(np.int64)))
+                second.append(int(np.sum(mix(spread ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64).view(np.int64)))
+                prefixes.append(prefix(shingles) if len(shingles) else shingles)
+                maps.append(_bitmap(shingles))
+            ends = pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32())
+            flat = np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column("doc_id"), some.column("row_key"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
+                    pa.array(second, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat)), pa.array(maps, pa.binary()),
+                ],
+                names=["doc_id", "row_key", "n", "first", "second", "prefix", "bitmap"],
+            )
 
     schema = "doc_id bigint, row_key bigint, n bigint, first bigint, second bigint, prefix array<bigint>, bitmap binary"
     return docs.mapInArrow(batches, schema)
@@ -310,7 +317,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int,
     chosen = texts.join(keys, F.col("row_key") == F.col("class_key")).select("class", "text")
 
     def sets(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in _slices(found):
             rows = [row.tobytes() for row in _shingle_rows(batch.column("text").to_pylist(), size)]
             yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(rows, pa.binary())], names=["class", "shingles"])
 
