@@ -21,11 +21,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land.add_argument("--url", required=True, help="JDBC address of the source database")
     land.add_argument("--properties", type=Path, help="JSON file with user, password and driver options")
     land.add_argument("--raw", required=True, help="folder that holds one folder per raw table")
-    land.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    land.add_argument("--format", default="parquet", choices=["csv", "parquet"])
 
     silver = jobs.add_parser("silver", help="clean the raw tables")
     silver.add_argument("--raw", required=True)
-    silver.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    silver.add_argument("--format", default="parquet", choices=["csv", "parquet"])
     silver.add_argument("--root", required=True, help="folder for the clean tables")
     silver.add_argument("--database", default="silver")
     silver.add_argument("--as-of", type=dt.date.fromisoformat, help="birth dates after this day are dropped (today)")

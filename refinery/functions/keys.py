@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 # Shape of a CRM product key, "CC-CC-product", and the prefix on some ERP customer keys.
 CATEGORY_CHARS = 5
-PRODUCT_FROM, PRODUCT_CHARS = 7, 1000
+PRODUCT_FROM = 7
 CUSTOMER_PREFIX = "NAS"
 
 
@@ -14,7 +14,7 @@ def category_of(product_key: Column) -> Column:
 
 
 def product_of(product_key: Column) -> Column:
-    return F.substring(product_key, PRODUCT_FROM, PRODUCT_CHARS)
+    return F.substr(product_key, F.lit(PRODUCT_FROM))
 
 
 def without_hyphens(key: Column) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import LIMITS, Limits, heavy_keys, is_among
+from refinery.operators.skew import LIMITS, Limits, apart, heavy_keys
 from refinery.operators.storage import pin
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
@@ -79,12 +79,11 @@ def with_neighbours(
 
     The rows of heavy keys are put in one global order (see ``in_order``) instead of into one task per key.
     """
-    heavy = heavy_keys({key: df.select(key)}, limits)[key]
-    if not heavy:
+    heavy = heavy_keys({key: df.select(key)}, limits)
+    if heavy.isEmpty():
         return _neighbours_by_window(df, key, order, take)
-    is_heavy = is_among(key, heavy)
-    light = _neighbours_by_window(df.filter(~is_heavy), key, order, take)
-    return light.unionByName(_neighbours_by_place(df.filter(is_heavy), key, order, take, stored))
+    light, hot = apart(df, key, heavy, limits)
+    return _neighbours_by_window(light, key, order, take).unionByName(_neighbours_by_place(hot, key, order, take, stored))
 
 
 def _neighbours_by_window(df, key, order, take) -> DataFrame:

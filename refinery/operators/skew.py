@@ -1,17 +1,16 @@
 """Keys that hold too many rows for one task, and a left join that stays spread out over them."""
 
-from collections.abc import Callable, Iterable, Mapping
+import warnings
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from refinery.operators.storage import pin
 
-MOST_HEAVY_KEYS = 10_000
 SAMPLED_ROWS = 1_000
 
 
@@ -26,33 +25,40 @@ class Limits:
 LIMITS = Limits()
 
 
-def heavy_keys(keys: Mapping[str, DataFrame], limits: Limits = LIMITS) -> dict[str, dict]:
-    """For each table of ``keys``, given as its key column alone: the keys (NULL too) with more than
-    ``rows_per_task`` rows, and about how many rows they have.
+def heavy_keys(keys: Mapping[str, DataFrame], limits: Limits = LIMITS) -> DataFrame:
+    """``name``, ``key`` (NULL too) and about how many rows ``n`` it has, for each key of a table of ``keys``, given as its
+    key column alone, with more than ``rows_per_task`` rows. Pinned; as long as all rows over ``rows_per_task`` at most.
 
     Counted on a sample in which a key at the limit has ``SAMPLED_ROWS`` rows, so next to nothing is shuffled.
     The answer only decides how rows are spread over tasks, never which rows are in a result: a key missed or
-    named in error costs time. At most ``MOST_HEAVY_KEYS`` keys come back, the largest ones: any other key
-    has less than one row in ``MOST_HEAVY_KEYS`` of all, and callers treat it like every other key.
+    named in error costs time. The key columns must be of one type.
     """
+    types = {df.schema[0].dataType for df in keys.values()}
+    if len(types) != 1:
+        raise TypeError(f"keys of different types: {types}")
     fraction = min(1.0, SAMPLED_ROWS / limits.rows_per_task)
     named = [df.select(F.lit(name).alias("name"), F.col(df.columns[0]).alias("key")) for name, df in keys.items()]
     rows = reduce(DataFrame.unionByName, named)
     sampled = rows.sample(fraction, seed=1) if fraction < 1 else rows
     counts = sampled.groupBy("name", "key").agg(F.count(F.lit(1)).alias("n"))
     above = counts.filter(F.col("n") > limits.rows_per_task * fraction)
-    heavy = {name: {} for name in keys}
-    for name, key, n in above.orderBy(F.desc("n")).limit(MOST_HEAVY_KEYS).collect():
-        heavy[name][key] = ceil(n / fraction)
-    return heavy
+    return pin(above.select("name", "key", F.ceil(F.col("n") / fraction).alias("n")))
 
 
-def is_among(key: str, heavy: Iterable) -> Column:
-    """Whether the row has one of the keys, which may include NULL; never NULL itself."""
-    known = [value for value in heavy if value is not None]
-    return F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(F.col(key).isin(known))
+def _beside(rows: DataFrame, limits: Limits) -> DataFrame:
+    """A pinned table of keys and a few numbers, to be broadcast if its size allows it."""
+    small = rows.count() * len(rows.columns) * _BYTES_PER_KEY <= limits.broadcast_bytes
+    return F.broadcast(rows) if small else rows
 
 
+def apart(df: DataFrame, key: str, heavy: DataFrame, limits: Limits = LIMITS) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is not among the heavy ones of the table ``key``, and those whose key is."""
+    keys = _beside(heavy.filter(F.col("name") == key).select(F.col("key").alias("_heavy")), limits)
+    same = F.col(key).eqNullSafe(F.col("_heavy"))
+    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+
+
+_BYTES_PER_KEY = 64  # taken for each key or number of a hot key
 _BYTES_PER_VALUE = 8  # taken for each value on top of its text
 
 
@@ -114,21 +120,23 @@ def left_join(
 
 
 def _join_large(left, left_key, rights, spread, limits) -> DataFrame:
+    if left.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        warnings.warn("spark.sql.adaptive.enabled is off: hot keys of the left side stay in one task each", stacklevel=3)
     keys = {name: df.select(name) for name, df in rights.items()}
     if spread is not None:
         keys[left_key] = left.select(left_key)
     heavy = heavy_keys(keys, limits)
-    if not any(heavy.values()):
+    if heavy.isEmpty():
         return reduce(
             lambda df, name: df.join(rights[name], F.col(left_key) == F.col(name), "left"), rights, left
         )
 
     sides = [left_key, *rights]
-    parts = _parts_table(left, left_key, sides, heavy, limits)
+    parts = _beside(_parts_table(sides, heavy, limits), limits)
     joined = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
     lost = F.lit(False)
     for name, right in rights.items():
-        numbered = _with_position(right, is_among(name, heavy[name]))
+        numbered = _with_position(right, name, heavy, limits)
         pieces = _cut(numbered, name, parts, sides, F.col("_position")).drop("_position", *map(_total, sides))
         pieces = pieces.withColumnsRenamed({_part(side): f"{_part(side)}_of_{name}" for side in sides})
         same = [F.col(_part(side)) == F.col(f"{_part(side)}_of_{name}") for side in sides]
@@ -146,27 +154,23 @@ def _total(side: str) -> str:
     return f"_parts_{side}"
 
 
-def _parts_table(left, left_key, sides, heavy, limits) -> DataFrame:
+def _parts_table(sides, heavy, limits) -> DataFrame:
     """One row per heavy key: into how many parts each side cuts it."""
-    keys = {key for found in heavy.values() for key in found}
-    rows = [
-        (key, *[max(1, ceil(heavy.get(side, {}).get(key, 1) / limits.rows_per_task)) for side in sides]) for key in keys
-    ]
-    schema = StructType([StructField("_heavy", left.schema[left_key].dataType)])
-    for side in sides:
-        schema = schema.add(_total(side), IntegerType())
-    return left.sparkSession.createDataFrame(rows, schema)
+    def parts(side: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("name") == side, F.ceil(F.col("n") / limits.rows_per_task))), F.lit(1))
+
+    return pin(heavy.groupBy(F.col("key").alias("_heavy")).agg(*[parts(side).cast("int").alias(_total(side)) for side in sides]))
 
 
-def _with_position(right: DataFrame, is_heavy: Column) -> DataFrame:
-    light = right.filter(~is_heavy).withColumn("_position", F.lit(0).cast("bigint"))
-    return light.unionByName(pin(right.filter(is_heavy)).withColumn("_position", F.monotonically_increasing_id()))
+def _with_position(right: DataFrame, name: str, heavy: DataFrame, limits: Limits) -> DataFrame:
+    light, hot = apart(right, name, heavy, limits)
+    light = light.withColumn("_position", F.lit(0).cast("bigint"))
+    return light.unionByName(pin(hot).withColumn("_position", F.monotonically_increasing_id()))
 
 
 def _cut(df, key, parts, sides, by: Column) -> DataFrame:
     """Gives each row its own part and copies it to all parts of the other sides."""
-    # parts has at most MOST_HEAVY_KEYS rows.
-    df = df.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
+    df = df.join(parts, F.col(key).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
     df = df.withColumns({_total(side): F.coalesce(_total(side), F.lit(1)) for side in sides})
     for side in sides:
         total = F.col(_total(side))

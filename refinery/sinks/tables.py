@@ -2,7 +2,6 @@
 
 import datetime as dt
 from collections.abc import Sequence
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,12 @@ def ensure_database(spark: SparkSession, name: str, path: str | None = None) ->
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`" + (f" LOCATION '{path}'" if path else ""))
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and host, as the file system that it is in names it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(there).toString().rstrip("/")
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
     """Creates the table over the files if there is none; a table with other columns or files is an error, not ignored."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING PARQUET LOCATION '{path}'")
@@ -43,7 +48,7 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str)
     if wrong:
         raise ValueError(f"table {name} exists with another schema: " + "; ".join(wrong))
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
-    if not urlparse(location).path.rstrip("/").endswith(urlparse(path).path.rstrip("/")):
+    if _qualified(spark, location) != _qualified(spark, path):
         raise ValueError(f"table {name} exists over other files: {location}")
     spark.catalog.refreshTable(name)
 

@@ -1,6 +1,6 @@
 """Raw delimited files: no header, a fixed schema, ``null`` for a missing value."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -39,8 +39,18 @@ def quality(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write(df: DataFrame, path: str) -> None:
-    """Replaces the files under ``path``, in the form that ``scan`` reads; values must not hold line breaks."""
-    df.write.mode("overwrite").options(
+    """Replaces the files under ``path``, in the form that ``scan`` reads.
+
+    A text that would not come back is an error: one with a line break, or the word that stands for a missing value.
+    """
+    lost = F.lit("a text with a line break, or the word for a missing value, can't be written as a delimited line")
+
+    def whole(name: str) -> Column:
+        value = F.col(name)
+        return F.when(value.contains("\n") | value.contains("\r") | (value == NULL_TEXT), F.raise_error(lost)).otherwise(value).alias(name)
+
+    texts = {field.name for field in df.schema if isinstance(field.dataType, StringType)}
+    df.select(*[whole(name) if name in texts else F.col(name) for name in df.columns]).write.mode("overwrite").options(
         delimiter=DELIMITER, nullValue=NULL_TEXT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
 

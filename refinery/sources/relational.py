@@ -75,9 +75,9 @@ def land(
     root: str,
     properties: Mapping[str, str],
     sources: Mapping[str, Source] = SOURCES,
-    file_format: str = "csv",
+    file_format: str = "parquet",
 ) -> None:
-    """Replaces each raw table's folder by a full copy of its source; ``csv`` or any format Spark writes."""
+    """Replaces each raw table's folder by a full copy of its source: ``parquet`` keeps every value, ``csv`` refuses those it can't."""
     for name, source in sources.items():
         rows = typed(read(spark, url, source, properties), name)
         if file_format == "csv":

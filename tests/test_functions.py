@@ -144,3 +144,8 @@ def test_codes_become_a_listed_label(spark, labels, values):
 @given(TEXTS)
 def test_country_is_never_missing_or_blank(spark, values):
     assert all(country and country.strip(" ") for country in results(spark, "string", values, codes.standard_country))
+
+
+def test_long_product_keys_stay_whole(spark):
+    long = "AB-CD-" + "x" * 2000
+    assert results(spark, "string", [long + "1", long + "2"], keys.product_of) == ["x" * 2000 + "1", "x" * 2000 + "2"]

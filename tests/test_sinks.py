@@ -128,3 +128,12 @@ def test_replace_takes_the_new_schema(spark, database, tmp_path):
 def test_repeated_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert rows(repeated_keys(df, "k")) == [("a", 2)]
+
+
+def test_a_table_over_files_with_the_same_end_is_an_error(spark, database, tmp_path):
+    schema = table(id=INT)
+    tables.refresh(spark.createDataFrame([(1,)], schema), database, "t", schema, f"{tmp_path}/old{tmp_path}/t")
+    with pytest.raises(ValueError, match="over other files"):
+        tables.refresh(spark.createDataFrame([(2,)], schema), database, "t", schema, f"{tmp_path}/t")
+    tables.refresh(spark.createDataFrame([(3,)], schema), database, "t", schema, f"file:{tmp_path}/old{tmp_path}/t")
+    assert [row.id for row in spark.table(f"{database}.t").collect()] == [3]

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import Limits, heavy_keys, is_among, left_join, small_tables
+from refinery.operators.skew import Limits, apart, heavy_keys, left_join, small_tables
 
 
 @pytest.fixture(scope="module")
@@ -46,24 +46,46 @@ def test_heavy_keys_counts_null_too(tables):
     def heavy(df, key):
         return {row[key]: row["count"] for row in df.groupBy(key).count().collect() if row["count"] > 10}
 
-    found = heavy_keys({"left": left.select("k"), "right": right.select("k1")}, Limits(10))
+    found = found_keys({"left": left.select("k"), "right": right.select("k1")}, Limits(10))
     assert found == {"left": heavy(left, "k"), "right": heavy(right, "k1")}
     assert None in found["left"]
 
 
+def found_keys(keys, limits):
+    found = {name: {} for name in keys}
+    for name, key, n in heavy_keys(keys, limits).collect():
+        found[name][key] = n
+    return found
+
+
 @pytest.mark.parametrize("heavy", [[], [None], [1], [1, None]])
-def test_is_among_knows_null(spark, heavy):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_heavy_rows_are_told_apart(spark, heavy, broadcast_bytes):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
-    assert {row[0] for row in df.filter(is_among("k", heavy)).collect()} == set(heavy)
-    assert df.filter(~is_among("k", heavy)).count() == 3 - len(heavy)
+    keys = spark.createDataFrame([("k", key) for key in heavy] + [("other", 2)], "name string, key int")
+    light, hot = apart(df, "k", keys, Limits(broadcast_bytes=broadcast_bytes))
+    assert {row[0] for row in hot.collect()} == set(heavy)
+    assert light.count() == 3 - len(heavy)
+
+
+def test_hot_keys_of_one_table_do_not_hide_those_of_another(spark):
+    left = spark.range(0, 60_000).select((F.col("id") % 12_000).alias("k"))
+    right = spark.range(0, 600).select(F.lit(-1).cast("bigint").alias("r"))
+    found = found_keys({"left": left, "right": right}, Limits(4))
+    assert len(found["left"]) == 12_000 and found["right"] == {-1: 600}
+
+
+def test_keys_of_different_types_are_an_error(spark):
+    with pytest.raises(TypeError):
+        heavy_keys({"a": spark.range(1), "b": spark.range(1).select(F.lit("x"))})
 
 
 def test_heavy_keys_of_many_rows_come_from_a_sample(spark):
     i = F.col("id")
     many = spark.range(0, 300_000, 1, 4).select(F.when(i % 3 == 0, -1).when(i % 3 == 1, None).otherwise(i).alias("k"))
-    found = heavy_keys({"many": many}, Limits(20_000))["many"]
+    found = found_keys({"many": many}, Limits(20_000))["many"]
     assert found.keys() == {-1, None} and all(80_000 < n < 120_000 for n in found.values())
-    assert heavy_keys({"many": many}, Limits(200_000)) == {"many": {}}
+    assert found_keys({"many": many}, Limits(200_000)) == {"many": {}}
 
 
 def test_parts_of_a_hot_key_go_to_different_tasks(spark, tables):

@@ -145,3 +145,24 @@ def test_catalog_read_checks_the_schema(spark):
 def test_views_answer_sql(spark):
     catalog.register_views({"t": spark.range(3)}, prefix="bronze_")
     assert spark.sql("SELECT sum(id) FROM bronze_t").first()[0] == 3
+
+
+ODD_TEXTS = [(1, "a\nb"), (2, "null"), (3, "ok"), (4, "c\r\nd"), (5, 'q"u,o\\te'), (6, ""), (7, " x ")]
+
+
+def test_landing_keeps_every_value(spark, tmp_path):
+    rows = spark.createDataFrame([(i, t, None, None) for i, t in ODD_TEXTS], BRONZE["erp_px_cat_g1v2"].simpleString().replace("id:string", "id:int")[7:-1])
+    relational.land(Landing(spark, lambda text: rows), "jdbc:x", str(tmp_path), {}, {"erp_px_cat_g1v2": relational.SOURCES["erp_px_cat_g1v2"]})
+    assert {(int(row[0]), row[1]) for row in spark.read.parquet(f"{tmp_path}/erp_px_cat_g1v2").collect()} == set(ODD_TEXTS)
+
+
+@pytest.mark.parametrize("text", ["a\nb", "null", "c\rd"])
+def test_lines_that_would_not_come_back_are_refused(spark, tmp_path, text):
+    with pytest.raises(Exception, match="line break"):
+        delimited.write(spark.createDataFrame([(1, text)], "i int, t string"), str(tmp_path / "t"))
+
+
+def test_other_texts_come_back(spark, tmp_path):
+    rows = spark.createDataFrame([row for row in ODD_TEXTS if row[0] in (3, 5, 6, 7)], "i int, t string")
+    delimited.write(rows, str(tmp_path / "t"))
+    assert {tuple(row) for row in delimited.scan(spark, str(tmp_path / "t"), rows.schema).collect()} == {tuple(row) for row in rows.collect()}
