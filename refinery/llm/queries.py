@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import bpe, licences, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
@@ -64,6 +64,10 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judged(_table(spark, sf_dir, "pages"), RULES)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.found(_documents(spark, sf_dir))
+
+
 def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.classified(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -85,6 +89,7 @@ def queries() -> dict:
         "op4_pivotal_mix": op4_pivotal_mix,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_host_reputation": op6_host_reputation,
+        "op7_licences": op7_licences,
         "op8_signature_trees": op8_signature_trees,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_vector_approximation": op10_vector_approximation,
@@ -144,6 +149,25 @@ SELECT page_id, host, path, rule, coalesce(label, CASE WHEN bound > 0.5 THEN 'bl
 FROM labelled JOIN bounds USING (host)
 """
 
+def _op7_sql() -> str:
+    """Passages and templates by plain lists; templates have no bigram twice, so a passage's matching ones are counted once."""
+    names = ", ".join(f"('{name}', {licences.template_bigrams(text)})" for name, text in licences.TEMPLATES.items())
+    return f"""
+WITH templates(licence, b) AS (VALUES {names}),
+lines AS (SELECT doc_id, string_split(text, chr(10)) AS l, text FROM documents WHERE text IS NOT NULL),
+passages AS (
+    SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS p FROM lines
+    UNION ALL SELECT doc_id, -1, text FROM lines WHERE len(l) > 1),
+words AS (SELECT doc_id, line_no, regexp_extract_all(lower(p), '[a-z0-9]+') AS w FROM passages),
+bigrams AS (
+    SELECT doc_id, line_no, CASE WHEN len(w) = 1 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END AS a
+    FROM words WHERE len(w) > 0 AND len(w) < 100),
+scored AS (
+    SELECT doc_id, line_no, licence, len(list_intersect(a, b)) AS common, len(a) + len(b) AS bigrams FROM bigrams, templates)
+SELECT doc_id, line_no::INT AS line_no, licence, common::INT AS common, bigrams::INT AS bigrams FROM scored WHERE 200 * common >= 80 * bigrams
+"""
+
+
 OP8_SQL = """
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
@@ -180,4 +204,4 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_reputation": OP6_SQL, "op8_signature_trees": OP8_SQL, "op10_vector_approximation": OP10_SQL}
+    return {"op7_licences": _op7_sql(), "op6_host_reputation": OP6_SQL, "op8_signature_trees": OP8_SQL, "op10_vector_approximation": OP10_SQL}
