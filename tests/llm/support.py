@@ -1,9 +1,12 @@
 """Tables and helpers shared by the tests of this folder."""
 
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+SF_DIR = Path("/root/testdata/sf0.001")
 DOCUMENTS = StructType([
     StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
     StructField("source", StringType()), StructField("n_chars", LongType()),
@@ -36,3 +39,15 @@ ODD = [
     (6, "word " * 30_000, "en", "b"),
     (7, "x" * 120_000, "de", "b"),
 ]
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    if not SF_DIR.exists():
+        pytest.skip("the given tables are not here")
+    return str(SF_DIR)
+
+
+@pytest.fixture(scope="session")
+def given_documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
 from refinery.llm import licences
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
 from refinery.llm import mixing, queries
 

@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from support import sf_dir  # noqa: F401
 
 from refinery.llm import queries
 

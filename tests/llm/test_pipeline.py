@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from test_lines import expected as lines_left
 from test_mixing import check as check_mix
 from test_mixing import size

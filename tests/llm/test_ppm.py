@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
 from refinery.llm import ppm, queries
 

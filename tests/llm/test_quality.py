@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
 from refinery.llm import quality, queries
 

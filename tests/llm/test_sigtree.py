@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
 from refinery.llm import queries, sigtree
 from refinery.llm.components import components

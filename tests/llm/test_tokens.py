@@ -11,7 +11,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from support import ODD, documents, prose
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from tokenizers import Tokenizer
 
 from refinery.llm import bpe, queries, rans, token_files
