@@ -5,11 +5,11 @@ import datetime as dt
 import json
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from refinery.plans import mart
-from refinery.schemas import BRONZE
-from refinery.sources import delimited, relational
+from refinery.schemas import BRONZE, SILVER
+from refinery.sources import catalog, delimited, relational
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -44,13 +44,22 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
     elif chosen.job == "silver":
         if chosen.format == "csv":
             raw = delimited.scan_bronze(spark, chosen.raw)
+            for name, schema in BRONZE.items():
+                _say(name, delimited.quality(spark, f"{chosen.raw}/{name}", schema))
         else:
             raw = {name: spark.read.schema(schema).parquet(f"{chosen.raw}/{name}") for name, schema in BRONZE.items()}
         mart.refresh_silver(spark, raw, chosen.root, chosen.database, chosen.as_of)
+        _say("keys", mart.repeated(catalog.read(spark, chosen.database, SILVER)))
     else:
         mart.refresh_gold(spark, chosen.silver_database, chosen.root, chosen.database)
 
 
+def _say(what: str, counts: DataFrame) -> None:
+    """Prints a few rows of counts, a line each."""
+    for row in counts.collect():
+        print(what, json.dumps(row.asDict()))
+
+
 def main() -> None:
     chosen = arguments()
     builder = SparkSession.builder.appName(f"refinery {chosen.job}")

@@ -1,6 +1,7 @@
 """Operators that need all rows, or all rows of a key, in one order - without a task that holds them all."""
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,52 +29,51 @@ def latest_per_key(
     return df.filter(F.col(key).isNotNull()).withColumn("_rank", newest).filter("_rank = 1").drop("_rank")
 
 
-def in_order(df: DataFrame, order: Sequence[Column], stored: bool = False) -> DataFrame:
+def _told_apart(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The rows with columns that tell exact copies apart, and an order in which no two rows tie.
+
+    Copies are counted per task of ``df`` before they are shuffled and numbered within that count, so a row is the same
+    row if a task is run again, and a group of copies is spread by the tasks that it comes from.
+    """
+    counted = df.withColumn("_from", F.spark_partition_id()).groupBy(*df.columns, "_from").agg(F.count(F.lit(1)).alias("_copies"))
+    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies")
+    return copies, [*ascending(df), F.col("_from"), F.col("_copy")]
+
+
+def in_order(df: DataFrame, order: Sequence[Column], distinct: bool = False) -> DataFrame:
     """The rows in one global order, pinned, with ``_chunk`` (place of the partition) and ``_at`` (place of the row).
 
-    Both grow along the order. Rows that tie in ``order`` are told apart by position, so Spark can put the
-    border between two partitions anywhere, even between exact copies. Positions are read from pinned rows;
-    ``stored`` says that ``df`` is a plain scan of such rows already.
+    Both grow along the order. Rows that tie in ``order`` go by their other columns and copies by number, so Spark can
+    put the border between two partitions anywhere, even between exact copies. ``distinct`` says that no two rows tie in
+    ``order``. Columns have to be comparable; a double of -0.0 comes back as 0.0.
     """
-    rows = (df if stored else pin(df)).withColumn("_tie", F.monotonically_increasing_id())
-    placed = pin(rows.orderBy(*order, "_tie").drop("_tie"))
+    rows, ties = (df, []) if distinct else _told_apart(df)
+    placed = pin(rows.orderBy(*order, *ties).select(*df.columns))
     return placed.withColumn("_at", F.monotonically_increasing_id()).withColumn(
         "_chunk", F.shiftrightunsigned("_at", _INDEX_BITS)
     )
 
 
-def dense_key(df: DataFrame, order: Sequence[Column], name: str, stored: bool = False) -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[Column], name: str, distinct: bool = False) -> DataFrame:
     """Adds the bigint column ``name``: 1..N in the given order, as one global ``row_number`` would."""
-    placed = in_order(df, order, stored)
-    # One row per partition of the sort, so this window and the broadcast below stay small. Pinned, so that
-    # the rows are counted once and not by every query on the result.
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    starts = pin(sizes.select("_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))
+    placed = in_order(df, order, distinct)
+    # One row per partition of the sort, of which there are at most spark.sql.shuffle.partitions: counted once here, and
+    # small enough for the driver and for every task.
+    sizes = sorted(map(tuple, placed.groupBy("_chunk").agg(F.count(F.lit(1))).collect()))
+    before = accumulate((rows for _, rows in sizes), initial=0)
+    starts = df.sparkSession.createDataFrame([(chunk, at) for (chunk, _), at in zip(sizes, before)], "_chunk bigint, _start bigint")
     row_in_chunk = F.col("_at").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
     return placed.join(F.broadcast(starts), "_chunk").select(
         *df.columns, (F.col("_start") + row_in_chunk + 1).alias(name)
     )
 
 
-def tile(position: Column, rows: int, tiles: int) -> Column:
-    """The ``ntile`` of a position in 1..rows: the first ``rows % tiles`` tiles hold one row more."""
-    size, longer = divmod(rows, tiles)
-    in_longer = F.ceil(position / (size + 1))
-    if size == 0:
-        return in_longer.cast("int")
-    border = longer * (size + 1)
-    in_shorter = longer + F.ceil((position - border) / size)
-    return F.when(position <= border, in_longer).otherwise(in_shorter).cast("int")
-
-
 def with_neighbours(
     df: DataFrame,
     key: str,
     order: Sequence[Column],
     take: Mapping[str, tuple[str, int]],
     limits: Limits = LIMITS,
-    stored: bool = False,
 ) -> DataFrame:
     """Adds columns taken from the next (+1) or the previous (-1) row of the same key: ``{new: (column, step)}``.
 
@@ -83,7 +83,7 @@ def with_neighbours(
     if heavy.isEmpty():
         return _neighbours_by_window(df, key, order, take)
     light, hot = apart(df, key, heavy, limits)
-    return _neighbours_by_window(light, key, order, take).unionByName(_neighbours_by_place(hot, key, order, take, stored))
+    return _neighbours_by_window(light, key, order, take).unionByName(_neighbours_by_place(hot, key, order, take))
 
 
 def _neighbours_by_window(df, key, order, take) -> DataFrame:
@@ -91,8 +91,8 @@ def _neighbours_by_window(df, key, order, take) -> DataFrame:
     return df.withColumns({new: F.lag(column, -step).over(rows) for new, (column, step) in take.items()})
 
 
-def _neighbours_by_place(df, key, order, take, stored) -> DataFrame:
-    placed = in_order(df, [F.col(key), *order], stored).withColumn(
+def _neighbours_by_place(df, key, order, take) -> DataFrame:
+    placed = in_order(df, [F.col(key), *order]).withColumn(
         "_row", F.struct(F.col(key).alias("key"), *[F.col(c).alias(new) for new, (c, _) in take.items()])
     )
     # The first and the last row of each partition of the sort: two rows per partition, small enough to broadcast.
@@ -129,11 +129,10 @@ def close_versions(
     end: str,
     ties: Sequence[Column],
     limits: Limits = LIMITS,
-    stored: bool = False,
 ) -> DataFrame:
     """Sets ``end`` to the day before the next version of the key starts, NULL for the last; cuts ``start`` to a day."""
     order = [F.col(start).asc_nulls_first(), *ties]
-    followed = with_neighbours(df, key, order, {"_next_start": (start, 1)}, limits, stored)
+    followed = with_neighbours(df, key, order, {"_next_start": (start, 1)}, limits)
     return followed.withColumns(
         {start: F.col(start).cast("date"), end: F.date_sub(F.col("_next_start").cast("date"), 1)}
     ).drop("_next_start")

@@ -1,6 +1,5 @@
 """Keys that hold too many rows for one task, and a left join that stays spread out over them."""
 
-import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -94,6 +93,7 @@ def left_join(
     rights: Mapping[str, DataFrame],
     spread: Column | None = None,
     limits: Limits = LIMITS,
+    small: set[str] | None = None,
 ) -> DataFrame:
     """``left`` left-joined to each table of ``rights`` (named by its key column) on ``left_key``.
 
@@ -103,13 +103,15 @@ def left_join(
     join key of its own.
 
     ``spread`` is an expression over the left row that cuts the left rows of a heavy key; without it they are
-    left to Spark's own skew join, which can split the left side of a left join but never the right. The
+    left to Spark's own skew join, which can split the left side of a left join but never the right; where adaptive
+    execution is off, a hash of the left row cuts them. ``small`` names the tables measured as small already. The
     right rows of a heavy key are cut by position, so that copies part too, and pinned first: a position must
     be the same if a task is run again.
     """
     columns = [*left.columns, *[column for df in rights.values() for column in df.columns]]
     rights = {name: df.filter(F.col(name).isNotNull()) for name, df in rights.items()}
-    small = small_tables(rights, limits)
+    if small is None:
+        small = small_tables(rights, limits)
     large = {name: df for name, df in rights.items() if name not in small}
     if large:
         left = _join_large(left, left_key, large, spread, limits)
@@ -120,8 +122,8 @@ def left_join(
 
 
 def _join_large(left, left_key, rights, spread, limits) -> DataFrame:
-    if left.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        warnings.warn("spark.sql.adaptive.enabled is off: hot keys of the left side stay in one task each", stacklevel=3)
+    if spread is None and left.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        spread = F.xxhash64(*left.columns)
     keys = {name: df.select(name) for name, df in rights.items()}
     if spread is not None:
         keys[left_key] = left.select(left_key)

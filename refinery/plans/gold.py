@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.codes import first_known
 from refinery.operators.ordering import ascending, dense_key
-from refinery.operators.skew import LIMITS, Limits, left_join
+from refinery.operators.skew import LIMITS, Limits, left_join, small_tables
 
 
 # Column of the star schema, and the clean column it holds.
@@ -83,6 +83,7 @@ def fact_sales(
     """
     product_keys = products.select("product_number", "product_key")
     customer_keys = customers.select("customer_id", "customer_key")
-    keyed = left_join(sales, "sls_prd_key", {"product_number": product_keys}, limits=limits)
-    keyed = left_join(keyed, "sls_cust_id", {"customer_id": customer_keys}, limits=limits)
+    small = small_tables({"product_number": product_keys, "customer_id": customer_keys}, limits)
+    keyed = left_join(sales, "sls_prd_key", {"product_number": product_keys}, limits=limits, small=small)
+    keyed = left_join(keyed, "sls_cust_id", {"customer_id": customer_keys}, limits=limits, small=small)
     return _named(keyed, SALES_COLUMNS)

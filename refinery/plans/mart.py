@@ -1,17 +1,29 @@
 """The two rebuilds, run one after the other: raw files -> clean tables, clean tables -> star schema."""
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from refinery.operators.checks import repeated_keys
 from refinery.plans import gold, silver
 from refinery.plans.together import together
 from refinery.schemas import GOLD, SILVER
 from refinery.sinks import tables
 from refinery.sources import catalog
 
+KEYS = {
+    "crm_cust_info": ["cst_id"],
+    "crm_prd_info": ["prd_key", "prd_start_dt"],
+    "crm_sales_details": ["sls_ord_num", "sls_prd_key"],
+    "erp_loc_a101": ["cid"],
+    "erp_cust_az12": ["cid"],
+    "erp_px_cat_g1v2": ["id"],
+}
+
 
 def refresh_silver(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, database: str = "silver", as_of: dt.date | None = None
@@ -24,20 +36,39 @@ def refresh_silver(
     together(spark, [partial(refresh, name) for name in SILVER])
 
 
+def repeated(clean: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name``, ``repeated_keys`` and the ``rows_of_them`` of each clean table whose key should be unique."""
+    def summary(name: str) -> DataFrame:
+        found = repeated_keys(clean[name], *KEYS[name])
+        return found.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows_of_them")
+        )
+
+    return reduce(DataFrame.unionByName, map(summary, KEYS))
+
+
 def refresh_gold(spark: SparkSession, silver_database: str, root: str, database: str = "gold") -> None:
-    """The fact comes last and reads the dimensions just published, so their keys always agree."""
+    """The fact comes last and reads the dimensions just written, so their keys always agree.
+
+    All three are written to a folder of this run; only then do the tables change over to it. A run that fails before
+    leaves the published ones as they were. Folders of earlier runs stay for those who still read them.
+    """
     tables.ensure_database(spark, database, root)
     clean = catalog.read(spark, silver_database, SILVER)
+    run = f"{root}/run-{uuid.uuid4().hex}"
+    paths = {name: f"{run}/{name}" for name in GOLD}
 
     def customers() -> None:
         rows = gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"])
-        tables.publish_dimension(rows, database, "dim_customers", f"{root}/dim_customers")
+        tables.write_dimension(rows, "dim_customers", paths["dim_customers"])
 
     def products() -> None:
         rows = gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"])
-        tables.publish_dimension(rows, database, "dim_products", f"{root}/dim_products")
+        tables.write_dimension(rows, "dim_products", paths["dim_products"])
 
     together(spark, [customers, products])
-    published = catalog.read(spark, database, GOLD, "dim_customers", "dim_products")
-    fact = gold.fact_sales(clean["crm_sales_details"], published["dim_products"], published["dim_customers"])
-    tables.publish_fact(fact, database, "fact_sales", f"{root}/fact_sales")
+    written = {name: spark.read.schema(GOLD[name]).parquet(paths[name]) for name in ("dim_customers", "dim_products")}
+    fact = gold.fact_sales(clean["crm_sales_details"], written["dim_products"], written["dim_customers"])
+    tables.write_fact(fact, "fact_sales", paths["fact_sales"])
+    for name, path in paths.items():
+        tables.publish(spark, database, name, path)

@@ -5,15 +5,26 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.operators.ordering import ascending, dense_key, tile, with_neighbours
+from refinery.operators.ordering import ascending, dense_key, with_neighbours
 from refinery.operators.skew import LIMITS, Limits, left_join
 from refinery.operators.storage import pin
 
 SCORES = 5
 
 
+def _first_rows(total: int) -> list[int]:
+    """Places (from 1) at which the second and later of ``SCORES`` equal groups of ``total`` rows begin, empty groups left out."""
+    size, longer = divmod(total, SCORES)
+    starts = [size * group + min(group, longer) + 1 for group in range(1, SCORES)]
+    return [start for start in starts if start <= total]
+
+
 def rfm_segments(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    """Recency, frequency and monetary value of each customer, each scored 1 (low) to 5 in equal groups."""
+    """Recency, frequency and monetary value of each customer, each scored 1 (low) to 5 in equal groups.
+
+    Groups are ordered by the value (missing first), then by ``customer_key``. The three values are put in order together,
+    as rows of three numbers; a customer is then compared with the rows at which a group begins, four per value.
+    """
     customers = pin(
         fact.filter(F.col("customer_key").isNotNull())
         .groupBy("customer_key")
@@ -23,17 +34,32 @@ def rfm_segments(fact: DataFrame, as_of: dt.date) -> DataFrame:
             F.sum("sales_amount").alias("monetary"),
         )
     )
+    # What a score orders by, small values first.
+    values = {"recency_score": -F.col("recency_days"), "frequency_score": F.col("frequency"), "monetary_score": F.col("monetary")}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("of"), value.cast("bigint").alias("value")) for i, value in enumerate(values.values())]))
+    narrow = customers.select(pairs.alias("pair"), "customer_key").select("pair.*", "customer_key")
     total = customers.count()
-    scores = {
-        "recency_score": F.col("recency_days").desc_nulls_first(),
-        "frequency_score": F.col("frequency").asc_nulls_first(),
-        "monetary_score": F.col("monetary").asc_nulls_first(),
-    }
-    scored = customers
-    for score, order in scores.items():
-        placed = dense_key(scored, [order, F.col("customer_key")], "_position", stored=True)
-        scored = placed.withColumn(score, tile(F.col("_position"), total, SCORES)).drop("_position")
-    return scored.withColumn("segment", F.concat_ws("-", *scores))
+    placed = dense_key(narrow, [F.col("of"), F.col("value").asc_nulls_first(), F.col("customer_key")], "at", distinct=True)
+    places = [i * total + at for i in range(len(values)) for at in _first_rows(total)]
+    borders = placed.filter(F.col("at").isin(places)).collect()
+
+    def score(i: int, value: Column) -> Column:
+        behind = F.lit(1)
+        for border in borders:
+            if border["of"] == i:
+                behind = behind + _not_before(value, border["value"], border["customer_key"]).cast("int")
+        return behind
+
+    scored = customers.withColumns({name: score(i, value) for i, (name, value) in enumerate(values.items())})
+    return scored.withColumn("segment", F.concat_ws("-", *values))
+
+
+def _not_before(value: Column, other: int | None, other_key: int) -> Column:
+    """Whether a customer comes at or after the one with ``other`` and ``other_key``; a missing value comes first."""
+    same_or_later = F.col("customer_key") >= other_key
+    if other is None:
+        return value.isNotNull() | same_or_later
+    return F.coalesce((value > other) | ((value == other) & same_or_later), F.lit(False))
 
 
 def price_history(versions: DataFrame, limits: Limits = LIMITS) -> DataFrame:

@@ -21,10 +21,7 @@ def customers(raw: DataFrame) -> DataFrame:
 
 
 def products(raw: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Every version of every product, each ending the day before the next one of the same product starts.
-
-    ``raw`` has to be a scan of raw files or a plain projection of one.
-    """
+    """Every version of every product, each ending the day before the next one of the same product starts."""
     full_key = F.col("prd_key")
     versions = raw.select(
         "prd_id",
@@ -36,7 +33,7 @@ def products(raw: DataFrame, limits: Limits = LIMITS) -> DataFrame:
         "prd_start_dt",
     )
     ties = [F.col("prd_id").asc_nulls_last(), *ascending(versions, "prd_id", "prd_key", "prd_start_dt")]
-    return close_versions(versions, "prd_key", "prd_start_dt", "prd_end_dt", ties, limits, stored=True)
+    return close_versions(versions, "prd_key", "prd_start_dt", "prd_end_dt", ties, limits)
 
 
 def sales(raw: DataFrame) -> DataFrame:

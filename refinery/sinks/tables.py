@@ -70,14 +70,28 @@ def refresh(df: DataFrame, database: str, name: str, schema: StructType, path: s
     ensure_table(df.sparkSession, f"{database}.{name}", schema, path)
 
 
-def publish_dimension(df: DataFrame, database: str, name: str, path: str) -> None:
+def write_dimension(df: DataFrame, name: str, path: str) -> None:
     write_files(require(df, GOLD[name], name), path)
-    replace_table(df.sparkSession, f"{database}.{name}", GOLD[name], path)
 
 
-def publish_fact(df: DataFrame, database: str, name: str, path: str) -> None:
+def write_fact(df: DataFrame, name: str, path: str) -> None:
     write_by_month(require(with_months(df), GOLD[name], name), path)
-    replace_table(df.sparkSession, f"{database}.{name}", GOLD[name], path, FACT_PARTITIONS)
+
+
+def publish(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Points a table of the star schema at written files."""
+    by = [field.name for field in GOLD[name] if field.name in FACT_PARTITIONS]
+    replace_table(spark, f"{database}.{name}", GOLD[name], path, by)
+
+
+def publish_dimension(df: DataFrame, database: str, name: str, path: str) -> None:
+    write_dimension(df, name, path)
+    publish(df.sparkSession, database, name, path)
+
+
+def publish_fact(df: DataFrame, database: str, name: str, path: str) -> None:
+    write_fact(df, name, path)
+    publish(df.sparkSession, database, name, path)
 
 
 def between_dates(fact: DataFrame, start: dt.date, end: dt.date, date: str = "order_date") -> DataFrame:

@@ -114,9 +114,10 @@ def test_kpis(spark, gold_database):
         "Accessories": 2, None: 3}
 
 
-def test_rfm_scores_are_ntiles(spark):
+@pytest.mark.parametrize("sales", [0, 3, 300])
+def test_rfm_scores_are_ntiles(spark, sales):
     i = F.col("id")
-    fact = spark.range(300).select(
+    fact = spark.range(sales).select(
         F.concat(F.lit("SO"), (i % 170).cast("string")).alias("order_number"),
         F.when(i % 10 > 0, i % 23).alias("customer_key"),
         F.when(i % 7 > 0, F.date_add(F.lit(D(2020, 1, 1)), (i % 90).cast("int"))).alias("order_date"),
@@ -193,7 +194,30 @@ def test_open_version_filter_reaches_the_scan(spark, gold_database):
     assert tables.with_months(spark.createDataFrame([(None,)], "order_date date")).first().year is None
 
 
-def test_jobs_from_the_command_line(spark, raw, tmp_path):
+def test_a_failed_rebuild_leaves_the_published_mart(spark, raw, gold_database, tmp_path, monkeypatch):
+    before = {name: rows(spark.table(f"{gold_database}.{name}")) for name in GOLD}
+    fewer = raw | {"crm_cust_info": raw["crm_cust_info"].filter("cst_id = 2")}
+    mart.refresh_silver(spark, fewer, f"{tmp_path}/silver", "mart_fewer", AS_OF)
+
+    def fails(*_):
+        raise ValueError("no")
+
+    root = str(tmp_path / "gold")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_fact", fails)
+        with pytest.raises(ValueError, match="no"):
+            mart.refresh_gold(spark, "mart_fewer", root, gold_database)
+    assert {name: rows(spark.table(f"{gold_database}.{name}")) for name in GOLD} == before
+
+
+def test_repeated_keys_of_the_clean_tables(spark, raw):
+    twice = raw | {"erp_loc_a101": raw["erp_loc_a101"].union(raw["erp_loc_a101"])}
+    clean = {name: silver.build(name, df, AS_OF) for name, df in twice.items()}
+    found = {row.table_name: (row.repeated_keys, row.rows_of_them) for row in mart.repeated(clean).collect()}
+    assert found == {name: (2, 4) if name == "erp_loc_a101" else (0, 0) for name in SILVER}
+
+
+def test_jobs_from_the_command_line(spark, raw, tmp_path, capsys):
     for name, df in raw.items():
         delimited.write(df, f"{tmp_path}/raw/{name}")
         df.write.parquet(f"{tmp_path}/raw_parquet/{name}")
@@ -206,6 +230,9 @@ def test_jobs_from_the_command_line(spark, raw, tmp_path):
         found.append([rows(spark.table(f"job_gold_{kind}.{name}")) for name in GOLD])
     assert found[0] == found[1]
     assert [len(table) for table in found[0]] == [3, 2, 5]
+    said = capsys.readouterr().out
+    assert 'crm_sales_details {"lines_read": 5, "lines_rejected": 0' in said
+    assert 'keys {"table_name": "erp_loc_a101", "repeated_keys": 0, "rows_of_them": 0}' in said
 
 
 def test_steps_run_together_and_report_failure(spark):

@@ -10,10 +10,10 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from refinery.operators.ordering import (
-    close_versions, dense_key, in_order, latest_per_key, tile, with_neighbours,
-)
+from refinery.operators import ordering
+from refinery.operators.ordering import close_versions, dense_key, in_order, latest_per_key, with_neighbours
 from refinery.operators.skew import Limits
+from refinery.operators.storage import pin
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 DAY = dt.date
@@ -89,10 +89,15 @@ def test_dense_key_is_a_scan_of_its_pinned_rows(spark, plan):
     assert text.count("BroadcastHashJoin") == 1 and "Window" not in text
 
 
-@pytest.mark.parametrize("total", [1, 4, 5, 7, 23, 1000])
-def test_tile_is_ntile(spark, total):
-    df = spark.range(1, total + 1).select(F.col("id").alias("p"), F.ntile(5).over(Window.orderBy("id")).alias("n"))
-    assert df.filter(tile(F.col("p"), total, 5) != F.col("n")).isEmpty()
+@pytest.mark.parametrize("distinct", [False, True])
+def test_dense_key_pins_its_rows_once(spark, monkeypatch, distinct):
+    pinned = []
+    monkeypatch.setattr(ordering, "pin", lambda df: pinned.append(df) or pin(df))
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    keyed = dense_key(df, [F.col("k"), F.col("id").desc()], "key", distinct)
+    assert len(pinned) == 1
+    expected = df.withColumn("key", F.row_number().over(Window.orderBy("k", F.col("id").desc())).cast("bigint"))
+    assert rows(keyed) == rows(expected)
 
 
 @pytest.mark.parametrize("rows_per_task", [1_000_000, 50])
