@@ -1,5 +1,8 @@
 """Raw CRM and ERP extracts derived from the given tables, with every kind of defect the rules repair.
 
+They also hold what makes joins and orders hard: customers that share a key, ERP keys and categories that repeat, dates
+that tie, versions without a start or with the same one, and one product under two categories.
+
 One SQL text per table serves Spark and, as a common table expression, DuckDB. The two differ only in how
 a row is repeated for its versions.
 """
@@ -11,23 +14,25 @@ from refinery.schemas import BRONZE
 RAW_SQL = {
     "crm_cust_info": """
         SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE CAST(c_custkey AS INT) END AS cst_id,
-               concat('AW', lpad(CAST(c_custkey AS STRING), 8, '0')) AS cst_key,
+               CASE WHEN c_custkey % 23 = 0 THEN 'AW00000023' ELSE concat('AW', lpad(CAST(c_custkey AS STRING), 8, '0')) END AS cst_key,
                concat('  ', c_mktsegment) AS cst_firstname,
                concat(c_name, ' ') AS cst_lastname,
                CASE c_custkey % 4 WHEN 0 THEN ' s' WHEN 1 THEN 'M' WHEN 2 THEN NULL ELSE 'x' END AS cst_marital_status,
                CASE (c_custkey + v) % 5 WHEN 0 THEN 'f ' WHEN 1 THEN 'M' WHEN 2 THEN NULL ELSE 'U' END AS cst_gndr,
                CASE WHEN c_custkey % 41 = 0 AND v = 1 THEN NULL
+                    WHEN c_custkey % 10 = 0 THEN DATE '2020-06-01'
                     ELSE DATE '2020-01-01' + CAST(c_custkey % 365 + v AS INT) END AS cst_create_date
         FROM (SELECT *, {versions} AS v FROM {customer}) t""",
     "crm_prd_info": """
         SELECT CAST(p_partkey * 3 + v AS INT) AS prd_id,
-               concat(substr(p_type, 1, 2), '-', lpad(substr(p_brand, 7), 2, '0'),
+               concat(CASE WHEN p_partkey % 19 = 0 AND v = 1 THEN 'ZZ-00' ELSE concat(substr(p_type, 1, 2), '-', lpad(substr(p_brand, 7), 2, '0')) END,
                       '-P-', lpad(CAST(p_partkey AS STRING), 6, '0')) AS prd_key,
                p_name AS prd_nm,
                CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INT) + CAST(v AS INT) END AS prd_cost,
                CASE p_partkey % 6 WHEN 0 THEN 'M ' WHEN 1 THEN 'r' WHEN 2 THEN 'S' WHEN 3 THEN 't' WHEN 4 THEN NULL
                     ELSE 'Z' END AS prd_line,
-               CAST(DATE '2011-07-01' + CAST(v * 365 AS INT) AS TIMESTAMP) AS prd_start_dt,
+               CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 8 = 0 THEN CAST(DATE '2012-02-29' AS TIMESTAMP)
+                    ELSE CAST(DATE '2011-07-01' + CAST(v * 365 AS INT) AS TIMESTAMP) END AS prd_start_dt,
                CAST(DATE '2007-01-01' AS TIMESTAMP) AS prd_end_dt
         FROM (SELECT *, {versions} AS v FROM {part}) t""",
     "crm_sales_details": """
@@ -49,7 +54,10 @@ RAW_SQL = {
         SELECT concat(CASE WHEN c_custkey % 29 = 0 THEN 'XW-' ELSE 'AW-' END, lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
                CASE c_custkey % 8 WHEN 0 THEN 'DE' WHEN 1 THEN ' US' WHEN 2 THEN 'USA' WHEN 3 THEN '' WHEN 4 THEN '   '
                     WHEN 5 THEN NULL WHEN 6 THEN 'France ' ELSE 'de' END AS cntry
-        FROM {customer}""",
+        FROM {customer}
+        UNION ALL
+        SELECT concat('AW-', lpad(CAST(c_custkey AS STRING), 8, '0')), CASE WHEN c_custkey % 2 = 0 THEN 'DE' ELSE 'Peru' END
+        FROM {customer} WHERE c_custkey % 37 = 0 OR c_custkey = 23""",
     "erp_cust_az12": """
         SELECT concat(CASE WHEN c_custkey % 31 = 0 THEN 'XW' WHEN c_custkey % 2 = 0 THEN 'NASAW' ELSE 'AW' END,
                       lpad(CAST(c_custkey AS STRING), 8, '0')) AS cid,
@@ -57,7 +65,10 @@ RAW_SQL = {
                     ELSE DATE '1950-01-01' + CAST(c_custkey % 20000 AS INT) END AS bdate,
                CASE c_custkey % 6 WHEN 0 THEN ' f' WHEN 1 THEN 'Male ' WHEN 2 THEN 'FEMALE' WHEN 3 THEN 'm' WHEN 4 THEN NULL
                     ELSE '' END AS gen
-        FROM {customer}""",
+        FROM {customer}
+        UNION ALL
+        SELECT concat('NASAW', lpad(CAST(c_custkey AS STRING), 8, '0')), DATE '1960-05-05', 'Female'
+        FROM {customer} WHERE c_custkey % 43 = 0 OR c_custkey = 23""",
     "erp_px_cat_g1v2": """
         SELECT DISTINCT
                concat(substr(p_type, 1, 2), CASE WHEN CAST(substr(p_brand, 7) AS INT) % 7 = 0 THEN '-' ELSE '_' END,
@@ -65,7 +76,11 @@ RAW_SQL = {
                p_type AS cat,
                p_brand AS subcat,
                CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
-        FROM {part}""",
+        FROM {part}
+        UNION ALL
+        SELECT DISTINCT concat('ZZ_', lpad(substr(p_brand, 7), 2, '0')), concat('Maker ', substr(p_brand, 7, 1)), p_brand, 'No' FROM {part}
+        UNION ALL
+        SELECT DISTINCT 'ZZ_00', concat('Maker ', substr(p_brand, 7, 1)), 'spare', 'Yes' FROM {part}""",
 }
 MORE_VERSIONS = {
     "crm_cust_info": "CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END",

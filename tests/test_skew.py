@@ -98,6 +98,7 @@ def test_parts_of_a_hot_key_go_to_different_tasks(spark, tables):
 
         assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, limits=Limits(broadcast_bytes=0))) == 1
         assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, F.xxhash64("id"), Limits(5, 0))) >= 5
+        assert tasks_of_key_one(left_join(left, "k", {"k1": r1}, limits=Limits(5, 0))) >= 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
