@@ -20,6 +20,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land = jobs.add_parser("land", help="copy the source tables to the raw folders")
     land.add_argument("--url", required=True, help="JDBC address of the source database")
     land.add_argument("--properties", type=Path, help="JSON file with user, password and driver options")
+    land.add_argument("--ranges", type=Path, help='JSON file that cuts tables by ranges: {"crm_sales_details": {"column": "sls_ord_num", "bounds": [...]}}')
     land.add_argument("--raw", required=True, help="folder that holds one folder per raw table")
     land.add_argument("--format", default="parquet", choices=["csv", "parquet"])
 
@@ -40,7 +41,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
     if chosen.job == "land":
         properties = json.loads(chosen.properties.read_text()) if chosen.properties else {}
-        relational.land(spark, chosen.url, chosen.raw, properties, file_format=chosen.format)
+        ranges = json.loads(chosen.ranges.read_text()) if chosen.ranges else {}
+        sources = relational.with_ranges(relational.SOURCES, ranges)
+        relational.land(spark, chosen.url, chosen.raw, properties, sources, chosen.format)
     elif chosen.job == "silver":
         if chosen.format == "csv":
             raw = delimited.scan_bronze(spark, chosen.raw)

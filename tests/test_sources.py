@@ -166,3 +166,21 @@ def test_other_texts_come_back(spark, tmp_path):
     rows = spark.createDataFrame([row for row in ODD_TEXTS if row[0] in (3, 5, 6, 7)], "i int, t string")
     delimited.write(rows, str(tmp_path / "t"))
     assert {tuple(row) for row in delimited.scan(spark, str(tmp_path / "t"), rows.schema).collect()} == {tuple(row) for row in rows.collect()}
+
+
+@pytest.mark.parametrize("column, bounds", [("k", ["b", "d'e", "m"]), ("n", [0, 10]), ("n", [5])])
+def test_each_row_meets_one_range(spark, column, bounds):
+    df = spark.createDataFrame([("a", -1), ("b", 0), ("c", 4), ("d'e", 5), ("m", 10), ("z", None), (None, 99)], "k string, n int")
+    met = [F.coalesce(F.expr(condition), F.lit(False)).cast("int") for condition in relational.range_conditions(column, bounds)]
+    assert len(met) == len(bounds) + 1
+    assert {row[0] for row in df.select(sum(met[1:], met[0])).collect()} == {1}
+
+
+def test_ranges_replace_the_cut_of_a_table():
+    ranges = {"crm_sales_details": {"column": "sls_ord_num", "bounds": ["SO3"]}}
+    cut = relational.with_ranges(relational.SOURCES, ranges)
+    assert cut["crm_sales_details"].conditions == ["sls_ord_num < 'SO3' OR sls_ord_num IS NULL", "sls_ord_num >= 'SO3'"]
+    assert cut["erp_loc_a101"] is relational.SOURCES["erp_loc_a101"]
+    for wrong in ({"nothing": {"column": "a", "bounds": [1]}}, {"erp_loc_a101": {"column": "cid", "bounds": ["b", "a"]}}):
+        with pytest.raises(ValueError):
+            relational.with_ranges(relational.SOURCES, wrong)
