@@ -6,16 +6,26 @@ coefficient is 2 c / (n + m), each bigram counting as often as it is there in bo
 the smaller of n and m is at least percent / (200 - percent) of the larger, so most passages are out by their number
 of words alone, and the others meet only templates of about their size. Templates are few and go along with the
 expression: nothing is joined or moved, so no frequent line gathers in a task.
+
+``scanned`` takes every run of two or more words of a text as a passage as well, over line ends, and meets headers, full
+texts and tags (``licence_forms``) too. A run that reaches ``percent`` holds at least m * percent / (200 - percent) of a
+template's m bigrams. So texts are read no further that lack all words of a set whose bigrams are too many to miss
+(``_hints``), nor where too few bigrams lie close enough together. Best runs begin and end with a bigram of the template,
+so one pass over those from each possible start measures all that matter.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refinery.llm.licence_forms import FORMS, TAGS
+
 PERCENT = 80
 WHOLE = -1  # the line number of a whole text
 # Usual notices, by identifier.
@@ -56,6 +66,51 @@ _COMMON = """aggregate(array_distinct(template.bigrams), 0, (sum, one) -> sum +
     size(filter(template.bigrams, x -> x = one)), size(filter(bigrams, x -> x = one))))"""
 
 
+def _least_common(m: int, percent: int) -> int:
+    """Bigrams that a passage has in common with a template of ``m`` if it reaches ``percent``."""
+    return -(-m * percent // (200 - percent))
+
+
+def _sets(bigrams: list[str], percent: int, liked: Counter) -> list[list[str]]:
+    """Sets of words of a template; a passage that reaches ``percent`` has a word of each of them.
+
+    Without any of a set's words more bigrams are missing than may be. Long words and those of other templates come first.
+    """
+    may_miss = len(bigrams) - _least_common(len(bigrams), percent)
+    having: dict[str, set[int]] = {}
+    for at, bigram in enumerate(bigrams):
+        for word in bigram.split():
+            having.setdefault(word, set()).add(at)
+    sets, one, covered = [], [], set()
+    for word in sorted(having, key=lambda word: (len(word) < 7, -liked[word] * len(having[word]), word)):
+        one, covered = [*one, word], covered | having[word]
+        if len(covered) > may_miss:
+            sets, one, covered = [*sets, one], [], set()
+    return sets
+
+
+def _hints(templates: Sequence[tuple[list[str], int]]) -> Column:
+    """False for texts without a word that a match of any of the templates (bigrams and percent) has."""
+    liked = Counter(word for bigrams, _ in templates for word in {word for bigram in bigrams for word in bigram.split()})
+    text = F.lower("text")
+    any_of, all_of = [], []
+    for bigrams, percent in templates:
+        if _least_common(len(bigrams), percent) < 1:
+            return F.lit(True)
+        sets = _sets(bigrams, percent, liked)
+        if len(sets[0]) > 3:
+            any_of += sets[0]
+        else:
+            all_of.append(tuple(tuple(one) for one in sets if len(one) <= 3))
+
+    def one_of(words: Sequence[str]) -> Column:
+        return reduce(Column.__or__, [text.contains(word) for word in words])
+
+    conditions = [one_of(sorted(set(any_of)))] if any_of else []
+    conditions += [reduce(Column.__and__, map(one_of, sets)) for sets in dict.fromkeys(all_of)]
+    return reduce(Column.__or__, conditions)
+
+
 def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``line_no`` (from 0; -1: the whole text), ``licence``, ``common`` and ``bigrams`` (n + m) of each match.
 
@@ -66,6 +121,7 @@ def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: in
     if not known:
         return docs.select("doc_id", F.lit(0).alias("line_no"), F.lit("").alias("licence"), F.lit(0).alias("common"), F.lit(0).alias("bigrams")).limit(0)
     sizes = [len(bigrams) for bigrams in known.values()]
+    docs = docs.filter(_hints([(bigrams, percent) for bigrams in known.values()]))
     lines = F.split("text", "\n")
     several = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(WHOLE).alias("at"), F.col("text").alias("passage"))))
     each = F.transform(lines, lambda line, at: F.struct(at.alias("at"), line.alias("passage")))
@@ -85,3 +141,99 @@ def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: in
     scored = sized.select("doc_id", "line_no", "n", F.col("template.name").alias("name"), F.col("template.m").alias("m"), F.expr(_COMMON).alias("common"))
     matches = scored.filter(f"200 * common >= {percent} * (n + m)")
     return matches.select("doc_id", "line_no", F.col("name").alias("licence"), "common", (F.col("n") + F.col("m")).alias("bigrams"))
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _runs() -> str:
+    """Of the text's ``bigrams`` and ``t``, a template, the best runs that do not overlap: first and last bigram and common ones."""
+    hits = "filter(sequence(0, size(bigrams) - 1), i -> array_contains(shared, bigrams[i]))"
+    starts = "if(size(hits) < t.need, cast(array() AS array<int>), filter(sequence(0, size(hits) - t.need), j -> hits[j + t.need - 1] - hits[j] < t.most))"
+    # A bigram that is in a run more often than in the template counts so often only: not where the one that many before it is in the run.
+    ranked = "array_sort(transform(hits, i -> struct(bigrams[i] AS b, i AS i)))"
+    counted = "transform(ranked, (r, k) -> struct(r AS r, k - t.counts[array_position(t.bigrams, r.b) - 1] AS before, k + t.counts[array_position(t.bigrams, r.b) - 1] AS after))"
+    places = """array_sort(transform(counted, c -> struct(c.r.i AS i, if(c.before >= 0 AND ranked[c.before].b = c.r.b, ranked[c.before].i, -1) AS q,
+        c.after >= size(ranked) OR ranked[least(c.after, size(ranked) - 1)].b != c.r.b OR ranked[least(c.after, size(ranked) - 1)].i - c.r.i >= t.most AS counts)))"""
+    # A run is better with the bigram before it, where that counts in any run: starts are those without.
+    begins = "filter(starts, j -> j = 0 OR hits[j - 1] != hits[j] - 1 OR NOT places[j - 1].counts)"
+    longer = """aggregate(slice(places, j + 1, t.most), struct(0 AS c, 0 AS best, hits[j] AS last), (a, p) -> if(p.i - hits[j] >= t.most, a,
+        element_at(transform(array(a.c + int(p.q < hits[j])), c -> if(
+            bigint(c) * (a.last - hits[j] + 1 + t.m) > bigint(a.best) * (p.i - hits[j] + 1 + t.m),
+            struct(c AS c, c AS best, p.i AS last), struct(c AS c, a.best AS best, a.last AS last))), 1)))"""
+    good = f"""filter(transform({begins}, j -> {_let("w", longer, "struct(hits[j] AS first, w.last AS last, w.best AS common)")}),
+        w -> 200L * w.common >= t.percent * (w.last - w.first + 1 + t.m))"""
+    by_share = f"""array_sort({good}, (x, y) -> int(signum(bigint(y.common) * (x.last - x.first + 1 + t.m) - bigint(x.common) * (y.last - y.first + 1 + t.m)))
+        * 2 + int(signum(x.first - y.first)))"""
+    apart = f"""aggregate({by_share}, cast(array() AS array<struct<first: int, last: int, common: int>>), (kept, w) ->
+        if(exists(kept, k -> w.first <= k.last + 1 AND k.first <= w.last + 1), kept, concat(kept, array(w))))"""
+    some = _let("ranked", ranked, _let("counted", counted, _let("places", places, apart)))
+    none = "cast(array() AS array<struct<first: int, last: int, common: int>>)"
+    return _let("shared", "array_intersect(different, t.bigrams)", _let("hits", hits, _let("starts", starts, f"if(size(starts) = 0, {none}, {some})")))
+
+
+def _template(licence: str, text: str, percent: int, notice: str) -> Column:
+    bigrams = template_bigrams(text)
+    bag, m = Counter(bigrams), len(bigrams)
+    need, rest, least = _least_common(m, percent), sorted(bag.values()), 0
+    while sum(rest[len(rest) - least:]) < need:
+        least += 1
+    values = {"m": m, "percent": percent, "need": need, "fewest": least, "most": m * (200 - percent) // percent}
+    # As one text each, so that the plan has few literals.
+    counts = F.split(F.lit(",".join(map(str, bag.values()))), ",").cast("array<int>")
+    of_notice = template_bigrams(notice)
+    known = F.split(F.lit(",".join(of_notice)), ",") if of_notice else F.expr("cast(array() AS array<string>)")
+    return F.struct(
+        F.lit(licence).alias("licence"), F.split(F.lit(",".join(bag)), ",").alias("bigrams"), counts.alias("counts"),
+        known.alias("notice"), *[F.lit(value).alias(name) for name, value in values.items()],
+    )
+
+
+def embedded(
+    docs: DataFrame, forms: Sequence[tuple[str, str, int]], notices: Mapping[str, str] = TEMPLATES, percent: int = PERCENT
+) -> DataFrame:
+    """Matches of runs of words with ``forms`` (licence, text, percent above 0), with the columns of ``found``.
+
+    ``line_no`` is the line where the run begins. Of runs that overlap, the most alike (then the first) is given for each
+    form. Left out are runs in a line or a whole text that matches the notice of the same licence at ``percent``, which
+    ``found`` gives already. Forms have two words or more.
+    """
+    if not forms:
+        return found(docs, {})
+    hints = _hints([(template_bigrams(text), least) for _, text, least in forms])
+    lines = F.transform(F.split("text", "\n"), _words)
+    words = docs.filter(hints).select(F.col("doc_id").cast("bigint"), lines.alias("lines")).withColumn("words", F.flatten("lines")).filter("size(words) > 1")
+    bigrams = words.select("doc_id", "lines", F.expr(_BIGRAMS).alias("bigrams")).withColumn("different", F.array_distinct("bigrams"))
+    table = F.array(*[_template(licence, text, least, notices.get(licence, "")) for licence, text, least in forms])
+    each = bigrams.select("doc_id", "lines", "bigrams", "different", F.explode(table).alias("t")).filter("size(different) >= t.fewest")
+    # Spark would put columns into the functions that name them, to be worked out for each element: hence _let in _runs.
+    each = each.filter("size(array_intersect(different, t.bigrams)) >= t.fewest")
+    # First word, number of words and bigrams of every line, and of the whole text.
+    begins = """aggregate(lines, cast(array(0) AS array<int>), (sums, line) -> concat(sums, array(element_at(sums, -1) + size(line))))"""
+    passages = "concat(transform(lines, (line, at) -> struct(begins[at] AS begin, line AS words)), array(struct(0 AS begin, flatten(lines) AS words)))"
+    likely = f"""filter({passages}, p -> size(t.notice) > 0 AND size(p.words) > 0
+        AND least({_size("p.words")}, size(t.notice)) * (200 - {percent}) >= greatest({_size("p.words")}, size(t.notice)) * {percent})"""
+    of = _BIGRAMS.replace("words", "p.words")
+    common = """aggregate(array_distinct(t.notice), 0, (sum, one) -> sum + least(
+        size(filter(t.notice, x -> x = one)), size(filter(having, x -> x = one))))"""
+    alike = f"filter({likely}, p -> {_let('having', of, f'200 * {common} >= {percent} * (size(having) + size(t.notice))')})"
+    rest = f"filter(runs, r -> NOT exists(taken, p -> r.first < p.begin + size(p.words) AND p.begin <= r.last + 1))"
+    placed = f"transform({rest}, r -> struct(size(filter(begins, b -> b <= r.first)) - 1 AS line_no, r AS r))"
+    none = "cast(array() AS array<struct<line_no: int, r: struct<first: int, last: int, common: int>>>)"
+    placed = _let("runs", _runs(), f"if(size(runs) = 0, {none}, {_let('begins', begins, _let('taken', alike, placed))})")
+    rows = each.select("doc_id", F.expr(placed).alias("rest"), F.col("t.licence").alias("licence"), F.col("t.m").alias("m"))
+    return rows.select("doc_id", F.explode("rest").alias("one"), "licence", "m").select(
+        "doc_id", F.col("one.line_no").alias("line_no"), "licence", F.col("one.r.common").alias("common"),
+        F.expr("one.r.last - one.r.first + 1 + m").alias("bigrams"),
+    )
+
+
+def all_forms(percent: int = PERCENT) -> list[tuple[str, str, int]]:
+    return [(name, text, percent) for name, text in [*TEMPLATES.items(), *FORMS]] + [(name, text, 100) for name, text in TAGS]
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """``found``, and ``embedded`` of all notices, headers, full texts and tags."""
+    return found(docs).unionByName(embedded(docs, all_forms()))

@@ -65,7 +65,7 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.found(_documents(spark, sf_dir))
+    return licences.scanned(_documents(spark, sf_dir))
 
 
 def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

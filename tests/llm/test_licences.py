@@ -52,3 +52,54 @@ def test_no_documents_and_no_templates(spark):
 def test_nothing_is_moved_and_no_python_runs(spark, plan, given_documents):
     text = plan(licences.found(given_documents))
     assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
+
+
+def best_runs(text, template, percent):
+    """Whether any run of words reaches the percentage, by all of them."""
+    words, b = re.findall("[a-z0-9]+", text.lower()), bag(template)
+    if 200 * (bag(text) & b).total() < percent * b.total():  # no run has more in common than the text
+        return False
+    spans = ((i, j) for i in range(len(words)) for j in range(i + 2, len(words) + 1))
+    return any(200 * (bag(" ".join(words[i:j])) & b).total() >= percent * (j - i - 1 + b.total()) for i, j in spans)
+
+
+def test_runs_of_words(spark):
+    """Wrapped, embedded, edited and full-text notices; each form against all runs of words."""
+    forms = dict(licences.FORMS)
+    short = [form for form in licences.all_forms() if len(form[1].split()) < 120]
+    texts = [
+        "Released under\nthe MIT License.", "This project is released under the MIT License.", "This code is\n  licensed under the Apache\n * License, Version 2.0.",
+        "# SPDX-License-Identifier: MIT", "SPDX-License-Identifier: Apache-2.0 only", "MIT License", "x " * 50 + forms["Apache-2.0"][:400],
+        "/* Licensed under the Apache License, Version 2.0 (the License); you may not use this file. */", prose(4, 300), "reserved all rights",
+        prose(5, 40) + "\nAll rights\nreserved. All rights reserved in full " + prose(6, 40), "", None, "mit",
+    ]
+    docs = documents(spark, [(i, text, "en", "s") for i, text in enumerate(texts)])
+    got = {(row.doc_id, row.licence) for row in licences.found(docs).unionByName(licences.embedded(docs, short)).collect()}
+    wanted = {(i, name) for i, text in enumerate(texts) for name, form, percent in short if best_runs(text or "", form, percent)}
+    assert got == wanted and {(0, "MIT"), (1, "MIT"), (2, "Apache-2.0"), (3, "MIT"), (5, "MIT"), (10, "all-rights-reserved")} <= got
+
+
+def test_full_texts(spark):
+    """Every form inside prose, re-wrapped and with a few words changed, is found where it begins."""
+    forms = [(name, text) for name, text, percent in licences.all_forms() if percent < 100]
+    rows = []
+    for i, (_, text) in enumerate(forms):
+        words = text.split()
+        words[20::40] = ["changed"] * len(words[20::40])
+        wrapped = "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9))
+        rows.append((i, f"{prose(i, 30)}\n{prose(i + 1, 5)} {wrapped} {prose(i, 30)}", "en", "s"))
+    got = {(row.doc_id, row.licence): row for row in licences.scanned(documents(spark, rows)).collect()}
+    for i, (name, _) in enumerate(forms):
+        assert (i, name) in got, name
+    assert sum(row.line_no <= 2 for row in got.values()) >= len(forms)
+
+
+def test_matches_of_lines_are_not_given_twice(spark):
+    text = f"{prose(1, 20)}\nReleased under the MIT License.\n{prose(2, 20)}\nand also released under the\nMIT License."
+    rows = licences.scanned(documents(spark, [(1, text, "en", "s")])).collect()
+    assert sorted((row.line_no, row.common, row.bigrams) for row in rows if row.bigrams > 2) == [(1, 4, 8), (3, 4, 8)]
+
+
+def test_a_scan_moves_nothing(spark, plan, given_documents):
+    text = plan(licences.scanned(given_documents))
+    assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
