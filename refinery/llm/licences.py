@@ -82,7 +82,7 @@ def _sets(bigrams: list[str], percent: int, liked: Counter) -> list[list[str]]:
         for word in bigram.split():
             having.setdefault(word, set()).add(at)
     sets, one, covered = [], [], set()
-    for word in sorted(having, key=lambda word: (len(word) < 7, -liked[word] * len(having[word]), word)):
+    for word in sorted(having, key=lambda word: (len(word) < 7, len(word) < 5, -liked[word] * len(having[word]), word)):
         one, covered = [*one, word], covered | having[word]
         if len(covered) > may_miss:
             sets, one, covered = [*sets, one], [], set()
