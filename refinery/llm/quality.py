@@ -29,7 +29,7 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
 STEPS = 256
-SUPPORT = 0.75
+SUPPORT = 0.5
 CONCENTRATION_STEPS = 3
 PRIOR_ROWS = 200  # weight of the language's estimate in that of each of its sources
 LEAST_DEVIATION = 0.1  # of a statistic; most clean texts have no symbol at all, which must not make one symbol odd

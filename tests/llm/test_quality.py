@@ -60,3 +60,14 @@ def test_the_query(spark, sf_dir, given_documents):
         assert not (found[row.doc_id].base_failed and found[row.doc_id].kept)
     again = {row.doc_id: row for row in queries.op3_robust_outliers(spark, sf_dir).collect()}
     assert found == again
+
+
+@pytest.mark.parametrize("percent", [30, 40])
+def test_much_junk_in_one_source(spark, percent):
+    """Two other sources of the language are clean; the hot one has ``percent`` of one kind of junk."""
+    n = 600
+    junk = {i for i in range(n) if i % 100 < percent}
+    texts = {i: " ".join(f"{word}&&&" for word in prose(i, 60).split()) if i in junk else prose(i, 30 + i % 300) + "." for i in range(n)}
+    rows = [(i, text, "en", "hot") for i, text in texts.items()] + [(n + i, prose(i, 30 + i % 200) + ".", "en", f"s{i % 2}") for i in range(100)]
+    kept = {row.doc_id for row in quality.judged(documents(spark, rows)).filter("kept").collect()}
+    assert kept == {row[0] for row in rows} - junk
