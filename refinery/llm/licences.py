@@ -92,7 +92,6 @@ def _sets(bigrams: list[str], percent: int, liked: Counter) -> list[list[str]]:
 def _hints(templates: Sequence[tuple[list[str], int]]) -> Column:
     """False for texts without a word that a match of any of the templates (bigrams and percent) has."""
     liked = Counter(word for bigrams, _ in templates for word in {word for bigram in bigrams for word in bigram.split()})
-    text = F.lower("text")
     any_of, all_of = [], []
     for bigrams, percent in templates:
         if _least_common(len(bigrams), percent) < 1:
@@ -103,12 +102,16 @@ def _hints(templates: Sequence[tuple[list[str], int]]) -> Column:
         else:
             all_of.append(tuple(tuple(one) for one in sets if len(one) <= 3))
 
-    def one_of(words: Sequence[str]) -> Column:
+    def one_of(text: Column, words: Sequence[str]) -> Column:
         return reduce(Column.__or__, [text.contains(word) for word in words])
 
-    conditions = [one_of(sorted(set(any_of)))] if any_of else []
-    conditions += [reduce(Column.__and__, map(one_of, sets)) for sets in dict.fromkeys(all_of)]
-    return reduce(Column.__or__, conditions)
+    def conditions(text: Column) -> Column:
+        some = [one_of(text, sorted(set(any_of)))] if any_of else []
+        some += [reduce(Column.__and__, [one_of(text, words) for words in sets]) for sets in dict.fromkeys(all_of)]
+        return reduce(Column.__or__, some)
+
+    # Inside a function of an array the lower-case text is worked out once, not for each word.
+    return F.exists(F.array(F.lower("text")), conditions)
 
 
 def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
