@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, licences, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import bpe, fim, licences, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
 from refinery.operators.storage import new_folder
 
 END_ID = 2
@@ -80,9 +79,24 @@ def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.transformed(_documents(spark, sf_dir))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # a script beside the package, which the package itself does not need
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline,
         "op1_rans_token_files": op1_rans_token_files,
         "op2_ppm_scores": op2_ppm_scores,
         "op3_robust_outliers": op3_robust_outliers,
@@ -93,6 +107,7 @@ def queries() -> dict:
         "op8_signature_trees": op8_signature_trees,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_vector_approximation": op10_vector_approximation,
+        "op12_fill_in_middle": op12_fill_in_middle,
     }
 
 
@@ -202,6 +217,25 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP12_SQL = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(t) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d,
+           [('0x' || d[1 + 8 * i : 8 + 8 * i])::BIGINT FOR i IN range(4)] AS h
+    FROM documents),
+formed AS (
+    SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                   WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+           least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b
+    FROM drawn),
+cut AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM formed)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_licences": _op7_sql(), "op6_host_reputation": OP6_SQL, "op8_signature_trees": OP8_SQL, "op10_vector_approximation": OP10_SQL}
+    return {"op12_fill_in_middle": OP12_SQL, "op7_licences": _op7_sql(), "op6_host_reputation": OP6_SQL, "op8_signature_trees": OP8_SQL, "op10_vector_approximation": OP10_SQL}
