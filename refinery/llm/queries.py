@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, fim, licences, lines, mixing, ppm, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import bpe, fim, licences, lines, mixing, packing, ppm, quality, reputation, sigtree, token_files, vafile
+from refinery.llm.encoder import encoder
 from refinery.operators.storage import new_folder
 
 END_ID = 2
+PACKING_END_ID = 1
 RULES = reputation.rules_by_text([
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 ])
@@ -23,11 +25,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
-def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _byte_model() -> str:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
-        model = file.read()
+        return file.read()
+
+
+def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
-    token_files.write(_documents(spark, sf_dir), path, model, public_tokenizers.PATTERN, END_ID)
+    token_files.write(_documents(spark, sf_dir), path, _byte_model(), public_tokenizers.PATTERN, END_ID)
     return token_files.read(spark, path, with_ids=False)
 
 
@@ -88,6 +93,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tournament_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _byte_model()
+    pieces = packing.packed(_documents(spark, sf_dir), model, public_tokenizers.PATTERN, PACKING_END_ID)
+    kind = encoder(model, public_tokenizers.PATTERN).kind
+    sums = packing.checksums(F.col("ids"), kind).alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", sums, "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # a script beside the package, which the package itself does not need
 
@@ -108,6 +121,7 @@ def queries() -> dict:
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_vector_approximation": op10_vector_approximation,
         "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_tournament_packing": op13_tournament_packing,
     }
 
 

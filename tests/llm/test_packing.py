@@ -1,0 +1,127 @@
+"""Packing: every id in one place, no gaps, little padding; the tree against a search from the first sequence on."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
+from test_tokens import LIBRARY, MODEL
+
+from refinery.llm import packing, queries
+from refinery.llm.chunks import chunks, in_parts
+from refinery.llm.encoder import Encoder
+
+
+def first_fit(lengths, size):
+    sequences = []
+    for piece in sorted(range(len(lengths)), key=lambda piece: -lengths[piece]):
+        for sequence in sequences:
+            if sum(lengths[p] for p in sequence) + lengths[piece] <= size:
+                sequence.append(piece)
+                break
+        else:
+            sequences.append([piece])
+    return sequences
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_first_fit_decreasing(lengths):
+    found = packing.pack(lengths, 64, spare=64)
+    assert [[piece for piece, _, _ in sequence] for sequence in found] == first_fit(lengths, 64)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60), st.integers(0, 8))
+def test_gaps_are_filled(lengths, spare):
+    found = packing.pack(lengths, 64, spare)
+    places = sorted(place for sequence in found for place in sequence)
+    for piece, length in enumerate(lengths):
+        at = 0
+        for _, start, n in [place for place in places if place[0] == piece]:
+            assert start == at and n > 0
+            at += n
+        assert at == length
+    for sequence in found:
+        used = sum(n for _, _, n in sequence)
+        assert 64 - spare <= used <= 64 or used.bit_count() == 1
+
+
+def test_no_room_is_an_error():
+    rooms = packing.Rooms(1, 10)
+    assert rooms.take(4) == 0
+    with pytest.raises(ValueError, match="room"):
+        rooms.take(7)
+
+
+def check(docs, pieces, size, width=2):
+    """Pieces of equal rows are told apart by nothing, so the ids of a document are compared as a multiset of pieces."""
+    wanted = {}
+    for row in docs:
+        ids = [*LIBRARY.encode(row.text or "", add_special_tokens=False).ids, 1]
+        wanted.setdefault(row.doc_id, []).append(ids)
+    by_doc, by_sequence = {}, {}
+    for row in pieces:
+        by_doc.setdefault(row.doc_id, []).append(row)
+        by_sequence.setdefault(row.sequence_id, []).append(row)
+    assert by_doc.keys() == wanted.keys()
+    for doc_id, rows in by_doc.items():
+        assert sum(row.length for row in rows) == sum(map(len, wanted[doc_id]))
+        if len(wanted[doc_id]) == 1:
+            ids, at = wanted[doc_id][0], 0
+            for row in sorted(rows, key=lambda row: row.start):
+                assert row.start == at and row.doc_tokens == len(ids)
+                assert row.ids_crc32 == zlib.crc32(np.array(ids[at : at + row.length], "<u4").tobytes())
+                at += row.length
+            assert at == len(ids)
+    padding = 0
+    for rows in by_sequence.values():
+        at = 0
+        for row in sorted(rows, key=lambda row: row.offset):
+            assert row.offset == at
+            at += row.length
+        assert at <= size
+        padding += 0 if at.bit_count() == 1 else size - at
+    return padding / sum(row.length for row in pieces)
+
+
+def test_odd_texts(spark):
+    rows = [*ODD, (8, "a <|endoftext|> in the text", "en", "a"), *[(100 + i, prose(i, 3 * i), "en", "c") for i in range(60)]]
+    docs = documents(spark, rows).repartition(3)
+    pieces = packing.packed(docs, MODEL, public_tokenizers.PATTERN, 1, size=128, group_ids=2_000, spare=4)
+    summed = pieces.withColumn("ids_crc32", packing.checksums(pieces["ids"], "<u2"))
+    assert check(docs.collect(), summed.collect(), 128) < 0.04
+    whole = {row.sequence_id: bytes(row.ids) for row in packing.sequences(pieces).collect()}
+    for row in pieces.collect():
+        assert whole[row.sequence_id][2 * row.offset : 2 * (row.offset + row.length)] == bytes(row.ids)
+    again = packing.packed(docs, MODEL, public_tokenizers.PATTERN, 1, size=128, group_ids=2_000, spare=4)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, pieces.collect()))
+    assert packing.packed(docs.limit(0), MODEL, public_tokenizers.PATTERN, 1).collect() == []
+
+
+def test_the_query(spark, sf_dir, given_documents):
+    found = queries.op13_tournament_packing(spark, sf_dir).collect()
+    assert check(given_documents.collect(), found, 2048) < 0.01
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(" \n\t a'sé1!<日"), max_size=40))
+def test_chunks_give_the_ids_of_whole_texts(text):
+    encoder = ENCODER
+    ids = np.frombuffer(encoder.encode([text, text + text])[0], encoder.kind).tolist()
+    assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert "".join(chunks(text)) == text and "".join(in_parts(text, 3)) == text
+
+
+ENCODER = Encoder(MODEL, public_tokenizers.PATTERN)
+
+
+def test_long_texts_in_parts():
+    draw = random.Random(1)
+    text = "".join(draw.choice(["word", " ", "\n", "  ", "é,", "'s", "\t"]) for _ in range(400_000))
+    assert len(list(in_parts(text, 10_000))) > 10
+    assert np.frombuffer(ENCODER.encode([text])[0], "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
