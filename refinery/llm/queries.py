@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, fim, licences, lines, mixing, packing, ppm, quality, reputation, sigtree, token_files, vafile
+from refinery.llm import alignment, bpe, fim, licences, lines, mixing, packing, ppm, quality, reputation, sigtree, token_files, vafile
 from refinery.llm.encoder import encoder
 from refinery.operators.storage import new_folder
 
@@ -84,6 +84,12 @@ def op10_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        pieces = file.read()
+    return alignment.aligned(_documents(spark, sf_dir), _byte_model(), public_tokenizers.PATTERN, pieces)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fim.transformed(_documents(spark, sf_dir))
     return rows.select(
@@ -120,6 +126,7 @@ def queries() -> dict:
         "op8_signature_trees": op8_signature_trees,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_vector_approximation": op10_vector_approximation,
+        "op11_alignment": op11_alignment,
         "op12_fill_in_middle": op12_fill_in_middle,
         "op13_tournament_packing": op13_tournament_packing,
     }
