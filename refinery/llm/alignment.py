@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.chunks import by_chunk, chunks
+from refinery.llm.chunks import ByChunk, Ids
 from refinery.llm.encoder import Encoder
 from refinery.llm.tables import stored
 
 _BLOCK_BYTES = 1 << 21
 _BLOCK_TEXTS = 4096
 _BLOCK_BITS = 33  # bits of a block's number within its task; the task stands above
-_CHUNK_ENTRIES = 200_000
+_TOGETHER = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 SPACE = "▁"  # fixed value: how a piece writes a space
 _DOC = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 _STORED = f"block bigint, docs array<struct<{_DOC}>>, links binary, code int, a int, b int, n bigint"
@@ -56,7 +58,7 @@ def byte_of_character() -> dict[str, int]:
 
 
 class Side:
-    """One model: ids of texts, and the bytes of each id."""
+    """One model: ids of a run of texts (list<int>), and the bytes of each id."""
 
     def __init__(self, encode, tokens: list[bytes]):
         self.encode = encode
@@ -69,7 +71,7 @@ def _byte_level(model: str, pattern: str) -> Side:
     of = byte_of_character()
     names = [shared.tokenizer.id_to_token(i) for i in range(shared.tokenizer.get_vocab_size())]
     tokens = [bytes(map(of.__getitem__, name)) if all(c in of for c in name) else name.encode() for name in names]
-    return Side(lambda texts: [np.frombuffer(row, shared.kind) for row in shared.encode(texts)], tokens)
+    return Side(shared.lists, tokens)
 
 
 class _Pieces:
@@ -80,27 +82,22 @@ class _Pieces:
         names = [self.model.id_to_piece(i) for i in range(len(self.model))]
         self.tokens = [bytes([int(name[3:-1], 16)]) if self.model.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in enumerate(names)]
         self.space = self.model.piece_to_id(SPACE)
-        # Whether no piece holds a space after another character, or a line break: chunks can then be encoded apart.
-        self.apart = names[self.space] == SPACE and not any(SPACE in name.lstrip(SPACE) or "\n" in name for name in names)
-        self.memo: dict[str, bytes] = {}
+        # Where no piece holds a space after another character, or a line break, no token crosses the edge of a chunk, as long
+        # as spaces that follow each other stay together. Else texts go to the model whole.
+        apart = names[self.space] == SPACE and not any(SPACE in name.lstrip(SPACE) or "\n" in name for name in names)
+        pieces = _TOGETHER.findall if apart else lambda text: [text]
+        self.by_chunk = ByChunk(self._learn, (lambda text: "  " in text) if apart else bool, pieces, pa.int32())
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.apart:
-            return [np.array(ids, "<i4") for ids in self.model.encode([text[1:] for text in texts], num_threads=1)]
-        return [np.frombuffer(row, "<i4") for row in by_chunk(texts, self.memo, self._learn, chunks, _CHUNK_ENTRIES)]
-
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> Ids:
         """The model puts a space before each chunk: one that has it already goes without, from others it is taken off."""
-        found = self.model.encode([chunk[1:] if chunk[0] == " " else chunk for chunk in new], num_threads=1)
-        for chunk, ids in zip(new, found, strict=True):
-            if chunk == " ":
-                ids = [self.space]
-            self.memo[chunk] = np.array(ids if chunk[0] == " " else ids[1:], "<i4").tobytes()
+        found = self.model.encode([chunk[1:] if chunk[:1] == " " else chunk for chunk in new], num_threads=1)
+        own = [[self.space] if chunk == " " else ids if chunk[:1] == " " else ids[1:] for chunk, ids in zip(new, found, strict=True)]
+        return np.fromiter(chain.from_iterable(own), np.int32), np.array(list(map(len, own)), np.int64)
 
 
 def _piece_level(model: bytes) -> Side:
     pieces = _Pieces(model)
-    return Side(pieces.encode, pieces.tokens)
+    return Side(pieces.by_chunk.encode, pieces.tokens)
 
 
 @lru_cache(maxsize=1)
@@ -110,18 +107,20 @@ def _sides(byte_model: str, pattern: str, piece_model: bytes) -> tuple[Side, Sid
     return _byte_level(byte_model, pattern), _piece_level(piece_model)
 
 
-def _lists(rows: list[np.ndarray]) -> pa.LargeListArray:
-    ends = np.cumsum([0, *map(len, rows)])
-    values = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
-    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(values))
+def _only(ids: pa.LargeListArray, good: np.ndarray) -> pa.LargeListArray:
+    """The lists with those emptied that are not good; numbers as int."""
+    counts = pc.list_value_length(ids).to_numpy()
+    flat = ids.flatten().cast(pa.int32())
+    if not good.all():
+        flat = flat.filter(pa.array(np.repeat(good, counts)))
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts * good)])), flat)
 
 
 def _ends(ids: pa.LargeListArray, side: Side) -> pa.Table:
     """``doc`` (place in the block) and ``end`` (in the document's bytes) of each token, its id and its place."""
     flat, parents = pc.list_flatten(ids), pc.list_parent_indices(ids)
     running = pc.cumulative_sum(side.sizes.take(flat)).to_numpy() if len(flat) else np.zeros(0, np.int64)
-    first = np.asarray(ids.offsets)[:-1]
-    before = np.concatenate([[0], running])[first]
+    before = np.concatenate([[0], running])[np.asarray(ids.offsets)[:-1]]
     ends = running - before[parents.to_numpy()]
     return pa.table({"doc": parents, "end": pa.array(ends), "id": flat, "at": pa.array(np.arange(len(flat)))})
 
@@ -150,10 +149,9 @@ class Block:
     def __init__(self, texts: list[str | None], a: Side, b: Side):
         spaced = [" " + text if text else "" for text in texts]
         raw = [text.encode() for text in spaced]
-        rows_a, rows_b = a.encode(spaced), b.encode(spaced)
-        good = _true_ones(raw, _lists(rows_a), a) & _true_ones(raw, _lists(rows_b), b)
-        none = np.zeros(0, np.int32)
-        self.lists = [_lists([row if ok else none for row, ok in zip(rows, good.tolist(), strict=True)]) for rows in (rows_a, rows_b)]
+        found = [side.encode(spaced) for side in (a, b)]
+        good = np.logical_and.reduce([_true_ones(raw, ids, side) for ids, side in zip(found, (a, b), strict=True)])
+        self.lists = [_only(ids, good) for ids in found]
         self.tables = [_ends(ids, side) for ids, side in zip(self.lists, (a, b), strict=True)]
         self.n = len(texts)
 

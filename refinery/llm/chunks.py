@@ -1,63 +1,84 @@
-"""Texts cut at places that no token crosses, so that each different part is encoded once and joined from memory after that.
+"""Texts cut at places that no token crosses, so that each different part of many texts is encoded once.
 
-A chunk is a run of spaces and line breaks with all that follows up to the next such run. Patterns of byte-level models end a
-pre-token before such a run unless other white space stands there; word pieces never hold a space or a line break after
-another character (``pieces.py`` checks its vocabulary for that).
+A chunk is a space or a line break with all that follows up to the next one. Arrow kernels cut a run of texts, give each
+different chunk a number and put the ids of the chunks in the places of the texts; a model sees the different chunks alone.
+Texts in which a model's tokens may cross such a place are cut by that model's own rule instead.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_EDGE = re.compile(r"(?<=\S)[ \n]")
-_CHARACTERS_AT_ONCE = 1 << 19
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+CHARACTERS_AT_ONCE = 1 << 23
 
-def chunks(text: str) -> list[str]:
-    return _CHUNK.findall(text)
+Ids = tuple[np.ndarray, np.ndarray]  # all ids in a row, and how many each chunk has
 
 
-def has_other_space(text: str) -> bool:
-    """Whether white space other than the space and the line break occurs: chunks then need not end where pre-tokens do."""
-    return _OTHER_SPACE.search(text) is not None
+def cut(texts: pa.Array) -> pa.LargeListArray:
+    """The chunks of each text; joined they are the text."""
+    parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+    flat, offsets = parts.flatten(), np.asarray(parts.offsets).astype(np.int64)
+    bare = np.zeros(len(flat), bool)
+    bare[offsets[:-1]] = True
+    bare = pc.or_(pa.array(bare), pc.starts_with(flat, "\n"))
+    whole = pc.if_else(bare, flat, pc.binary_join_element_wise(pa.scalar(" ", flat.type), flat, pa.scalar("", flat.type)))
+    return pa.LargeListArray.from_arrays(pa.array(offsets), whole)
 
 
-def in_parts(text: str, size: int = _CHARACTERS_AT_ONCE) -> Iterator[str]:
-    """The text in parts of about ``size`` characters, cut at the edge of a chunk; a longer word stays whole."""
-    at = 0
-    while len(text) - at > size and (edge := _EDGE.search(text, at + size)):
-        yield text[at : edge.start()]
-        at = edge.start()
-    yield text[at:]
+class ByChunk:
+    """Ids of texts by a model that encodes lists of chunks.
 
+    ``learn`` gives the ids of some chunks; ``alone`` names texts that can't be cut here, ``pieces`` cuts those. What the run
+    of texts before held is kept, so a chunk of two runs in a row is asked for once; memory is that of a run.
+    """
 
-def by_chunk(
-    texts: list[str], memo: dict[str, bytes], learn: Callable[[list[str]], None], cut: Callable[[str], list[str]], entries: int
-) -> list[bytes]:
-    """What ``memo`` holds for the chunks of each text, joined. ``learn`` adds chunks to it; beyond ``entries`` it starts afresh."""
-    found: list[list[bytes]] = [[] for _ in texts]
-    run: list[tuple[int, list[str]]] = []
-    size = 0
+    def __init__(self, learn: Callable[[list[str]], Ids], alone: Callable[[str], bool], pieces: Callable[[str], list[str]], kind: pa.DataType):
+        self.learn, self.alone, self.pieces = learn, alone, pieces
+        self.known, self.ids = pa.array([""], pa.large_string()), _lists(np.zeros(0, np.int32), np.zeros(1, np.int64), kind)
+        self.kind = kind
 
-    def flush() -> None:
-        if len(memo) > entries:
-            memo.clear()
-        new = set().union(*(part for _, part in run)).difference(memo)
-        if new:
-            learn(list(new))
-        for place, part in run:
-            found[place].append(b"".join(map(memo.__getitem__, part)))
-        run.clear()
+    def encode(self, texts: list[str]) -> pa.LargeListArray:
+        """The ids of each text of a run."""
+        alone = [place for place, text in enumerate(texts) if self.alone(text)]
+        if not alone:
+            return self._encode(cut(pa.array(texts, pa.large_string())))
+        order = np.arange(len(texts))
+        order[alone] = len(texts) + np.arange(len(alone))
+        blank = texts.copy()
+        for place in alone:
+            blank[place] = ""
+        apart = pa.array([self.pieces(texts[place]) for place in alone], pa.large_list(pa.large_string()))
+        both = pa.concat_arrays([cut(pa.array(blank, pa.large_string())), apart])
+        return self._encode(both.take(pa.array(order)))
 
+    def _encode(self, chunks: pa.LargeListArray) -> pa.LargeListArray:
+        coded = chunks.flatten().dictionary_encode()
+        where = pc.index_in(coded.dictionary, value_set=self.known)
+        new = pc.is_null(where).to_numpy(zero_copy_only=False)
+        place = where.fill_null(0).to_numpy().astype(np.int64)
+        place[new] = len(self.known) + np.arange(new.sum())
+        learnt = _lists(*self.learn(coded.dictionary.filter(pa.array(new)).to_pylist()), self.kind) if new.any() else self.ids.slice(0, 0)
+        self.known, self.ids = coded.dictionary, pa.concat_arrays([self.ids, learnt]).take(pa.array(place))
+        found = self.ids.take(coded.indices)
+        ends = np.asarray(found.offsets)[np.asarray(chunks.offsets) - chunks.offsets[0].as_py()]
+        return pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), found.flatten())
+
+
+def _lists(ids: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)), pa.array(ids).cast(kind))
+
+
+def runs(texts: list[str], size: int = CHARACTERS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Places of texts in runs of about ``size`` characters, a longer text alone."""
+    first, total = 0, 0
     for place, text in enumerate(texts):
-        for part in in_parts(text):
-            run.append((place, cut(part)))
-            size += len(part)
-            if size > _CHARACTERS_AT_ONCE:
-                flush()
-                size = 0
-    flush()
-    return [rows[0] if len(rows) == 1 else b"".join(rows) for rows in found]
+        if place > first and total + len(text) > size:
+            yield first, place
+            first, total = place, 0
+        total += len(text)
+    if texts:
+        yield first, len(texts)

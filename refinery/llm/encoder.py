@@ -1,20 +1,27 @@
-"""Ids of the tokenizers library for many texts: each different part of a text is asked for once."""
+"""Ids of the tokenizers library for many texts: each different part of a run of texts is asked for once."""
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-from refinery.llm.chunks import by_chunk, chunks, has_other_space
+from refinery.llm.chunks import ByChunk, Ids, runs
 
-# What a Python worker remembers before it starts afresh; never changes a result.
-_CHUNK_ENTRIES = 200_000
-_PIECE_ENTRIES = 300_000
-_PIECES_AT_ONCE = 20_000
+_CHUNKS_AT_ONCE = 20_000
+# A space or line break with white space before it and white space, or nothing, behind it: runs of three and more, and runs of
+# two at the end. Byte-level patterns keep all but the last character of a run together.
+_LONG_SPACE = re.compile(r"\s[ \n](?:\s|\Z)")
+
+
+def has_long_space(text: str) -> bool:
+    """Whether pre-tokens may cross the edge of a chunk."""
+    return _LONG_SPACE.search(text) is not None
 
 
 class Encoder:
@@ -24,40 +31,43 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = plain
-        self.pattern = regex.compile(pattern)
         self.special = [] if plain else [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.pieces: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
+        arrow = pa.uint16() if self.kind == "<u2" else pa.uint32()
+        self.by_chunk = ByChunk(self._learn, has_long_space, regex.compile(pattern).findall, arrow)
+
+    def lists(self, texts: list[str]) -> pa.LargeListArray:
+        """Ids of each text; a text with a special token's string goes to the library whole."""
+        whole = [place for place, text in enumerate(texts) if any(token in text for token in self.special)]
+        if not whole:
+            return self.by_chunk.encode(texts)
+        rest = texts.copy()
+        for place in whole:
+            rest[place] = ""
+        ids = [self.tokenizer.encode(texts[place], add_special_tokens=False).ids for place in whole]
+        order = np.arange(len(texts))
+        order[whole] = len(texts) + np.arange(len(whole))
+        found = self.by_chunk.encode(rest)
+        return pa.concat_arrays([found, pa.array(ids, found.type)]).take(pa.array(order))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of 2 or 4 bytes; a text with a special token's string goes in whole."""
-        found = by_chunk(["" if self._is_special(text) else text for text in texts], self.memo, self._learn, self._cut, _CHUNK_ENTRIES)
-        for place, text in enumerate(texts):
-            if self._is_special(text):
-                found[place] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        """Ids of each text as little-endian numbers of 2 or 4 bytes."""
+        found = []
+        for a, b in runs(texts):
+            lists = self.lists(texts[a:b])
+            raw, width = lists.flatten().to_numpy().tobytes(), np.dtype(self.kind).itemsize
+            ends = ((np.asarray(lists.offsets) - lists.offsets[0].as_py()) * width).tolist()
+            found += [raw[i:j] for i, j in zip(ends, ends[1:])]  # noqa: B905
         return found
 
-    def _is_special(self, text: str) -> bool:
-        return any(token in text for token in self.special)
-
-    def _cut(self, text: str) -> list[str]:
-        return self.pattern.findall(text) if has_other_space(text) else chunks(text)
-
-    def _learn(self, new: list[str]) -> None:
-        found = list(map(self.pattern.findall, new))
-        if len(self.pieces) > _PIECE_ENTRIES:
-            self.pieces.clear()
-        unknown = list(set().union(*found).difference(self.pieces))
-        width = np.dtype(self.kind).itemsize
-        for at in range(0, len(unknown), _PIECES_AT_ONCE):
-            some = unknown[at : at + _PIECES_AT_ONCE]
+    def _learn(self, chunks: list[str]) -> Ids:
+        ids, counts = [], []
+        for at in range(0, len(chunks), _CHUNKS_AT_ONCE):
+            some = chunks[at : at + _CHUNKS_AT_ONCE]
             encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(encoded.ids, self.kind).tobytes()
-            ends = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * width).tolist()
-            self.pieces.update((piece, raw[a:b]) for piece, a, b in zip(some, ends, ends[1:]))  # noqa: B905
-        known = self.pieces.__getitem__
-        self.memo.update((chunk, b"".join(map(known, pieces))) for chunk, pieces in zip(new, found, strict=True))
+            ids.append(np.array(encoded.ids, self.kind))
+            counts.append(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(counts)
 
 
 @lru_cache(maxsize=2)

@@ -27,7 +27,6 @@ from refinery.llm.tables import stored
 SEQUENCE_IDS = 2048
 GROUP_IDS = 1 << 19  # ids of a group, about: 1 MB
 SPARE = 16
-_TEXTS_AT_ONCE = 256
 _PIECE = "doc_id bigint, doc_tokens bigint, start bigint, length bigint, ids binary"
 _PIECE_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -162,17 +161,16 @@ def _pieces(docs: DataFrame, model: str, pattern: str, end_id: int, size: int) -
         width = len(end)
         part, number = TaskContext.get().partitionId(), 0
         for batch in found:
-            for at in range(0, len(batch), _TEXTS_AT_ONCE):
-                some = batch.slice(at, _TEXTS_AT_ONCE)
-                rows = []
-                doc_ids = some.column("doc_id").to_pylist()
-                for doc_id, ids in zip(doc_ids, shared.encode([text or "" for text in some.column("text").to_pylist()]), strict=True):
-                    ids += end
-                    tokens = len(ids) // width
-                    for start in range(0, tokens, size):
-                        piece = ids[start * width : (start + size) * width]
-                        rows.append((doc_id, tokens, start, len(piece) // width, piece, part, number))
-                        number += 1
+            rows = []
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), shared.encode(texts), strict=True):
+                ids += end
+                tokens = len(ids) // width
+                for start in range(0, tokens, size):
+                    piece = ids[start * width : (start + size) * width]
+                    rows.append((doc_id, tokens, start, len(piece) // width, piece, part, number))
+                    number += 1
+            if rows:
                 columns = zip(*rows, strict=True)
                 arrays = [pa.array(column, field.type) for column, field in zip(columns, _PIECE_ARROW, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_PIECE_ARROW)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,7 @@ from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from test_tokens import LIBRARY, MODEL
 
 from refinery.llm import packing, queries
-from refinery.llm.chunks import chunks, in_parts
+from refinery.llm.chunks import cut, runs
 from refinery.llm.encoder import Encoder
 
 
@@ -114,14 +115,15 @@ def test_chunks_give_the_ids_of_whole_texts(text):
     encoder = ENCODER
     ids = np.frombuffer(encoder.encode([text, text + text])[0], encoder.kind).tolist()
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
-    assert "".join(chunks(text)) == text and "".join(in_parts(text, 3)) == text
+    assert "".join(cut(pa.array([text], pa.large_string()))[0].as_py()) == text
 
 
 ENCODER = Encoder(MODEL, public_tokenizers.PATTERN)
 
 
-def test_long_texts_in_parts():
+def test_a_long_text_and_runs():
     draw = random.Random(1)
-    text = "".join(draw.choice(["word", " ", "\n", "  ", "é,", "'s", "\t"]) for _ in range(400_000))
-    assert len(list(in_parts(text, 10_000))) > 10
-    assert np.frombuffer(ENCODER.encode([text])[0], "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    texts = ["".join(draw.choice(["word", " ", "\n", "  ", "é,", "'s", "\t"]) for _ in range(n)) for n in (400_000, 10, 0, 50)]
+    assert list(runs(texts, 100)) == [(0, 1), (1, 3), (3, 4)] and list(runs([])) == []
+    wanted = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in ENCODER.encode(texts)] == wanted
