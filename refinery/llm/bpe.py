@@ -12,6 +12,7 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -20,9 +21,11 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from refinery.llm.chunks import ByChunk, Ids, runs
+from refinery.llm.encoder import has_long_space
+
 _SECOND_SEED = 0x9E3779B9
-_MEMO_ENTRIES = 120_000  # pre-tokens a Python worker remembers before it starts afresh; never changes a result
-_TEXTS_AT_ONCE = 256
+_LISTS_AT_ONCE = 2048
 
 
 class PerfectHash:
@@ -72,17 +75,17 @@ class Vocabulary:
         self.ranks = ranks
         self.whole = PerfectHash(self.tokens) if ranks else None
         self.pattern = regex.compile(pattern)
-        self.memo: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers, without special tokens."""
-        memo = self.memo
-        if len(memo) > _MEMO_ENTRIES:
-            memo.clear()
-        pieces = [self.pattern.findall(text) for text in texts]
-        for piece in set().union(*pieces).difference(memo):
-            memo[piece] = np.array(self._piece(piece.encode()), "<i4").tobytes()
-        return [b"".join(map(memo.__getitem__, found)) for found in pieces]
+        self.by_chunk = ByChunk(self._learn, has_long_space, self.pattern.findall, pa.int32())
+
+    def encode(self, texts: list[str]) -> pa.LargeListArray:
+        """Ids of each text of a run, without special tokens."""
+        return self.by_chunk.encode(texts)
+
+    def _learn(self, chunks: list[str]) -> Ids:
+        found = list(map(self.pattern.findall, chunks))
+        ids = {piece: self._piece(piece.encode()) for piece in set().union(*found)}
+        own = [list(chain.from_iterable(map(ids.__getitem__, pieces))) for pieces in found]
+        return np.fromiter(chain.from_iterable(own), np.int32), np.array(list(map(len, own)), np.int64)
 
     def _piece(self, piece: bytes) -> list[int]:
         index = self.whole.index(piece)
@@ -134,13 +137,21 @@ def _vocabulary(ranks: bytes, pattern: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=1)
-def _tokens(ranks: bytes) -> dict[int, bytes]:
-    return {rank: token for token, rank in _ranks(ranks).items()}
+def _tokens(ranks: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The token of each id, one after the other, and its length."""
+    of = {rank: token for token, rank in _ranks(ranks).items()}
+    rows = [of.get(i) for i in range(max(of, default=-1) + 1)]
+    return pa.array(rows, pa.large_binary()), np.array([len(row or b"") for row in rows], np.int64)
 
 
-def _int_lists(rows: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0, *(len(row) // 4 for row in rows)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+def _joined(ids: pa.Array, tokens: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """The bytes of each list of ids: all tokens in a row by one take, cut where the lists end."""
+    ids = ids.fill_null([])
+    found = tokens.take(ids.flatten())
+    if found.null_count:
+        raise ValueError("an id that the vocabulary does not have")
+    ends = np.concatenate([[0], np.cumsum(sizes[ids.flatten().to_numpy()])])[np.asarray(ids.offsets) - ids.offsets[0].as_py()]
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), found.buffers()[2]]).cast(pa.binary())
 
 
 def encode(text: Column, ranks: bytes, pattern: str = public_tokenizers.PATTERN) -> Column:
@@ -154,8 +165,9 @@ def encode(text: Column, ranks: bytes, pattern: str = public_tokenizers.PATTERN)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(ranks, pattern)
         for batch in batches:
-            parts = (batch.slice(at, _TEXTS_AT_ONCE) for at in range(0, len(batch), _TEXTS_AT_ONCE))
-            yield _int_lists([ids for part in parts for ids in vocabulary.encode([text or "" for text in part.to_pylist()])])
+            texts = [text or "" for text in batch.to_pylist()]
+            found = [vocabulary.encode(texts[a:b]).cast(pa.list_(pa.int32())) for a, b in runs(texts)]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
             pa.default_memory_pool().release_unused()
 
     return ids(text)
@@ -166,9 +178,10 @@ def decode(ids: Column, ranks: bytes) -> Column:
 
     @F.arrow_udf("binary")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = _tokens(ranks).__getitem__
+        tokens, sizes = _tokens(ranks)
         for batch in batches:
-            yield pa.array([b"".join(map(of, row.values.to_numpy().tolist())) if row.is_valid else b"" for row in batch], pa.binary())
+            parts = [_joined(batch.slice(at, _LISTS_AT_ONCE), tokens, sizes) for at in range(0, len(batch), _LISTS_AT_ONCE)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
             pa.default_memory_pool().release_unused()
 
     return text(ids)

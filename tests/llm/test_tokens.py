@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -37,9 +38,16 @@ def test_the_hash_is_minimal_and_perfect():
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_ids_are_those_of_the_library(text):
-    ids = np.frombuffer(VOCABULARY.encode([text])[0], "<i4").tolist()
-    assert ids == TIKTOKEN.encode_ordinary(text)
-    assert b"".join(map(bpe._tokens(RANKS).__getitem__, ids)) == text.encode()
+    ids = VOCABULARY.encode([text, text + text])
+    assert ids[0].as_py() == TIKTOKEN.encode_ordinary(text) and ids[1].as_py() == TIKTOKEN.encode_ordinary(text + text)
+    assert bpe._joined(ids, *bpe._tokens(RANKS)).to_pylist() == [text.encode(), (text + text).encode()]
+
+
+def test_lists_without_ids_and_unknown_ids():
+    lists = pa.array([None, [], [5, 6]], pa.list_(pa.int32()))
+    assert bpe._joined(lists, *bpe._tokens(RANKS)).to_pylist() == [b"", b"", TIKTOKEN.decode_bytes([5, 6])]
+    with pytest.raises((ValueError, IndexError)):
+        bpe._joined(pa.array([[10**6]], pa.list_(pa.int32())), *bpe._tokens(RANKS))
 
 
 def test_a_long_piece_is_merged_in_reasonable_time():
