@@ -8,7 +8,6 @@ reader adds up the parts. Spark's writer commits the rows, so a lost executor le
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -16,70 +15,27 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from refinery.llm import rans
+from refinery.llm.encoder import encoder
 
-_MEMO_ENTRIES = 400_000
-_TEXTS_AT_ONCE = 256
 _INDEX = struct.Struct("<4sII")
 _MAGIC = b"TKG1"
 _GROUPS = "part int, group int, first bigint, n_ids bigint, payload binary"
 
 
-class _Encoder:
-    """The library's ids, asked for once per pre-token; a text with a special token's string goes in whole."""
-
-    def __init__(self, model: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
-        self.tokenizer = Tokenizer.from_str(model)
-        self.pattern = regex.compile(pattern)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of 2 or 4 bytes."""
-        if len(self.memo) > _MEMO_ENTRIES:
-            self.memo.clear()
-        whole = [any(token in text for token in self.special) for text in texts]
-        pieces = [() if is_whole else self.pattern.findall(text) for text, is_whole in zip(texts, whole, strict=True)]
-        self._learn(list(set().union(*pieces).difference(self.memo)))
-        return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-            if is_whole
-            else b"".join(map(self.memo.__getitem__, found))
-            for text, is_whole, found in zip(texts, whole, pieces, strict=True)
-        ]
-
-    def _learn(self, pieces: list[str]) -> None:
-        encoded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        width = np.dtype(self.kind).itemsize
-        raw = np.array(encoded.ids, self.kind).tobytes()
-        ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(pieces) + 1)) * width
-        self.memo.update((piece, raw[a:b]) for piece, a, b in zip(pieces, ends.tolist(), ends[1:].tolist()))  # noqa: B905
-
-
-@lru_cache(maxsize=2)
-def _encoder(model: str, pattern: str) -> _Encoder:
-    return _Encoder(model, pattern)
-
-
 def tokenize(docs: DataFrame, model: str, pattern: str, end_id: int) -> DataFrame:
     """``doc_id`` and ``ids`` of each document, the end id included: little-endian numbers, 2 bytes if all ids fit."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model, pattern)
-        end = np.array([end_id], encoder.kind).tobytes()
+        shared = encoder(model, pattern)
+        end = np.array([end_id], shared.kind).tobytes()
         for batch in found:
-            for at in range(0, len(batch), _TEXTS_AT_ONCE):
-                some = batch.slice(at, _TEXTS_AT_ONCE)
-                rows = [ids + end for ids in encoder.encode([text or "" for text in some.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
+            rows = [ids + end for ids in shared.encode([text or "" for text in batch.column("text").to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(batches, "doc_id bigint, ids binary")
 
@@ -121,7 +77,7 @@ def write(
     of columns, but an empty one gives an empty file set.
     """
     spark = docs.sparkSession
-    kind = _encoder(model, pattern).kind
+    kind = encoder(model, pattern).kind
     tokenize(docs, model, pattern, end_id).write.parquet(f"{path}/tokens")
     tokens = spark.read.parquet(f"{path}/tokens")
     # At most one row per entry of the vocabulary.
