@@ -86,7 +86,7 @@ class _Pieces:
         # as spaces that follow each other stay together. Else texts go to the model whole.
         apart = names[self.space] == SPACE and not any(SPACE in name.lstrip(SPACE) or "\n" in name for name in names)
         pieces = _TOGETHER.findall if apart else lambda text: [text]
-        self.by_chunk = ByChunk(self._learn, (lambda text: "  " in text) if apart else bool, pieces, pa.int32())
+        self.by_chunk = ByChunk(self._learn, (lambda texts: pc.match_substring(texts, "  ")) if apart else (lambda texts: pc.greater(pc.binary_length(texts), 0)), pieces, pa.int32())
 
     def _learn(self, new: list[str]) -> Ids:
         """The model puts a space before each chunk: one that has it already goes without, from others it is taken off."""
@@ -149,7 +149,7 @@ class Block:
     def __init__(self, texts: list[str | None], a: Side, b: Side):
         spaced = [" " + text if text else "" for text in texts]
         raw = [text.encode() for text in spaced]
-        found = [side.encode(spaced) for side in (a, b)]
+        found = [side.encode(pa.array(spaced, pa.large_string())) for side in (a, b)]
         good = np.logical_and.reduce([_true_ones(raw, ids, side) for ids, side in zip(found, (a, b), strict=True)])
         self.lists = [_only(ids, good) for ids in found]
         self.tables = [_ends(ids, side) for ids, side in zip(self.lists, (a, b), strict=True)]

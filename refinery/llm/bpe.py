@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refinery.llm.chunks import ByChunk, Ids, runs
+from refinery.llm.chunks import ByChunk, Ids, runs, whole_texts
 from refinery.llm.encoder import has_long_space
 
 _SECOND_SEED = 0x9E3779B9
@@ -77,7 +77,7 @@ class Vocabulary:
         self.pattern = regex.compile(pattern)
         self.by_chunk = ByChunk(self._learn, has_long_space, self.pattern.findall, pa.int32())
 
-    def encode(self, texts: list[str]) -> pa.LargeListArray:
+    def encode(self, texts: pa.Array) -> pa.LargeListArray:
         """Ids of each text of a run, without special tokens."""
         return self.by_chunk.encode(texts)
 
@@ -165,8 +165,8 @@ def encode(text: Column, ranks: bytes, pattern: str = public_tokenizers.PATTERN)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(ranks, pattern)
         for batch in batches:
-            texts = [text or "" for text in batch.to_pylist()]
-            found = [vocabulary.encode(texts[a:b]).cast(pa.list_(pa.int32())) for a, b in runs(texts)]
+            texts = whole_texts(batch)
+            found = [vocabulary.encode(texts.slice(a, b - a)).cast(pa.list_(pa.int32())) for a, b in runs(texts)]
             yield pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
             pa.default_memory_pool().release_unused()
 

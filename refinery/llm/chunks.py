@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHARACTERS_AT_ONCE = 1 << 23
+BYTES_AT_ONCE = 1 << 23
 
 Ids = tuple[np.ndarray, np.ndarray]  # all ids in a row, and how many each chunk has
 
@@ -32,28 +32,22 @@ def cut(texts: pa.Array) -> pa.LargeListArray:
 class ByChunk:
     """Ids of texts by a model that encodes lists of chunks.
 
-    ``learn`` gives the ids of some chunks; ``alone`` names texts that can't be cut here, ``pieces`` cuts those. What the run
+    ``learn`` gives the ids of some chunks; ``alone`` marks texts that can't be cut here, ``pieces`` cuts those. What the run
     of texts before held is kept, so a chunk of two runs in a row is asked for once; memory is that of a run.
     """
 
-    def __init__(self, learn: Callable[[list[str]], Ids], alone: Callable[[str], bool], pieces: Callable[[str], list[str]], kind: pa.DataType):
+    def __init__(self, learn: Callable[[list[str]], Ids], alone: Callable[[pa.Array], pa.Array], pieces: Callable[[str], list[str]], kind: pa.DataType):
         self.learn, self.alone, self.pieces = learn, alone, pieces
         self.known, self.ids = pa.array([""], pa.large_string()), _lists(np.zeros(0, np.int32), np.zeros(1, np.int64), kind)
         self.kind = kind
 
-    def encode(self, texts: list[str]) -> pa.LargeListArray:
-        """The ids of each text of a run."""
-        alone = [place for place, text in enumerate(texts) if self.alone(text)]
-        if not alone:
-            return self._encode(cut(pa.array(texts, pa.large_string())))
-        order = np.arange(len(texts))
-        order[alone] = len(texts) + np.arange(len(alone))
-        blank = texts.copy()
-        for place in alone:
-            blank[place] = ""
-        apart = pa.array([self.pieces(texts[place]) for place in alone], pa.large_list(pa.large_string()))
-        both = pa.concat_arrays([cut(pa.array(blank, pa.large_string())), apart])
-        return self._encode(both.take(pa.array(order)))
+    def encode(self, texts: pa.Array) -> pa.LargeListArray:
+        """The ids of each text of a run (large_string without NULL)."""
+        alone = self.alone(texts)
+        if not pc.any(alone).as_py():
+            return self._encode(cut(texts))
+        apart = pa.array(map(self.pieces, texts.filter(alone).to_pylist()), pa.large_list(pa.large_string()))
+        return self._encode(put(cut(pc.if_else(alone, "", texts)), alone, apart))
 
     def _encode(self, chunks: pa.LargeListArray) -> pa.LargeListArray:
         coded = chunks.flatten().dictionary_encode()
@@ -72,13 +66,24 @@ def _lists(ids: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.LargeLi
     return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)), pa.array(ids).cast(kind))
 
 
-def runs(texts: list[str], size: int = CHARACTERS_AT_ONCE) -> Iterator[tuple[int, int]]:
-    """Places of texts in runs of about ``size`` characters, a longer text alone."""
-    first, total = 0, 0
-    for place, text in enumerate(texts):
-        if place > first and total + len(text) > size:
-            yield first, place
-            first, total = place, 0
-        total += len(text)
-    if texts:
-        yield first, len(texts)
+def put(rows: pa.Array, where: pa.Array, others: pa.Array) -> pa.Array:
+    """``rows`` with those marked by ``where`` replaced by ``others`` in order."""
+    marked = where.to_numpy(zero_copy_only=False)
+    order = np.arange(len(rows))
+    order[marked] = len(rows) + np.arange(len(others))
+    return pa.concat_arrays([rows, others]).take(pa.array(order))
+
+
+def whole_texts(column: pa.Array) -> pa.Array:
+    """A column of texts as ``ByChunk`` takes it; NULL is empty."""
+    return column.cast(pa.large_string()).fill_null("")
+
+
+def runs(texts: pa.Array, size: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Places of texts in runs of about ``size`` bytes, a longer text alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + size, "right")))
+        yield first, last
+        first = last

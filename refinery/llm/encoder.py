@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-from refinery.llm.chunks import ByChunk, Ids, runs
+from refinery.llm.chunks import ByChunk, Ids, put, runs, whole_texts
 
-_CHUNKS_AT_ONCE = 20_000
+_WORDS_AT_ONCE = 20_000
+_MARKS = ".,;:!?)"
+# All that any of the libraries takes for white space.
+_WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # A space or line break with white space before it and white space, or nothing, behind it: runs of three and more, and runs of
 # two at the end. Byte-level patterns keep all but the last character of a run together.
-_LONG_SPACE = re.compile(r"\s[ \n](?:\s|\Z)")
+_LONG_SPACE = rf"[{_WHITE}][ \n]([{_WHITE}]|\z)"
 
 
-def has_long_space(text: str) -> bool:
-    """Whether pre-tokens may cross the edge of a chunk."""
-    return _LONG_SPACE.search(text) is not None
+def has_long_space(texts: pa.Array) -> pa.Array:
+    """Whether pre-tokens of a text may cross the edge of a chunk."""
+    return pc.match_substring_regex(texts, _LONG_SPACE)
 
 
 class Encoder:
@@ -36,34 +40,46 @@ class Encoder:
         arrow = pa.uint16() if self.kind == "<u2" else pa.uint32()
         self.by_chunk = ByChunk(self._learn, has_long_space, regex.compile(pattern).findall, arrow)
 
-    def lists(self, texts: list[str]) -> pa.LargeListArray:
-        """Ids of each text; a text with a special token's string goes to the library whole."""
-        whole = [place for place, text in enumerate(texts) if any(token in text for token in self.special)]
-        if not whole:
+    def lists(self, texts: pa.Array) -> pa.LargeListArray:
+        """Ids of each text of a run; a text with a special token's string goes to the library whole."""
+        whole = pa.array(np.zeros(len(texts), bool))
+        for token in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        if not pc.any(whole).as_py():
             return self.by_chunk.encode(texts)
-        rest = texts.copy()
-        for place in whole:
-            rest[place] = ""
-        ids = [self.tokenizer.encode(texts[place], add_special_tokens=False).ids for place in whole]
-        order = np.arange(len(texts))
-        order[whole] = len(texts) + np.arange(len(whole))
-        found = self.by_chunk.encode(rest)
-        return pa.concat_arrays([found, pa.array(ids, found.type)]).take(pa.array(order))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of 2 or 4 bytes."""
-        found = []
+        ids = [self.tokenizer.encode(text, add_special_tokens=False).ids for text in texts.filter(whole).to_pylist()]
+        found = self.by_chunk.encode(pc.if_else(whole, "", texts))
+        return put(found, whole, pa.array(ids, found.type))
+
+    def ended(self, column: pa.Array, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For runs of texts (NULL: empty): first and last place, all ids with ``end_id`` after each text, and where each text begins."""
+        texts = whole_texts(column)
         for a, b in runs(texts):
-            lists = self.lists(texts[a:b])
-            raw, width = lists.flatten().to_numpy().tobytes(), np.dtype(self.kind).itemsize
-            ends = ((np.asarray(lists.offsets) - lists.offsets[0].as_py()) * width).tolist()
-            found += [raw[i:j] for i, j in zip(ends, ends[1:])]  # noqa: B905
-        return found
+            lists = self.lists(texts.slice(a, b - a))
+            begin = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            yield a, b, np.insert(lists.flatten().to_numpy(), begin[1:], end_id), begin + np.arange(len(begin))
 
     def _learn(self, chunks: list[str]) -> Ids:
+        """Words and the marks behind them are asked for apart: byte-level patterns end a run of letters before such a mark."""
+        places: dict[str, int] = {}
+        parts, sizes = [], []
+        for chunk in chunks:
+            word = chunk.rstrip(_MARKS)
+            if len(word) < len(chunk) and word and word[-1] < "\u0250" and word[-1].isalpha():
+                parts += [places.setdefault(word, len(places)), places.setdefault(chunk[len(word) :], len(places))]
+                sizes.append(2)
+            else:
+                parts.append(places.setdefault(chunk, len(places)))
+                sizes.append(1)
+        ids, counts = self._asked(list(places))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)])), pa.array(ids)).take(pa.array(parts))
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return lists.flatten().to_numpy(), np.diff(np.asarray(lists.offsets)[edges])
+
+    def _asked(self, words: list[str]) -> Ids:
         ids, counts = [], []
-        for at in range(0, len(chunks), _CHUNKS_AT_ONCE):
-            some = chunks[at : at + _CHUNKS_AT_ONCE]
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[at : at + _WORDS_AT_ONCE]
             encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(encoded.ids, self.kind))
             counts.append(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(some)))
@@ -74,3 +90,9 @@ class Encoder:
 def encoder(model: str, pattern: str, plain: bool = False) -> Encoder:
     """One per Python worker, kept from task to task."""
     return Encoder(model, pattern, plain)
+
+
+def as_binary(ids: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """Rows of ids as binaries; ``begin`` says where each begins, and where the last ends."""
+    width = ids.dtype.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(begin * width), pa.py_buffer(ids)]).cast(pa.binary())

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.encoder import encoder
+from refinery.llm.encoder import as_binary, encoder
 from refinery.llm.tables import stored
 
 SEQUENCE_IDS = 2048
@@ -157,22 +157,20 @@ def _pieces(docs: DataFrame, model: str, pattern: str, end_id: int, size: int) -
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = encoder(model, pattern)
-        end = np.array([end_id], shared.kind).tobytes()
-        width = len(end)
         part, number = TaskContext.get().partitionId(), 0
         for batch in found:
-            rows = []
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), shared.encode(texts), strict=True):
-                ids += end
-                tokens = len(ids) // width
-                for start in range(0, tokens, size):
-                    piece = ids[start * width : (start + size) * width]
-                    rows.append((doc_id, tokens, start, len(piece) // width, piece, part, number))
-                    number += 1
-            if rows:
-                columns = zip(*rows, strict=True)
-                arrays = [pa.array(column, field.type) for column, field in zip(columns, _PIECE_ARROW, strict=True)]
+            for a, b, ids, begin in shared.ended(batch.column("text"), end_id):
+                tokens = np.diff(begin)
+                pieces = -(-tokens // size)
+                doc = np.repeat(np.arange(b - a), pieces)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * size
+                length = np.minimum(tokens[doc] - start, size)
+                arrays = [
+                    batch.column("doc_id").slice(a, b - a).take(pa.array(doc)), pa.array(tokens[doc]), pa.array(start), pa.array(length),
+                    as_binary(ids, np.append(begin[doc] + start, begin[-1])), pa.array(np.full(len(doc), part)),
+                    pa.array(number + np.arange(len(doc))),
+                ]
+                number += len(doc)
                 yield pa.RecordBatch.from_arrays(arrays, schema=_PIECE_ARROW)
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(batches, f"{_PIECE}, part bigint, number bigint")

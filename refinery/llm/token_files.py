@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refinery.llm import rans
-from refinery.llm.encoder import encoder
+from refinery.llm.encoder import as_binary, encoder
 
 _INDEX = struct.Struct("<4sII")
 _MAGIC = b"TKG1"
@@ -32,10 +32,9 @@ def tokenize(docs: DataFrame, model: str, pattern: str, end_id: int) -> DataFram
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = encoder(model, pattern)
-        end = np.array([end_id], shared.kind).tobytes()
         for batch in found:
-            rows = [ids + end for ids in shared.encode([text or "" for text in batch.column("text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
+            for a, b, ids, begin in shared.ended(batch.column("text"), end_id):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), as_binary(ids, begin)], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(batches, "doc_id bigint, ids binary")
 

@@ -113,8 +113,9 @@ def test_the_query(spark, sf_dir, given_documents):
 @given(st.text(st.sampled_from(" \n\t a'sé1!<日"), max_size=40))
 def test_chunks_give_the_ids_of_whole_texts(text):
     encoder = ENCODER
-    ids = np.frombuffer(encoder.encode([text, text + text])[0], encoder.kind).tolist()
-    assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
+    (a, b, ids, begin), = encoder.ended(pa.array([text, None, text + text]), 7)
+    assert (a, b) == (0, 3) and ids[begin[1:] - 1].tolist() == [7] * 3 and begin[2] == begin[1] + 1
+    assert ids[: begin[1] - 1].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
     assert "".join(cut(pa.array([text], pa.large_string()))[0].as_py()) == text
 
 
@@ -124,6 +125,7 @@ ENCODER = Encoder(MODEL, public_tokenizers.PATTERN)
 def test_a_long_text_and_runs():
     draw = random.Random(1)
     texts = ["".join(draw.choice(["word", " ", "\n", "  ", "é,", "'s", "\t"]) for _ in range(n)) for n in (400_000, 10, 0, 50)]
-    assert list(runs(texts, 100)) == [(0, 1), (1, 3), (3, 4)] and list(runs([])) == []
-    wanted = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
-    assert [np.frombuffer(ids, "<u2").tolist() for ids in ENCODER.encode(texts)] == wanted
+    texts = pa.array(texts, pa.large_string())
+    assert list(runs(texts, 200)) == [(0, 1), (1, 4)] and list(runs(texts[:0])) == []
+    wanted = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts.to_pylist()]
+    assert ENCODER.lists(texts).to_pylist() == wanted
