@@ -6,7 +6,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.operators.skew import LIMITS, Limits, apart, heavy_keys
+from refinery.operators import ranges
+from refinery.operators.skew import LIMITS, Limits, apart, beside, heavy_keys
 from refinery.operators.storage import pin
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
@@ -68,17 +69,34 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, distinct: bool
     )
 
 
+def in_turn(df: DataFrame, *but: str) -> list[Column]:
+    """As ``ascending``, in plain columns: each after the mark that it is missing."""
+    return [part for column in df.columns if column not in but for part in (F.col(column).isNull(), F.col(column))]
+
+
 def with_neighbours(
     df: DataFrame,
     key: str,
     order: Sequence[Column],
     take: Mapping[str, tuple[str, int]],
     limits: Limits = LIMITS,
+    by: str | None = None,
 ) -> DataFrame:
     """Adds columns taken from the next (+1) or the previous (-1) row of the same key: ``{new: (column, step)}``.
 
-    The rows of heavy keys are put in one global order (see ``in_order``) instead of into one task per key.
+    ``by`` names the first column of ``order``, a number, date or time; all of ``order`` are then plain columns, ascending with
+    missing values first. Hot keys are cut into ranges of it (``ranges.py``): one shuffle by key and range, and the rows at the
+    borders from one small table. Hot keys without ``by``, or with one value of it that is too hot itself, are put in one global
+    order (see ``in_order``).
     """
+    if by is not None:
+        cut = ranges.borders(df.select(key, by), key, by, limits)
+        tied = cut.filter("_tied").select(F.lit(key).alias("name"), F.col("_heavy").alias("key"))
+        if tied.isEmpty():
+            return _neighbours_by_range(df, key, order, take, by, cut, limits)
+        rest, hot = apart(df, key, tied, limits)
+        near = _neighbours_by_range(rest, key, order, take, by, cut.filter("NOT _tied"), limits)
+        return near.unionByName(_neighbours_by_place(hot, key, order, take))
     heavy = heavy_keys({key: df.select(key)}, limits)
     if heavy.isEmpty():
         return _neighbours_by_window(df, key, order, take)
@@ -91,6 +109,26 @@ def _neighbours_by_window(df, key, order, take) -> DataFrame:
     return df.withColumns({new: F.lag(column, -step).over(rows) for new, (column, step) in take.items()})
 
 
+def _neighbours_by_range(df, key, order, take, by, cut, limits) -> DataFrame:
+    if cut.isEmpty():
+        return _neighbours_by_window(df, key, order, take)
+    taken = F.struct(*[F.col(column).alias(new) for new, (column, _) in take.items()])
+    ranged = ranges.with_range(df, key, by, cut, limits).withColumn("_taken", taken)
+    # First and last row of each range of the hot keys: two rows per range, found before anything is shuffled.
+    turn = F.struct(F.struct(*order).alias("order"), F.col("_taken").alias("taken"))
+    ends = ranged.filter(F.col("_borders").isNotNull()).groupBy(F.col(key).alias("_of_key"), F.col("_range").alias("_of_range")).agg(
+        F.min(turn)["taken"].alias("_first"), F.max(turn)["taken"].alias("_last")
+    )
+    along = Window.partitionBy("_of_key").orderBy("_of_range")
+    borders = ends.select("_of_key", "_of_range", F.lead("_first").over(along).alias("_after"), F.lag("_last").over(along).alias("_before"))
+    rows = Window.partitionBy(key, "_range").orderBy(*order)
+    met = ranged.withColumns({"_next": F.lead("_taken").over(rows), "_previous": F.lag("_taken").over(rows)})
+    same = F.col(key).eqNullSafe(F.col("_of_key")) & (F.col("_range") == F.col("_of_range"))
+    met = met.join(beside(borders, limits), same, "left")
+    sides = {1: F.coalesce("_next", "_after"), -1: F.coalesce("_previous", "_before")}
+    return met.select(*df.columns, *[sides[step][new].alias(new) for new, (_, step) in take.items()])
+
+
 def _neighbours_by_place(df, key, order, take) -> DataFrame:
     placed = in_order(df, [F.col(key), *order]).withColumn(
         "_row", F.struct(F.col(key).alias("key"), *[F.col(c).alias(new) for new, (c, _) in take.items()])
@@ -130,9 +168,11 @@ def close_versions(
     ties: Sequence[Column],
     limits: Limits = LIMITS,
 ) -> DataFrame:
-    """Sets ``end`` to the day before the next version of the key starts, NULL for the last; cuts ``start`` to a day."""
-    order = [F.col(start).asc_nulls_first(), *ties]
-    followed = with_neighbours(df, key, order, {"_next_start": (start, 1)}, limits)
+    """Sets ``end`` to the day before the next version of the key starts, NULL for the last; cuts ``start`` to a day.
+
+    A missing start comes first. ``ties`` are plain columns, ascending with missing values first.
+    """
+    followed = with_neighbours(df, key, [F.col(start), *ties], {"_next_start": (start, 1)}, limits, by=start)
     return followed.withColumns(
         {start: F.col(start).cast("date"), end: F.date_sub(F.col("_next_start").cast("date"), 1)}
     ).drop("_next_start")

@@ -44,7 +44,7 @@ def heavy_keys(keys: Mapping[str, DataFrame], limits: Limits = LIMITS) -> DataFr
     return pin(above.select("name", "key", F.ceil(F.col("n") / fraction).alias("n")))
 
 
-def _beside(rows: DataFrame, limits: Limits) -> DataFrame:
+def beside(rows: DataFrame, limits: Limits) -> DataFrame:
     """A pinned table of keys and a few numbers, to be broadcast if its size allows it."""
     small = rows.count() * len(rows.columns) * _BYTES_PER_KEY <= limits.broadcast_bytes
     return F.broadcast(rows) if small else rows
@@ -52,7 +52,7 @@ def _beside(rows: DataFrame, limits: Limits) -> DataFrame:
 
 def apart(df: DataFrame, key: str, heavy: DataFrame, limits: Limits = LIMITS) -> tuple[DataFrame, DataFrame]:
     """The rows whose key is not among the heavy ones of the table ``key``, and those whose key is."""
-    keys = _beside(heavy.filter(F.col("name") == key).select(F.col("key").alias("_heavy")), limits)
+    keys = beside(heavy.filter(F.col("name") == key).select(F.col("key").alias("_heavy")), limits)
     same = F.col(key).eqNullSafe(F.col("_heavy"))
     return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
 
@@ -134,7 +134,7 @@ def _join_large(left, left_key, rights, spread, limits) -> DataFrame:
         )
 
     sides = [left_key, *rights]
-    parts = _beside(_parts_table(sides, heavy, limits), limits)
+    parts = beside(_parts_table(sides, heavy, limits), limits)
     joined = _cut(left, left_key, parts, sides, F.lit(0) if spread is None else spread)
     lost = F.lit(False)
     for name, right in rights.items():

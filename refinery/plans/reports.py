@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.operators.ordering import ascending, dense_key, with_neighbours
+from refinery.operators.asof import as_of_join
+from refinery.operators.ordering import dense_key, in_turn, with_neighbours
 from refinery.operators.skew import LIMITS, Limits, left_join
 from refinery.operators.storage import pin
 
@@ -64,9 +65,8 @@ def _not_before(value: Column, other: int | None, other_key: int) -> Column:
 
 def price_history(versions: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Each version of each product: when it held, its cost, and the change from the version before."""
-    order = [F.col("prd_start_dt").asc_nulls_first(), F.col("prd_id").asc_nulls_last()]
-    order += ascending(versions, "prd_key", "prd_start_dt", "prd_id")
-    return with_neighbours(versions, "prd_key", order, {"previous_cost": ("prd_cost", -1)}, limits).select(
+    order = [F.col("prd_start_dt"), F.col("prd_id").isNull(), F.col("prd_id"), *in_turn(versions, "prd_key", "prd_start_dt", "prd_id")]
+    return with_neighbours(versions, "prd_key", order, {"previous_cost": ("prd_cost", -1)}, limits, by="prd_start_dt").select(
         F.col("prd_key").alias("product_number"),
         F.col("prd_id").alias("product_id"),
         F.col("prd_start_dt").alias("start_date"),
@@ -77,6 +77,37 @@ def price_history(versions: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
+# Column of the report, and the column of the clean product versions that it holds.
+VERSION_COLUMNS = {
+    "product_id": "prd_id",
+    "version_start": "prd_start_dt",
+    "version_end": "prd_end_dt",
+    "unit_cost": "prd_cost",
+}
+
+
+def sales_as_of_versions(sales: DataFrame, versions: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Every clean sale with the product version of its order day, what it cost then and what was earned.
+
+    Of versions that begin on the same day the one with the largest ``prd_id`` counts; a sale without a product key or a day, or
+    before the first version, has none. The star schema shows the open version instead.
+    """
+    met = as_of_join(
+        sales, ("sls_prd_key", "sls_order_dt"), versions, ("prd_key", "prd_start_dt"), VERSION_COLUMNS, ties=["prd_id"], limits=limits
+    )
+    cost = F.col("unit_cost").cast("bigint") * F.col("sls_quantity")
+    return met.select(
+        F.col("sls_ord_num").alias("order_number"),
+        F.col("sls_prd_key").alias("product_number"),
+        F.col("sls_order_dt").alias("order_date"),
+        F.col("sls_quantity").alias("quantity"),
+        F.col("sls_sales").alias("sales_amount"),
+        *VERSION_COLUMNS,
+        cost.alias("cost"),
+        (F.col("sls_sales") - cost).alias("margin"),
+    )
+
+
 def sales_kpis(fact: DataFrame, *by: str | Column) -> DataFrame:
     """Orders, lines, units, amount, average price and lines without a known product or customer, per group."""
     return (

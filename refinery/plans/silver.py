@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions import amounts, codes, dates, keys
-from refinery.operators.ordering import ascending, close_versions, latest_per_key
+from refinery.operators.ordering import close_versions, in_turn, latest_per_key
 from refinery.operators.skew import LIMITS, Limits
 
 
@@ -32,7 +32,7 @@ def products(raw: DataFrame, limits: Limits = LIMITS) -> DataFrame:
         codes.standard_code(F.col("prd_line"), codes.PRODUCT_LINE).alias("prd_line"),
         "prd_start_dt",
     )
-    ties = [F.col("prd_id").asc_nulls_last(), *ascending(versions, "prd_id", "prd_key", "prd_start_dt")]
+    ties = [F.col("prd_id").isNull(), F.col("prd_id"), *in_turn(versions, "prd_id", "prd_key", "prd_start_dt")]
     return close_versions(versions, "prd_key", "prd_start_dt", "prd_end_dt", ties, limits)
 
 

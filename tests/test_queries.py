@@ -40,7 +40,7 @@ def test_query(spark, duck, name):
     compare(spark, duck, name)
 
 
-@pytest.mark.parametrize("name", ["dim_customers", "fact_sales", "order_intervals", "price_history", "sales_kpis_category"])
+@pytest.mark.parametrize("name", ["dim_customers", "fact_sales", "order_intervals", "price_history", "sales_as_of_versions", "silver_crm_prd_info", "sales_kpis_category"])
 def test_query_with_hot_keys_only(spark, duck, name, monkeypatch):
     for limit, value in {"rows_per_task": 2, "broadcast_bytes": 0}.items():
         monkeypatch.setitem(skew.LIMITS.__dict__, limit, value)
