@@ -1,7 +1,6 @@
 """The two rebuilds, run one after the other: raw files -> clean tables, clean tables -> star schema."""
 
 import datetime as dt
-import uuid
 from collections.abc import Mapping
 from functools import partial, reduce
 
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 from refinery.operators.checks import repeated_keys
 from refinery.plans import gold, silver
 from refinery.plans.together import together
-from refinery.schemas import GOLD, SILVER
-from refinery.sinks import tables
+from refinery.schemas import FACT_PARTITIONS, GOLD, SILVER, require
+from refinery.sinks import releases, tables
 from refinery.sources import catalog
 
 KEYS = {
@@ -28,12 +27,18 @@ KEYS = {
 def refresh_silver(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, database: str = "silver", as_of: dt.date | None = None
 ) -> None:
-    tables.ensure_database(spark, database, root)
+    """Cleans all six tables into folders of one run and has their names change over to it together.
 
-    def refresh(name: str) -> None:
-        tables.refresh(silver.build(name, raw[name], as_of), database, name, SILVER[name], f"{root}/{name}")
+    A run that fails leaves the tables as they were; ``releases`` says which older runs are removed.
+    """
+    run = releases.new_run()
+
+    def write(name: str) -> None:
+        rows = require(silver.build(name, raw[name], as_of), SILVER[name], name)
+        tables.write_files(rows, releases.folder(root, name, run))
 
-    together(spark, [partial(refresh, name) for name in SILVER])
+    together(spark, [partial(write, name) for name in SILVER])
+    releases.publish(spark, database, root, run, SILVER)
 
 
 def repeated(clean: Mapping[str, DataFrame]) -> DataFrame:
@@ -50,13 +55,12 @@ def repeated(clean: Mapping[str, DataFrame]) -> DataFrame:
 def refresh_gold(spark: SparkSession, silver_database: str, root: str, database: str = "gold") -> None:
     """The fact comes last and reads the dimensions just written, so their keys always agree.
 
-    All three are written to a folder of this run; only then do the tables change over to it. A run that fails before
-    leaves the published ones as they were. Folders of earlier runs stay for those who still read them.
+    All three are written to folders of this run and change over together (see ``releases``): readers see either all tables of
+    the run before or all of this one. A run that fails leaves the published ones as they were.
     """
-    tables.ensure_database(spark, database, root)
     clean = catalog.read(spark, silver_database, SILVER)
-    run = f"{root}/run-{uuid.uuid4().hex}"
-    paths = {name: f"{run}/{name}" for name in GOLD}
+    run = releases.new_run()
+    paths = {name: releases.folder(root, name, run) for name in GOLD}
 
     def customers() -> None:
         rows = gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"])
@@ -70,5 +74,4 @@ def refresh_gold(spark: SparkSession, silver_database: str, root: str, database:
     written = {name: spark.read.schema(GOLD[name]).parquet(paths[name]) for name in ("dim_customers", "dim_products")}
     fact = gold.fact_sales(clean["crm_sales_details"], written["dim_products"], written["dim_customers"])
     tables.write_fact(fact, "fact_sales", paths["fact_sales"])
-    for name, path in paths.items():
-        tables.publish(spark, database, name, path)
+    releases.publish(spark, database, root, run, GOLD, {"fact_sales": FACT_PARTITIONS})

@@ -47,10 +47,14 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str)
     wrong = mismatches(spark.table(name).schema, schema)
     if wrong:
         raise ValueError(f"table {name} exists with another schema: " + "; ".join(wrong))
+    require_location(spark, name, path)
+    spark.catalog.refreshTable(name)
+
+
+def require_location(spark: SparkSession, name: str, path: str) -> None:
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
     if _qualified(spark, location) != _qualified(spark, path):
         raise ValueError(f"table {name} exists over other files: {location}")
-    spark.catalog.refreshTable(name)
 
 
 def replace_table(
