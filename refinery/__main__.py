@@ -28,6 +28,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     silver.add_argument("--raw", required=True)
     silver.add_argument("--format", default="parquet", choices=["csv", "parquet"])
     silver.add_argument("--root", required=True, help="folder for the clean tables")
+    silver.add_argument("--rejects", help="folder for the lines of text files that could not be read in full")
     silver.add_argument("--database", default="silver")
     silver.add_argument("--as-of", type=dt.date.fromisoformat, help="birth dates after this day are dropped (today)")
 
@@ -46,6 +47,8 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
         relational.land(spark, chosen.url, chosen.raw, properties, sources, chosen.format)
     elif chosen.job == "silver":
         if chosen.format == "csv":
+            if chosen.rejects:
+                delimited.write_rejects(spark, chosen.raw, chosen.rejects)
             raw = delimited.scan_bronze(spark, chosen.raw)
             for name, schema in BRONZE.items():
                 _say(name, delimited.quality(spark, f"{chosen.raw}/{name}", schema))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.operators.asof import as_of_join
-from refinery.operators.ordering import dense_key, in_turn, with_neighbours
-from refinery.operators.skew import LIMITS, Limits, left_join
+from refinery.operators.ordering import in_turn, with_neighbours
+from refinery.operators.selection import rows_at
+from refinery.operators.skew import LIMITS, Limits, left_join, small_tables
 from refinery.operators.storage import pin
 
 SCORES = 5
@@ -23,8 +24,8 @@ def _first_rows(total: int) -> list[int]:
 def rfm_segments(fact: DataFrame, as_of: dt.date) -> DataFrame:
     """Recency, frequency and monetary value of each customer, each scored 1 (low) to 5 in equal groups.
 
-    Groups are ordered by the value (missing first), then by ``customer_key``. The three values are put in order together,
-    as rows of three numbers; a customer is then compared with the rows at which a group begins, four per value.
+    Groups are ordered by the value (missing first), then by ``customer_key``. A customer is compared with the rows at which a
+    group begins, four per value, which are found without sorting (``selection.rows_at``).
     """
     customers = pin(
         fact.filter(F.col("customer_key").isNotNull())
@@ -37,21 +38,16 @@ def rfm_segments(fact: DataFrame, as_of: dt.date) -> DataFrame:
     )
     # What a score orders by, small values first.
     values = {"recency_score": -F.col("recency_days"), "frequency_score": F.col("frequency"), "monetary_score": F.col("monetary")}
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("of"), value.cast("bigint").alias("value")) for i, value in enumerate(values.values())]))
-    narrow = customers.select(pairs.alias("pair"), "customer_key").select("pair.*", "customer_key")
-    total = customers.count()
-    placed = dense_key(narrow, [F.col("of"), F.col("value").asc_nulls_first(), F.col("customer_key")], "at", distinct=True)
-    places = [i * total + at for i in range(len(values)) for at in _first_rows(total)]
-    borders = placed.filter(F.col("at").isin(places)).collect()
-
-    def score(i: int, value: Column) -> Column:
+    values = {name: value.cast("bigint") for name, value in values.items()}
+    borders = rows_at(customers, values, "customer_key", _first_rows(customers.count()))
+
+    def score(name: str, value: Column) -> Column:
         behind = F.lit(1)
-        for border in borders:
-            if border["of"] == i:
-                behind = behind + _not_before(value, border["value"], border["customer_key"]).cast("int")
+        for other, other_key in borders[name].values():
+            behind = behind + _not_before(value, other, other_key).cast("int")
         return behind
 
-    scored = customers.withColumns({name: score(i, value) for i, (name, value) in enumerate(values.items())})
+    scored = customers.withColumns({name: score(name, value) for name, value in values.items()})
     return scored.withColumn("segment", F.concat_ws("-", *values))
 
 
@@ -136,3 +132,37 @@ def kpis_by_country(fact: DataFrame, customers: DataFrame, limits: Limits = LIMI
 def kpis_by_category(fact: DataFrame, products: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     categories = products.select(F.col("product_key").alias("known_product"), "category")
     return sales_kpis(left_join(fact, "product_key", {"known_product": categories}, limits=limits), "category")
+
+
+# The groupings of the cube, and the columns each groups by.
+CUBE = {"month": ["year", "month"], "country": ["country"], "category": ["category"], "all": []}
+
+
+def kpis_cube(fact: DataFrame, products: DataFrame, customers: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """The figures of ``sales_kpis`` by month, by country, by category and over all, in one pass over the fact.
+
+    Lines are first added up per order and all the columns that any grouping uses; only these rows are copied for each
+    grouping, and orders are counted exactly in each. ``grouped_by`` names the grouping, columns of others are NULL.
+    """
+    countries = customers.select(F.col("customer_key").alias("known_customer"), "country")
+    categories = products.select(F.col("product_key").alias("known_product"), "category")
+    small = small_tables({"known_customer": countries, "known_product": categories}, limits)
+    named = left_join(fact, "customer_key", {"known_customer": countries}, limits=limits, small=small)
+    named = left_join(named, "product_key", {"known_product": categories}, limits=limits, small=small)
+    columns = [column for of in CUBE.values() for column in of]
+    added = named.groupBy(*columns, "order_number").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("quantity").alias("units"),
+        F.sum("sales_amount").alias("sales_amount"),
+        F.count_if(F.col("product_key").isNull()).alias("lines_without_product"),
+        F.count_if(F.col("customer_key").isNull()).alias("lines_without_customer"),
+    )
+    sums = ["lines", "units", "sales_amount", "lines_without_product", "lines_without_customer"]
+    grouped = added.groupingSets(list(CUBE.values()), *columns).agg(
+        F.grouping_id().alias("_grouping"), F.count_distinct("order_number").alias("orders"), *[F.sum(column).alias(column) for column in sums]
+    )
+    # A bit per column, 0 where it is grouped by, the first column's in front.
+    bits = {name: sum(1 << place for place, column in enumerate(reversed(columns)) if column not in of) for name, of in CUBE.items()}
+    grouped_by = F.coalesce(*[F.when(F.col("_grouping") == number, name) for name, number in bits.items()])
+    average = (F.col("sales_amount") / F.nullif("units", F.lit(0))).alias("average_price")
+    return grouped.select(grouped_by.alias("grouped_by"), *columns, "orders", *sums, average)

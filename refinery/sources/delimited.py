@@ -30,6 +30,35 @@ def scan(
     return reader.schema(schema).csv(path)
 
 
+# A quoted field, as the reader takes it: a backslash keeps the character after it.
+_QUOTED = r'"(?:[^"\\]|\\.)*"'
+
+
+def rejects(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """``file``, ``line`` and ``reason`` of every line that ``scan`` loses something of; a line that repeats comes as often.
+
+    The reason is the number of fields where that is wrong, else the first field that does not fit its type. Only the rejected
+    lines are looked at a second time, in the task that read them.
+    """
+    read = scan(spark, path, schema, keep_rejected=True).select("*", F.col("_metadata.file_path").alias("_file"))
+    texts = StructType([StructField(field.name, StringType()) for field in schema])
+    bad = read.filter(F.col(REJECTED).isNotNull()).withColumn("_texts", F.from_csv(REJECTED, texts.simpleString()[7:-1].replace(":", " "), {"nullValue": NULL_TEXT, "delimiter": DELIMITER}))
+    fields = F.size(F.split(F.regexp_replace(REJECTED, _QUOTED, ""), DELIMITER, -1))
+    count = F.when(fields != len(schema), F.format_string(f"%d fields in place of {len(schema)}", fields))
+    lost = [
+        F.when(F.col(field.name).isNull() & F.col("_texts")[field.name].isNotNull(), f"{field.name} is no {field.dataType.simpleString()}")
+        for field in schema
+    ]
+    reason = F.coalesce(count, *lost, F.lit("the line can't be read"))
+    return bad.select(F.col("_file").alias("file"), F.col(REJECTED).alias("line"), reason.alias("reason"))
+
+
+def write_rejects(spark: SparkSession, root: str, target: str) -> None:
+    """Keeps the rejected lines of all raw tables under ``target``, one folder per table, in place of those of an earlier scan."""
+    for name, schema in BRONZE.items():
+        rejects(spark, f"{root}/{name}", schema).write.mode("overwrite").parquet(f"{target}/table_name={name}")
+
+
 def quality(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One row: lines read, lines with a field that was lost, and the missing values of each column."""
     missing = [F.count_if(F.col(field.name).isNull()).alias(f"{field.name}_missing") for field in schema]

@@ -184,3 +184,17 @@ def test_ranges_replace_the_cut_of_a_table():
     for wrong in ({"nothing": {"column": "a", "bounds": [1]}}, {"erp_loc_a101": {"column": "cid", "bounds": ["b", "a"]}}):
         with pytest.raises(ValueError):
             relational.with_ranges(relational.SOURCES, wrong)
+
+
+def test_rejected_lines_are_kept_with_file_and_reason(spark, tmp_path):
+    schema = table(id=INT, t=STRING, d=DATE)
+    lines = ['1,a,2020-01-01', 'x,b,2020-01-01', '2,"b,c",2020-01-02', '3,"q,\\"r",', '4,d', '5,e,2020-01-01,more', '6,f,never', 'null,null,null', 'x,b,2020-01-01', '7,,']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part.csv").write_text("\n".join(lines) + "\n")
+    found = delimited.rejects(spark, str(tmp_path / "in"), schema).collect()
+    assert sorted((row.line, row.reason) for row in found) == sorted([
+        ("x,b,2020-01-01", "id is no int"), ("x,b,2020-01-01", "id is no int"), ("4,d", "2 fields in place of 3"),
+        ("5,e,2020-01-01,more", "4 fields in place of 3"), ("6,f,never", "d is no date"),
+    ])
+    assert {row.file.rsplit("/", 1)[-1] for row in found} == {"part.csv"}
+    assert len(found) == delimited.quality(spark, str(tmp_path / "in"), schema).first().lines_rejected
