@@ -20,7 +20,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     land = jobs.add_parser("land", help="copy the source tables to the raw folders")
     land.add_argument("--url", required=True, help="JDBC address of the source database")
     land.add_argument("--properties", type=Path, help="JSON file with user, password and driver options")
-    land.add_argument("--ranges", type=Path, help='JSON file that cuts tables by ranges: {"crm_sales_details": {"column": "sls_ord_num", "bounds": [...]}}')
+    land.add_argument("--ranges", type=Path, help='JSON file that cuts tables by ranges: {"crm_sales_details": {"column": "sls_ord_num", "bounds": [...]}}, or "columns" and "reads" to have even bounds found')
     land.add_argument("--raw", required=True, help="folder that holds one folder per raw table")
     land.add_argument("--format", default="parquet", choices=["csv", "parquet"])
 
@@ -36,6 +36,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     gold.add_argument("--silver-database", default="silver")
     gold.add_argument("--root", required=True, help="folder for the star schema")
     gold.add_argument("--database", default="gold")
+    gold.add_argument("--keep-keys", action="store_true", help="members keep the keys of earlier rebuilds, new ones are numbered after them")
     return parser.parse_args(argv)
 
 
@@ -57,7 +58,7 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
         mart.refresh_silver(spark, raw, chosen.root, chosen.database, chosen.as_of)
         _say("keys", mart.repeated(catalog.read(spark, chosen.database, SILVER)))
     else:
-        mart.refresh_gold(spark, chosen.silver_database, chosen.root, chosen.database)
+        mart.refresh_gold(spark, chosen.silver_database, chosen.root, chosen.database, chosen.keep_keys)
 
 
 def _say(what: str, counts: DataFrame) -> None:

@@ -51,7 +51,7 @@ def _named(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(clean).alias(name) for name, clean in names.items()])
 
 
-def dim_customers(
+def customer_members(
     customers: DataFrame, demographics: DataFrame, locations: DataFrame, limits: Limits = LIMITS
 ) -> DataFrame:
     """Customers with what the ERP knows about them; a customer the ERP knows twice appears twice."""
@@ -62,14 +62,26 @@ def dim_customers(
     # cst_id is unique, so its hash cuts up any group of customers that share a key or have none.
     joined = left_join(customers, "cst_key", erp, F.xxhash64("cst_id"), limits)
     known_gender = first_known(F.col("cst_gndr"), F.col("gen"))
-    rows = _named(joined.withColumn("known_gender", known_gender), CUSTOMER_COLUMNS)
+    return _named(joined.withColumn("known_gender", known_gender), CUSTOMER_COLUMNS)
+
+
+def dim_customers(
+    customers: DataFrame, demographics: DataFrame, locations: DataFrame, limits: Limits = LIMITS
+) -> DataFrame:
+    """``customer_members``, numbered anew in the order of ``customer_id``."""
+    rows = customer_members(customers, demographics, locations, limits)
     return dense_key(rows, [F.col("customer_id").asc_nulls_first(), *ascending(rows, "customer_id")], "customer_key")
 
 
-def dim_products(versions: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def product_members(versions: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """The open version of each product, with its category."""
     current = versions.filter(F.col("prd_end_dt").isNull())
-    rows = _named(left_join(current, "cat_id", {"id": categories}, limits=limits), PRODUCT_COLUMNS)
+    return _named(left_join(current, "cat_id", {"id": categories}, limits=limits), PRODUCT_COLUMNS)
+
+
+def dim_products(versions: DataFrame, categories: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """``product_members``, numbered anew in the order of ``start_date`` and ``product_number``."""
+    rows = product_members(versions, categories, limits)
     order = [F.col("start_date").asc_nulls_first(), F.col("product_number").asc_nulls_first()]
     return dense_key(rows, [*order, *ascending(rows, "start_date", "product_number")], "product_key")
 

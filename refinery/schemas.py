@@ -58,6 +58,11 @@ GOLD = {
         due_date=DATE, sales_amount=INT, quantity=INT, price=DOUBLE, year=INT, month=INT,
     ),
 }
+# Registers of keys that members keep: the natural key, the number of the member among those that share it, and the key.
+REGISTERS = {
+    "customer_keys": table(customer_id=INT, copy=INT, customer_key=BIGINT),
+    "product_keys": table(product_number=STRING, copy=INT, product_key=BIGINT),
+}
 FACT_PARTITIONS = ["year", "month"]
 
 

@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,8 @@ class Source:
     """A table of the source database, as a query, and how to cut it into parallel reads.
 
     ``split_on`` is a numeric or date column cut into ``reads`` equal ranges between its smallest and largest
-    value, or ``conditions`` are SQL conditions of which each row meets exactly one. With neither, one
+    value, or ``conditions`` are SQL conditions of which each row meets exactly one. ``even_on`` names columns by which
+    about ``reads`` even parts are planned when the table is read (``planned_conditions``). With none of these, one
     connection reads everything: for small tables only.
     """
 
@@ -24,6 +26,7 @@ class Source:
     split_on: str | None = None
     reads: int = 1
     conditions: Sequence[str] = field(default_factory=tuple)
+    even_on: Sequence[str] = field(default_factory=tuple)
 
 
 def last_digit_conditions(column: str, digits: int = 1) -> list[str]:
@@ -40,17 +43,66 @@ def range_conditions(column: str, bounds: Sequence[str | int]) -> list[str]:
     """
     if list(bounds) != sorted(set(bounds)) or not bounds:
         raise ValueError(f"bounds of {column} have to be different and ascending")
-    written = ["'" + bound.replace("'", "''") + "'" if isinstance(bound, str) else str(bound) for bound in bounds]
+    written = list(map(literal, bounds))
     between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(written, written[1:])]
     return [f"{column} < {written[0]} OR {column} IS NULL", *between, f"{column} >= {written[-1]}"]
 
 
+def literal(value: object) -> str:
+    """A value as SQL writes it; days and times in ISO form, which databases read."""
+    if isinstance(value, int | float | Decimal):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def planned_conditions(spark: SparkSession, url: str, query: str, properties: Mapping[str, str], columns: Sequence[str], reads: int) -> list[str]:
+    """Conditions that cut a query into about ``reads`` even parts by the first of ``columns``; each row meets exactly one.
+
+    The database counts its rows per value and adds the counts up in order; only the values at which a part is full come back,
+    so there are at most ``reads`` of them whatever the column holds. A value (or its absence) that fills a part by itself is
+    read apart, and cut by the next of ``columns`` if there is one. Two queries per column, both answered by an index on it.
+    """
+    column, others = columns[0], columns[1:]
+    rows = f"(SELECT {column} AS v FROM ({query}) t)"
+    total, known = spark.read.jdbc(url, f"(SELECT COUNT(*) AS n, COUNT(v) AS k FROM {rows} c) e", properties=properties).first()
+    if not total or reads < 2:
+        return []
+    size = -(-int(total) // reads)
+    counts = f"(SELECT v, COUNT(*) AS n FROM {rows} c WHERE v IS NOT NULL GROUP BY v)"
+    sums = f"(SELECT v, n, SUM(n) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS upto FROM {counts} h)"
+    full = f"FLOOR(upto / {size}.0) > FLOOR((upto - n) / {size}.0)"
+    found = spark.read.jdbc(url, f"(SELECT v, n FROM {sums} s WHERE {full}) e", properties=properties).collect()
+
+    def apart(one: str, rows_of_it: int) -> list[str]:
+        if not others or rows_of_it < 2 * size:
+            return [one]
+        parts = planned_conditions(spark, url, f"SELECT * FROM ({query}) o WHERE {one}", properties, others, -(-rows_of_it // size))
+        return [f"{one} AND ({part})" for part in parts] or [one]
+
+    conditions, low = [], None
+    for value, n in sorted((row[0], int(row[1])) for row in found):
+        above = "" if low is None else f"{column} > {literal(low)} AND "
+        if n >= size:
+            conditions += [f"{above}{column} < {literal(value)}", *apart(f"{column} = {literal(value)}", n)]
+        else:
+            conditions.append(f"{above}{column} <= {literal(value)}")
+        low = value
+    conditions.append(f"{column} > {literal(low)}" if low is not None else f"{column} IS NOT NULL")
+    return conditions + (apart(f"{column} IS NULL", int(total) - int(known)) if known < total else [])
+
+
 def with_ranges(sources: Mapping[str, Source], ranges: Mapping[str, Mapping]) -> dict[str, Source]:
-    """``sources`` with some cut by ranges instead: ``{table: {"column": name, "bounds": [...]}}``."""
+    """``sources`` with some cut by ranges instead: ``{table: {"column": name, "bounds": [...]}}``, or ``{table: {"columns": [...],
+    "reads": n}}`` to have the bounds found (``planned_conditions``)."""
     unknown = ranges.keys() - sources.keys()
     if unknown:
         raise ValueError(f"ranges of unknown tables: {sorted(unknown)}")
-    cut = {name: Source(sources[name].query, conditions=range_conditions(**of)) for name, of in ranges.items()}
+    cut = {
+        name: Source(sources[name].query, conditions=range_conditions(**of))
+        if "bounds" in of
+        else Source(sources[name].query, even_on=tuple(of["columns"]), reads=of["reads"])
+        for name, of in ranges.items()
+    }
     return {**sources, **cut}
 
 
@@ -72,8 +124,11 @@ SOURCES = {
 def read(spark: SparkSession, url: str, source: Source, properties: Mapping[str, str]) -> DataFrame:
     properties = {"fetchsize": str(FETCH_ROWS), **properties}
     rows = f"({source.query}) t"
-    if source.conditions:
-        return spark.read.jdbc(url, rows, predicates=list(source.conditions), properties=properties)
+    conditions = list(source.conditions)
+    if source.even_on:
+        conditions = planned_conditions(spark, url, source.query, properties, source.even_on, source.reads)
+    if conditions:
+        return spark.read.jdbc(url, rows, predicates=conditions, properties=properties)
     if source.split_on is None:
         return spark.read.jdbc(url, rows, properties=properties)
     ends = f"(SELECT MIN({source.split_on}) AS lo, MAX({source.split_on}) AS hi FROM {rows}) e"

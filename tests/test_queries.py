@@ -1,5 +1,6 @@
 """Every query against its DuckDB text on the smallest given tables; some again with every key taken for a hot one."""
 
+import sys
 from pathlib import Path
 
 import duckdb
@@ -45,3 +46,12 @@ def test_query_with_hot_keys_only(spark, duck, name, monkeypatch):
     for limit, value in {"rows_per_task": 2, "broadcast_bytes": 0}.items():
         monkeypatch.setitem(skew.LIMITS.__dict__, limit, value)
     compare(spark, duck, name)
+
+
+def test_without_a_library_of_the_training_data_the_mart_is_there(monkeypatch):
+    """A name that is None among the modules can't be imported."""
+    for name in [name for name in sys.modules if name.startswith("refinery.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "tokenizers", None)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql().keys() == ORACLES.keys()

@@ -1,0 +1,65 @@
+"""Keys that members keep from rebuild to rebuild."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_mart import AS_OF, RAW
+
+from refinery.operators import register
+from refinery.plans import mart
+from refinery.schemas import BRONZE
+
+MEMBERS = "id int, t string"
+
+
+def rebuilt(spark, members, old):
+    members = spark.createDataFrame(members, MEMBERS)
+    new = register.grown(members, ["id"], "key", old)
+    new = spark.createDataFrame(new.collect(), "id int, copy int, key bigint")  # as if written and read
+    return new, [tuple(row) for row in register.keyed(members, ["id"], "key", new).collect()]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.sampled_from("ab")), max_size=12), min_size=2, max_size=3))
+def test_keys_stay_and_have_no_gaps(spark, rebuilds):
+    old, before = None, {}
+    for members in rebuilds:
+        old, keyed = rebuilt(spark, members, old)
+        assert sorted(key for *_, key in old.collect()) == list(range(1, old.count() + 1))
+        assert sorted(map(repr, (row[:2] for row in keyed))) == sorted(map(repr, members))
+        assert len({key for *_, key in keyed}) == len(members)
+        now = {(row["id"], row["copy"]): row["key"] for row in old.collect()}
+        assert before.items() <= now.items()
+        before = now
+
+
+def test_new_members_come_after_the_old(spark):
+    old, first = rebuilt(spark, [(5, "e"), (None, "n"), (3, "c"), (3, "c")], None)
+    assert sorted(first, key=lambda row: row[-1]) == [(None, "n", 1), (3, "c", 2), (3, "c", 3), (5, "e", 4)]
+    _, second = rebuilt(spark, [(5, "e"), (1, "a"), (3, "changed"), (4, "d")], old)
+    assert sorted(second, key=lambda row: row[-1]) == [(3, "changed", 2), (5, "e", 4), (1, "a", 5), (4, "d", 6)]
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"kept_{tmp_path.name}"
+    yield name
+    for layer in ("silver", "gold"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name}_{layer} CASCADE")
+
+
+def test_a_rebuild_over_grown_data_keeps_the_keys(spark, database, tmp_path):
+    grown = RAW | {"crm_cust_info": [*RAW["crm_cust_info"], (0, "AW0", "Zero", "First", "S", "M", dt.date(2024, 5, 5))]}
+    found = []
+    for values in (RAW, grown):
+        raw = {name: spark.createDataFrame(rows_of, BRONZE[name]) for name, rows_of in values.items()}
+        mart.refresh_silver(spark, raw, f"{tmp_path}/silver", f"{database}_silver", AS_OF)
+        mart.refresh_gold(spark, f"{database}_silver", f"{tmp_path}/gold", f"{database}_gold", keep_keys=True)
+        found.append({row.customer_id: row.customer_key for row in spark.table(f"{database}_gold.dim_customers").collect()})
+    assert found[0] == {1: 1, 2: 2, 3: 3} and found[1] == found[0] | {0: 4}
+    assert rows(spark.table(f"{database}_gold.customer_keys"), "customer_id", "customer_key") == [(0, 4), (1, 1), (2, 2), (3, 3)]
+    facts = spark.table(f"{database}_gold.fact_sales")
+    assert facts.filter("customer_key = 1").count() == spark.table(f"{database}_silver.crm_sales_details").filter("sls_cust_id = 1").count()

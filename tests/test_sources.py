@@ -198,3 +198,42 @@ def test_rejected_lines_are_kept_with_file_and_reason(spark, tmp_path):
     ])
     assert {row.file.rsplit("/", 1)[-1] for row in found} == {"part.csv"}
     assert len(found) == delimited.quality(spark, str(tmp_path / "in"), schema).first().lines_rejected
+
+
+def cut_rows(spark, rows, columns, reads):
+    """Rows of each part that is planned for a table which the stand-in reader answers SQL from."""
+    rows.createOrReplaceTempView("to_be_cut")
+    session = Session(lambda text: spark.sql(f"SELECT * FROM {text}"))
+    conditions = relational.planned_conditions(session, "jdbc:x", "SELECT * FROM to_be_cut", {}, columns, reads)
+    asked = [call[1] for call in session.read.calls]
+    return [spark.sql(f"SELECT * FROM to_be_cut WHERE {condition}").count() for condition in conditions], conditions, asked
+
+
+def test_parts_are_even_with_half_the_rows_on_one_value(spark):
+    value = F.when(F.col("id") % 2 == 0, 77).when(F.col("id") % 11 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000)))
+    rows = spark.range(20_000).select(value.cast("int").alias("v"), F.concat(F.lit("it's "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"))
+    alone, _, _ = cut_rows(spark, rows, ["v"], 10)
+    assert sum(alone) == 20_000 and sorted(alone)[-1] >= 10_000 and sorted(alone)[-2] <= 2_200
+    sizes, conditions, asked = cut_rows(spark, rows, ["v", "t"], 10)
+    assert sum(sizes) == 20_000 and max(sizes) <= 2_200 and len(sizes) <= 20
+    assert all(spark.sql(f"SELECT * FROM {text}").count() <= 10 for text in asked)
+    met = spark.table("to_be_cut").select(sum(F.coalesce(F.expr(c).cast("int"), F.lit(0)) for c in conditions).alias("n"))
+    assert met.filter("n <> 1").isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["date", "string", "decimal(12,2)", "timestamp"])
+def test_parts_by_other_types(spark, kind):
+    day = F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 400).cast("int"))
+    value = {"date": day, "string": F.sha2(F.col("id").cast("string"), 256), "decimal(12,2)": F.col("id") / 7, "timestamp": day.cast("timestamp")}[kind]
+    sizes, _, _ = cut_rows(spark, spark.range(4_000).select(value.cast(kind).alias("v")), ["v"], 8)
+    assert sum(sizes) == 4_000 and max(sizes) <= 520 and 8 <= len(sizes) <= 9
+
+
+def test_parts_of_few_or_no_rows(spark):
+    assert cut_rows(spark, spark.range(0).select(F.col("id").alias("v")), ["v"], 4)[0] == []
+    assert sum(cut_rows(spark, spark.range(3).select(F.lit(None).cast("int").alias("v")), ["v"], 4)[0]) == 3
+    assert sum(cut_rows(spark, spark.range(3).select(F.col("id").alias("v")), ["v"], 4)[0]) == 3
+    session = Session(lambda text: spark.range(5).selectExpr("5 AS n", "5 AS k") if "COUNT(v)" in text else spark.createDataFrame([(2, 1)], "v int, n int"))
+    source = relational.with_ranges({"t": relational.Source("q")}, {"t": {"columns": ["v"], "reads": 2}})["t"]
+    relational.read(session, "jdbc:x", source, {})
+    assert session.read.calls[-1][2]["predicates"] == ["v <= 2", "v > 2"]
