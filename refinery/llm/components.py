@@ -18,16 +18,15 @@ def _least(edges: DataFrame, least) -> DataFrame:
     return stored(edges.groupBy("u").agg(least.alias("least")).withColumnRenamed("u", "of"), "least")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Every node's larger neighbours are tied to its smallest one."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    tied = both.join(_least(both, F.least(F.min("v"), F.first("u"))), F.col("u") == F.col("of"))
+    tied = both.join(least, F.col("u") == F.col("of"))
     return tied.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of them."""
-    least = _least(edges, F.min("v"))
     tied = edges.join(least, F.col("u") == F.col("of")).filter(F.col("v") != F.col("least"))
     return tied.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(
         least.select(F.col("of").alias("u"), F.col("least").alias("v"))
@@ -45,6 +44,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(edges, "links")
     before, now = None, _marks(edges)
     while before != now:
-        edges = stored(_small_star(stored(_large_star(edges), "large")), "small")
+        least = _least(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), F.least(F.min("v"), F.first("u")))
+        large = stored(_large_star(edges, least), "large", [edges, least])
+        least = _least(large, F.min("v"))
+        edges = stored(_small_star(large, least), "small", [large, least])
         before, now = now, _marks(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.tables import stored
+from refinery.llm.tables import stored, whole_row
 
 # Words, weights by place of the source, and how often a document may be taken at most.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -145,11 +145,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
     taken = mixed(docs, weights, most).filter("taken > 0").select(
         F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.expr("taken div size").alias("_copies")
     ).distinct()
-    sized = docs.withColumn("_words", words_in(F.col("text")))
-    same = (
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))
-    )
-    repeated = sized.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
-    return repeated.select(*docs.columns)
+    doc, source = F.col("doc_id").cast("bigint"), F.col("source").cast("string")
+    sized = docs.select(whole_row(docs).alias("row"), doc.alias("doc"), source.alias("of"), words_in(F.col("text")).alias("words"))
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & F.col("of").eqNullSafe(F.col("_source")) & (F.col("words") == F.col("_size"))
+    repeated = sized.join(taken, same).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    return repeated.select("row.*")

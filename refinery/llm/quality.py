@@ -12,7 +12,7 @@ are whole numbers (steps of 1 / ``STEPS``) and sums of them are exact, so reruns
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.tables import stored
+from refinery.llm.tables import key_of, stored, whole_row
 from refinery.llm.words import Words, in_parts
 
 # The base rule and the characters it counts.
@@ -86,20 +86,21 @@ def _statistics(texts: list[str | None]) -> np.ndarray:
     return np.concatenate(rows) if rows else np.zeros((0, len(_COUNTS)), np.int64)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``lang``, ``source`` and the counts of each text; a NULL text has no words and no lines."""
+def statistics(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``lang``, ``source``, the whole numbers ``also`` and the counts of each text; a NULL text has no words and no lines."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             counts = _statistics(batch.column("text").to_pylist())
-            columns = [batch.column(name) for name in ("doc_id", "lang", "source")]
+            columns = [batch.column(name) for name in ("doc_id", "lang", "source", *also)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, *(pa.array(np.ascontiguousarray(counts[:, i])) for i in range(len(_COUNTS)))],
-                names=["doc_id", "lang", "source", *_COUNTS],
+                names=["doc_id", "lang", "source", *also, *_COUNTS],
             )
 
-    schema = "doc_id bigint, lang string, source string, " + ", ".join(f"{name} bigint" for name in _COUNTS)
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("lang").cast("string"), F.col("source").cast("string"), "text").mapInArrow(batches, schema)
+    schema = "doc_id bigint, lang string, source string, " + ", ".join(f"{name} bigint" for name in [*also, *_COUNTS])
+    named = docs.select(F.col("doc_id").cast("bigint"), F.col("lang").cast("string"), F.col("source").cast("string"), *also, "text")
+    return named.mapInArrow(batches, schema)
 
 
 def base_failed() -> Column:
@@ -226,13 +227,13 @@ def _concentrate(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     return stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """The counts of each row of ``docs`` (``doc_id``, ``text``, ``lang``, ``source``), ``base_failed`` and ``kept``.
 
-    NULL languages and sources are groups of their own. Rows the base rule fails are never kept and take no part in
+    ``also`` names columns of whole numbers that come along. NULL languages and sources are groups of their own. Rows the base rule fails are never kept and take no part in
     the estimates. Other columns are ignored, repeated rows judged alike, and an empty table gives an empty result.
     """
-    counts = statistics(docs).withColumn("base_failed", base_failed())
+    counts = statistics(docs, also).withColumn("base_failed", base_failed())
     rows = stored(counts.select("*", *vector()), "statistics")
     sound = rows.filter(~F.col("base_failed"))
     parameters = stored(_start(sound), "parameters")
@@ -241,18 +242,19 @@ def judged(docs: DataFrame) -> DataFrame:
     limit = round(math.log1p(CUTOFF) * 100)
     fits = F.coalesce(_distance() <= limit, F.lit(False))
     return _with(rows, parameters).select(
-        "doc_id", *_COUNTS, "base_failed", (~F.col("base_failed") & fits).alias("kept"), _distance().alias("distance")
+        "doc_id", *also, *_COUNTS, "base_failed", (~F.col("base_failed") & fits).alias("kept"), _distance().alias("distance")
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is kept, all columns; the verdict depends on text, language and source alone.
 
-    Rows are told apart by ``doc_id``, ``lang``, ``source`` and a hash of the text; a NULL in any of them equals another.
+    Whatever other columns are called, they come back as they were; repeated rows are judged alike.
     """
-    # The verdict goes back to the rows by a hash of what it was made from, not by an id that rows may share.
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), "lang", "source")
-    keyed = docs.withColumn("_key", key)
-    verdicts = judged(docs.select(key.alias("doc_id"), "text", "lang", "source")).groupBy("doc_id").agg(F.first("kept").alias("_kept"))
-    good = verdicts.filter("_kept").select(F.col("doc_id").alias("_good"))
-    return keyed.join(good, F.col("_key") == F.col("_good"), "left_semi").select(*docs.columns)
+    # The verdict goes back to the rows by a key of what it was made from, not by an id that rows may share.
+    key = key_of(F.coalesce(F.col("text"), F.lit("")), F.col("lang").cast("string"), F.col("source").cast("string"))
+    keyed = docs.select(whole_row(docs).alias("row"), key.alias("key"))
+    asked = docs.select(key["k1"].alias("doc_id"), key["k2"].alias("second"), "text", "lang", "source")
+    good = judged(asked, ["second"]).filter("kept").select("doc_id", "second").distinct()
+    same = (F.col("key")["k1"] == F.col("doc_id")) & (F.col("key")["k2"] == F.col("second"))
+    return keyed.join(good, same, "left_semi").select("row.*")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.components import components
-from refinery.llm.tables import stored
+from refinery.llm.tables import stored, whole_row
 from refinery.llm.words import Words, in_parts, mix
 
 PERCENT = 80
@@ -409,10 +409,10 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """One row of each component of ``docs``, all columns: one with the smallest ``doc_id``. Rows without words all stay."""
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
+    keyed = docs.select(whole_row(docs).alias("row"), F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("_row"))
     found = stored(classified(docs, percent, size), "classified")
     alone = found.filter("n_shingles = 0").select(F.col("row_key").alias("_kept")).distinct()
     kept = found.filter("n_shingles > 0 AND row_key = component_key").select(F.col("row_key").alias("_kept")).distinct()
     rows = keyed.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"])
     empty = keyed.join(alone, F.col("_row") == F.col("_kept"), "left_semi")
-    return rows.unionByName(empty).select(*docs.columns)
+    return rows.unionByName(empty).select("row.*")

@@ -1,12 +1,39 @@
 """Steps written down in the folder that the cluster shares, so that a lost executor costs a step and not the job."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from refinery.operators.storage import new_folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a written table: worked out once, read again by every later step."""
-    path = new_folder(df.sparkSession, name)
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def stored(df: DataFrame, name: str, instead_of: Iterable[DataFrame] = ()) -> DataFrame:
+    """The rows as a written table: worked out once, read again by every later step.
+
+    ``instead_of`` are stored tables that nothing reads any more once this one is there; they are removed.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for old in instead_of:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(old))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row in one, out of the way of the names that an operator uses itself."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+
+
+def key_of(*columns: Column) -> Column:
+    """128 bits that stand for some values; a missing value is different from any other, in whichever place."""
+    told = [part for column in columns for part in (column.isNull(), column)]
+    return F.struct(F.xxhash64(*told).alias("k1"), F.xxhash64(F.lit(1), *told).alias("k2"))

@@ -12,7 +12,8 @@ DOCUMENTS = StructType([
     StructField("source", StringType()), StructField("n_chars", LongType()),
 ])
 # Names that an operator may use itself.
-CLASHES = ["ids", "block", "key", "w", "f", "rank", "host", "n_words", "kept", "level", "component_id", "size", "token", "n"]
+CLASHES = ["ids", "block", "key", "w", "f", "rank", "host", "n_words", "kept", "level", "component_id", "size", "token", "n",
+           "_key", "_row", "_cut", "_words", "_of", "_copy", "row", "cut", "of", "second", "_doc", "_source", "_kept", "words", "doc"]
 
 
 def documents(spark, rows):

@@ -44,6 +44,17 @@ def test_kept_rows_come_back_whole(spark):
     assert sorted(row.doc_id for row in kept.collect()) == [50, *range(50, 90)]
 
 
+def test_missing_values_in_different_columns_are_told_apart(spark):
+    """One text, rejected in a group of clean texts and kept in a group of texts like it."""
+    odd = " ".join(f"{word}&&&" for word in prose(7, 60).split())
+    clean = [(i, prose(i, 30 + i % 300) + ".", "x", None) for i in range(300)]
+    alike = [(1000 + i, " ".join(f"{word}&&&" for word in prose(i, 50 + i % 30).split()), None, "x") for i in range(300)]
+    docs = documents(spark, [*clean, *alike, (5000, odd, "x", None), (5001, odd, None, "x")])
+    verdicts = {row.doc_id: row.kept for row in quality.judged(docs).collect()}
+    assert verdicts[5000] != verdicts[5001]
+    assert {row.doc_id for row in quality.keep_good(docs).collect()} == {doc_id for doc_id, kept in verdicts.items() if kept}
+
+
 def test_no_documents(spark):
     assert quality.judged(documents(spark, [])).collect() == [] == quality.keep_good(documents(spark, [])).collect()
 
