@@ -10,7 +10,7 @@ expression: nothing is joined or moved, so no frequent line gathers in a task.
 ``scanned`` takes every run of two or more words of a text as a passage as well, over line ends, and meets headers, full
 texts and tags (``licence_forms``) too. A run that reaches ``percent`` holds at least m * percent / (200 - percent) of a
 template's m bigrams. So texts are read no further that lack all words of a set whose bigrams are too many to miss
-(``_hints``), nor where too few bigrams lie close enough together. Best runs begin and end with a bigram of the template,
+(``_hinted``), nor where too few bigrams lie close enough together. Best runs begin and end with a bigram of the template,
 so one pass over those from each possible start measures all that matter.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.licence_forms import FORMS, TAGS
+from refinery.llm.tables import stored
 
 PERCENT = 80
 WHOLE = -1  # the line number of a whole text
@@ -89,29 +90,38 @@ def _sets(bigrams: list[str], percent: int, liked: Counter) -> list[list[str]]:
     return sets
 
 
-def _hints(templates: Sequence[tuple[list[str], int]]) -> Column:
-    """False for texts without a word that a match of any of the templates (bigrams and percent) has."""
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that is worked out once per row: Spark would put it into every expression that names it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _hinted(docs: DataFrame, templates: Sequence[tuple[list[str], int]]) -> DataFrame:
+    """``doc_id`` and ``text`` of the rows of ``docs`` that have the words without which none of the templates (bigrams, percent) matches."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").filter("text IS NOT NULL")
     liked = Counter(word for bigrams, _ in templates for word in {word for bigram in bigrams for word in bigram.split()})
-    any_of, all_of = [], []
+    any_of, all_of = set(), []
     for bigrams, percent in templates:
         if _least_common(len(bigrams), percent) < 1:
-            return F.lit(True)
+            return texts
         sets = _sets(bigrams, percent, liked)
         if len(sets[0]) > 3:
-            any_of += sets[0]
+            any_of |= set(sets[0])
         else:
             all_of.append(tuple(tuple(one) for one in sets if len(one) <= 3))
+    known = sorted(any_of.union(*[word for sets in all_of for word in sets]))
+    rows = _once(texts, "hints", F.array_intersect(_words(F.col("text")), _list(known))).filter("size(hints) > 0")
 
-    def one_of(text: Column, words: Sequence[str]) -> Column:
-        return reduce(Column.__or__, [text.contains(word) for word in words])
+    def one_of(words: Sequence[str]) -> Column:
+        return reduce(Column.__or__, [F.array_contains("hints", word) for word in words])
 
-    def conditions(text: Column) -> Column:
-        some = [one_of(text, sorted(set(any_of)))] if any_of else []
-        some += [reduce(Column.__and__, [one_of(text, words) for words in sets]) for sets in dict.fromkeys(all_of)]
-        return reduce(Column.__or__, some)
+    some = [F.arrays_overlap("hints", _list(sorted(any_of)))] if any_of else []
+    some += [reduce(Column.__and__, [one_of(words) for words in sets]) for sets in dict.fromkeys(all_of)]
+    return rows.filter(reduce(Column.__or__, some)).select("doc_id", "text")
 
-    # Inside a function of an array the lower-case text is worked out once, not for each word.
-    return F.exists(F.array(F.lower("text")), conditions)
+
+def _list(words: Sequence[str]) -> Column:
+    """A list of words or bigrams as one text, so that the plan has few literals."""
+    return F.split(F.lit(",".join(words)), ",") if words else F.expr("cast(array() AS array<string>)")
 
 
 def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -124,12 +134,12 @@ def found(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: in
     if not known:
         return docs.select("doc_id", F.lit(0).alias("line_no"), F.lit("").alias("licence"), F.lit(0).alias("common"), F.lit(0).alias("bigrams")).limit(0)
     sizes = [len(bigrams) for bigrams in known.values()]
-    docs = docs.filter(_hints([(bigrams, percent) for bigrams in known.values()]))
+    docs = _hinted(docs, [(bigrams, percent) for bigrams in known.values()])
     lines = F.split("text", "\n")
     several = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(WHOLE).alias("at"), F.col("text").alias("passage"))))
     each = F.transform(lines, lambda line, at: F.struct(at.alias("at"), line.alias("passage")))
     none = F.expr("cast(array() AS array<struct<at: int, passage: string>>)")
-    passages = docs.select(F.col("doc_id").cast("bigint"), F.explode(F.concat(F.coalesce(each, none), F.coalesce(several, none))).alias("one"))
+    passages = docs.select("doc_id", F.explode(F.concat(F.coalesce(each, none), F.coalesce(several, none))).alias("one"))
     words = passages.select("doc_id", F.col("one.at").alias("line_no"), _words(F.col("one.passage")).alias("words")).filter("size(words) > 0")
     n = words.withColumn("n", F.expr(_size("words")))
     # Whole numbers: min * (200 - percent) >= max * percent.
@@ -152,8 +162,11 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def _runs() -> str:
-    """Of the text's ``bigrams`` and ``t``, a template, the best runs that do not overlap: first and last bigram and common ones."""
-    hits = "filter(sequence(0, size(bigrams) - 1), i -> array_contains(shared, bigrams[i]))"
+    """Of the text's ``bigrams`` and ``t``, a template, the best runs that do not overlap: first and last bigram and common ones.
+
+    ``small`` are the bigrams that any template has, ``spots`` their places.
+    """
+    hits = "filter(spots, i -> array_contains(shared, bigrams[i]))"
     starts = "if(size(hits) < t.need, cast(array() AS array<int>), filter(sequence(0, size(hits) - t.need), j -> hits[j + t.need - 1] - hits[j] < t.most))"
     # A bigram that is in a run more often than in the template counts so often only: not where the one that many before it is in the run.
     ranked = "array_sort(transform(hits, i -> struct(bigrams[i] AS b, i AS i)))"
@@ -174,7 +187,7 @@ def _runs() -> str:
         if(exists(kept, k -> w.first <= k.last + 1 AND k.first <= w.last + 1), kept, concat(kept, array(w))))"""
     some = _let("ranked", ranked, _let("counted", counted, _let("places", places, apart)))
     none = "cast(array() AS array<struct<first: int, last: int, common: int>>)"
-    return _let("shared", "array_intersect(different, t.bigrams)", _let("hits", hits, _let("starts", starts, f"if(size(starts) = 0, {none}, {some})")))
+    return _let("shared", "array_intersect(small, t.bigrams)", _let("hits", hits, _let("starts", starts, f"if(size(starts) = 0, {none}, {some})")))
 
 
 def _template(licence: str, text: str, percent: int, notice: str) -> Column:
@@ -184,13 +197,10 @@ def _template(licence: str, text: str, percent: int, notice: str) -> Column:
     while sum(rest[len(rest) - least:]) < need:
         least += 1
     values = {"m": m, "percent": percent, "need": need, "fewest": least, "most": m * (200 - percent) // percent}
-    # As one text each, so that the plan has few literals.
     counts = F.split(F.lit(",".join(map(str, bag.values()))), ",").cast("array<int>")
-    of_notice = template_bigrams(notice)
-    known = F.split(F.lit(",".join(of_notice)), ",") if of_notice else F.expr("cast(array() AS array<string>)")
     return F.struct(
-        F.lit(licence).alias("licence"), F.split(F.lit(",".join(bag)), ",").alias("bigrams"), counts.alias("counts"),
-        known.alias("notice"), *[F.lit(value).alias(name) for name, value in values.items()],
+        F.lit(licence).alias("licence"), _list(list(bag)).alias("bigrams"), counts.alias("counts"),
+        _list(template_bigrams(notice) if notice else []).alias("notice"), *[F.lit(value).alias(name) for name, value in values.items()],
     )
 
 
@@ -205,32 +215,36 @@ def embedded(
     """
     if not forms:
         return found(docs, {})
-    hints = _hints([(template_bigrams(text), least) for _, text, least in forms])
-    lines = F.transform(F.split("text", "\n"), _words)
-    words = docs.filter(hints).select(F.col("doc_id").cast("bigint"), lines.alias("lines")).withColumn("words", F.flatten("lines")).filter("size(words) > 1")
-    bigrams = words.select("doc_id", "lines", F.expr(_BIGRAMS).alias("bigrams")).withColumn("different", F.array_distinct("bigrams"))
+    known = [(template_bigrams(text), least) for _, text, least in forms]
     table = F.array(*[_template(licence, text, least, notices.get(licence, "")) for licence, text, least in forms])
-    each = bigrams.select("doc_id", "lines", "bigrams", "different", F.explode(table).alias("t")).filter("size(different) >= t.fewest")
-    # Spark would put columns into the functions that name them, to be worked out for each element: hence _let in _runs.
-    each = each.filter("size(array_intersect(different, t.bigrams)) >= t.fewest")
-    # First word, number of words and bigrams of every line, and of the whole text.
-    begins = """aggregate(lines, cast(array(0) AS array<int>), (sums, line) -> concat(sums, array(element_at(sums, -1) + size(line))))"""
-    passages = "concat(transform(lines, (line, at) -> struct(begins[at] AS begin, line AS words)), array(struct(0 AS begin, flatten(lines) AS words)))"
-    likely = f"""filter({passages}, p -> size(t.notice) > 0 AND size(p.words) > 0
-        AND least({_size("p.words")}, size(t.notice)) * (200 - {percent}) >= greatest({_size("p.words")}, size(t.notice)) * {percent})"""
-    of = _BIGRAMS.replace("words", "p.words")
+    rows = _once(_hinted(docs, known), "lines", F.transform(F.split("text", "\n"), _words)).select("doc_id", "lines")
+    rows = _once(rows, "words", F.flatten("lines")).filter("size(words) > 1")
+    rows = _once(rows, "bigrams", F.expr(_BIGRAMS)).select("doc_id", "lines", "bigrams")
+    # Once per text: its bigrams that any form has at all; everything after works on these few and their places.
+    every = sorted(set().union(*[bigrams for bigrams, _ in known]))
+    rows = _once(rows, "small", F.array_intersect("bigrams", _list(every)))
+    likely = F.filter(table, lambda t: (F.size("small") >= t["fewest"]) & (F.size(F.array_intersect("small", t["bigrams"])) >= t["fewest"]))
+    rows = _once(rows.filter("size(small) > 0"), "likely", likely).filter("size(likely) > 0")
+    rows = _once(rows, "spots", F.expr("filter(sequence(0, size(bigrams) - 1), i -> array_contains(small, bigrams[i]))"))
+    each = rows.select("doc_id", "lines", "bigrams", "small", "spots", F.explode("likely").alias("t"))
+    each = _once(each, "runs", F.expr(_runs())).filter("size(runs) > 0").select("doc_id", "lines", "t", "runs")
+    # The line of every word; of a run, the first and the last line.
+    each = _once(each, "at", F.expr("flatten(transform(lines, (line, l) -> transform(line, word -> l)))"))
+    of = _BIGRAMS.replace("words", "p")
     common = """aggregate(array_distinct(t.notice), 0, (sum, one) -> sum + least(
         size(filter(t.notice, x -> x = one)), size(filter(having, x -> x = one))))"""
-    alike = f"filter({likely}, p -> {_let('having', of, f'200 * {common} >= {percent} * (size(having) + size(t.notice))')})"
-    rest = f"filter(runs, r -> NOT exists(taken, p -> r.first < p.begin + size(p.words) AND p.begin <= r.last + 1))"
-    placed = f"transform({rest}, r -> struct(size(filter(begins, b -> b <= r.first)) - 1 AS line_no, r AS r))"
-    none = "cast(array() AS array<struct<line_no: int, r: struct<first: int, last: int, common: int>>>)"
-    placed = _let("runs", _runs(), f"if(size(runs) = 0, {none}, {_let('begins', begins, _let('taken', alike, placed))})")
-    rows = each.select("doc_id", F.expr(placed).alias("rest"), F.col("t.licence").alias("licence"), F.col("t.m").alias("m"))
-    return rows.select("doc_id", F.explode("rest").alias("one"), "licence", "m").select(
-        "doc_id", F.col("one.line_no").alias("line_no"), "licence", F.col("one.r.common").alias("common"),
-        F.expr("one.r.last - one.r.first + 1 + m").alias("bigrams"),
-    )
+
+    def is_notice(words: str) -> str:
+        """Whether a line's or the text's words match the notice of the template's licence; the size is looked at first."""
+        alike = _let("having", of, f"200 * {common} >= {percent} * (size(having) + size(t.notice))")
+        fits = f"""least({_size("p")}, size(t.notice)) * (200 - {percent}) >= greatest({_size("p")}, size(t.notice)) * {percent}"""
+        return _let("p", words, f"size(t.notice) > 0 AND size(p) > 0 AND if({fits}, {alike}, false)")
+
+    each = _once(each, "whole", F.expr(is_notice("flatten(lines)"))).filter("NOT whole")
+    rest = f"filter(runs, r -> NOT exists(sequence(at[r.first], at[r.last + 1]), l -> {is_notice('lines[l]')}))"
+    placed = F.expr(f"""transform({rest}, r -> struct(
+        at[r.first] AS line_no, t.licence AS licence, r.common AS common, r.last - r.first + 1 + t.m AS bigrams))""")
+    return each.select("doc_id", F.explode(placed).alias("one")).select("doc_id", "one.*")
 
 
 def all_forms(percent: int = PERCENT) -> list[tuple[str, str, int]]:
@@ -238,5 +252,7 @@ def all_forms(percent: int = PERCENT) -> list[tuple[str, str, int]]:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """``found``, and ``embedded`` of all notices, headers, full texts and tags."""
-    return found(docs).unionByName(embedded(docs, all_forms()))
+    """``found``, and ``embedded`` of all notices, headers, full texts and tags. The texts worth a look are stored, so ``docs`` is read once."""
+    forms = all_forms()
+    likely = stored(_hinted(docs, [(template_bigrams(text), least) for _, text, least in forms]), "likely")
+    return found(likely).unionByName(embedded(likely, forms))
