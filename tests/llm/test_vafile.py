@@ -82,7 +82,7 @@ def test_bounds_hold_every_score():
         width = max(1.0, math.ceil((most - least + 1) / vafile.CELLS))
         cells = np.clip((rows - least) // width, 0, vafile.CELLS - 1) - 128
         low, high = vafile.bounds(rows[:20], cells.astype(np.int8), least, most, width)
-        exact = np.array([[min(sum(int(x) * int(y) for x, y in zip(a, b, strict=True)), 1 << 63) for b in rows] for a in rows[:20]], dtype=object)
+        exact = np.array([[max(-1 << 63, min(1 << 63, sum(int(x) * int(y) for x, y in zip(a, b, strict=True)))) for b in rows] for a in rows[:20]], dtype=object)
         assert (low <= exact).all() and (exact <= high).all()
 
 
