@@ -4,9 +4,12 @@ Each text becomes a vector of transformed statistics. For every language and sou
 vectors that lies closest together gives a mean and a covariance that the odd rest can't pull away; a text is
 rejected if its Mahalanobis distance from there is beyond any that a clean text plausibly has.
 
-The estimates come from concentration steps: from medians as a start, measure all distances, keep the closest
-``SUPPORT`` of each group, estimate anew. A step is one aggregation, so a group may hold any share of the rows. Vectors
-are whole numbers (steps of 1 / ``STEPS``) and sums of them are exact, so reruns agree.
+The estimates come from concentration steps: from a start, measure all distances, keep the closest ``SUPPORT`` of each
+group, estimate anew. There are three fixed starts: medians with median deviations; the covariance of directions seen
+from the medians; mean and covariance of all rows. After ``FIRST_STEPS`` steps from each, a group goes on from the one
+whose covariance has the least determinant, until no group's closest rows change any more (``MOST_STEPS`` at most). A step
+is one aggregation, so a group may hold any share of the rows. Vectors are whole numbers (steps of 1 / ``STEPS``) and
+sums of them are exact, so reruns agree.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
 STEPS = 256
 SUPPORT = 0.5
-CONCENTRATION_STEPS = 3
+FIRST_STEPS, MOST_STEPS = 2, 12
 PRIOR_ROWS = 200  # weight of the language's estimate in that of each of its sources
 LEAST_DEVIATION = 0.1  # of a statistic; most clean texts have no symbol at all, which must not make one symbol odd
 FALSE_REJECTS = 1e-7  # share of normally distributed vectors beyond the cutoff
@@ -143,17 +146,17 @@ CUTOFF = _chi2_quantile(FALSE_REJECTS, len(FEATURES))
 CONSISTENCY = SUPPORT / _chi2_below(_chi2_quantile(1 - SUPPORT, len(FEATURES)), len(FEATURES) + 2)
 
 _GROUP = ["lang", "source"]
+_DIRECTIONS = 1024  # steps in which directions are whole numbers
 _PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
-_PARAMETERS = "lang string, source string, " + ", ".join(
-    [f"m{i} double" for i in range(len(FEATURES))] + [f"w{i}_{j} double" for i, j in _PAIRS]
-)
+_NUMBERS = [f"m{i}" for i in range(len(FEATURES))] + [f"w{i}_{j}" for i, j in _PAIRS]
+_PARAMETERS = "lang string, source string, start int, determinant double, " + ", ".join(f"{name} double" for name in _NUMBERS)
 
 
-def _with(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+def _with(rows: DataFrame, per_group: DataFrame, group: Sequence[str] = _GROUP) -> DataFrame:
     """Rows beside what is known of their group, of which there may be no language or source."""
-    other = per_group.withColumnsRenamed({name: f"of_{name}" for name in _GROUP})
-    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in _GROUP])
-    return rows.join(other, same, "left").drop(*(f"of_{name}" for name in _GROUP))
+    other = per_group.withColumnsRenamed({name: f"of_{name}" for name in group})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in group])
+    return rows.join(other, same, "left").drop(*(f"of_{name}" for name in group))
 
 
 def _distance() -> Column:
@@ -163,8 +166,8 @@ def _distance() -> Column:
     return F.round(F.log1p(F.greatest(reduce(Column.__add__, terms), F.lit(0.0))) * 100).cast("bigint")
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and spreads of the statistics one by one. A group's values are few whole numbers, so exact medians stay small."""
+def _medians(rows: DataFrame) -> DataFrame:
+    """Medians ``m`` and deviations ``s`` of the statistics one by one. A group's values are few whole numbers, so exact medians stay small."""
     medians = rows.groupBy(*_GROUP).agg(*[F.percentile(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)])
     apart = _with(rows, stored(medians, "medians"))
     spreads = apart.groupBy(*_GROUP).agg(
@@ -172,33 +175,52 @@ def _start(rows: DataFrame) -> DataFrame:
         *[F.percentile(F.abs(F.col(name) - F.col(f"m{i}")).cast("bigint"), 0.5).alias(f"s{i}") for i, name in enumerate(FEATURES)],
     )
     # 1.4826 makes a median deviation comparable with a standard deviation.
-    deviation = [F.greatest(F.col(f"s{i}") * 1.4826 / STEPS, F.lit(LEAST_DEVIATION)) for i in range(len(FEATURES))]
-    return spreads.select(
-        *_GROUP,
-        *[(F.col(f"m{i}") / STEPS).alias(f"m{i}") for i in range(len(FEATURES))],
-        *[(1 / (deviation[i] * deviation[i]) if i == j else F.lit(0.0)).alias(f"w{i}_{j}") for i, j in _PAIRS],
-    )
+    deviation = [F.greatest(F.col(f"s{i}") * 1.4826 / STEPS, F.lit(LEAST_DEVIATION)).alias(f"s{i}") for i in range(len(FEATURES))]
+    return stored(spreads.select(*_GROUP, *[(F.col(f"m{i}") / STEPS).alias(f"m{i}") for i in range(len(FEATURES))], *deviation), "spreads")
 
 
-def _sums() -> list[Column]:
+def _sums(values: Sequence[Column]) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(name).alias(f"t{i}") for i, name in enumerate(FEATURES)],
-        *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"t{i}_{j}") for i, j in _PAIRS],
+        *[F.sum(value).alias(f"t{i}") for i, value in enumerate(values)],
+        *[F.sum(values[i] * values[j]).alias(f"t{i}_{j}") for i, j in _PAIRS],
     ]
 
 
+def _symmetric(row: pd.Series, prefix: str) -> np.ndarray:
+    size = len(FEATURES)
+    second = np.zeros((size, size))
+    for i, j in _PAIRS:
+        second[i, j] = second[j, i] = float(row[f"{prefix}t{i}_{j}"])
+    return second
+
+
+def _weights(covariance: np.ndarray) -> list[float]:
+    """What products of two deviations count for in a distance."""
+    inverse = np.linalg.inv(covariance)
+    return [inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS]
+
+
+def _of_directions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Medians, and the covariance of the directions in which the rows lie from there."""
+    size = len(FEATURES)
+    for batch in batches:
+        found = []
+        for _, row in batch.iterrows():
+            deviation = np.array([float(row[f"s{i}"]) for i in range(size)])
+            signs = _symmetric(row, "") / max(1.0, float(row["n"])) / _DIRECTIONS**2 + np.eye(size) * LEAST_DEVIATION**2
+            found.append([row["lang"], row["source"], 1, 0.0, *(float(row[f"m{i}"]) for i in range(size)), *_weights(signs * np.outer(deviation, deviation))])
+        yield pd.DataFrame(found, columns=["lang", "source", "start", "determinant", *_NUMBERS])
+
+
 def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Mean and inverse covariance of each group, drawn to those of its language by ``PRIOR_ROWS`` rows."""
+    """Mean and inverse covariance of each group and start, drawn to those of its language by ``PRIOR_ROWS`` rows."""
     size = len(FEATURES)
 
     def moments(row: pd.Series, prefix: str) -> tuple[float, np.ndarray, np.ndarray]:
         n = max(1.0, float(row[f"{prefix}n"]))
         mean = np.array([float(row[f"{prefix}t{i}"]) for i in range(size)]) / n / STEPS
-        second = np.zeros((size, size))
-        for i, j in _PAIRS:
-            second[i, j] = second[j, i] = float(row[f"{prefix}t{i}_{j}"]) / n / STEPS / STEPS
-        return n, mean, second - np.outer(mean, mean)
+        return n, mean, _symmetric(row, prefix) / n / STEPS / STEPS - np.outer(mean, mean)
 
     for batch in batches:
         found = []
@@ -207,24 +229,63 @@ def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             _, of_lang, covariance_of_lang = moments(row, "l_")
             share = n / (n + PRIOR_ROWS)
             centre = share * mean + (1 - share) * of_lang
-            pooled = (share * covariance + (1 - share) * covariance_of_lang) * CONSISTENCY
-            inverse = np.linalg.inv(pooled + np.eye(size) * LEAST_DEVIATION**2)
-            values = [inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS]
-            found.append([row["lang"], row["source"], *centre, *values])
-        names = [field.split()[0] for field in _PARAMETERS.split(", ")]
-        yield pd.DataFrame(found, columns=names)
+            pooled = (share * covariance + (1 - share) * covariance_of_lang) * CONSISTENCY + np.eye(size) * LEAST_DEVIATION**2
+            found.append([row["lang"], row["source"], row["start"], round(np.linalg.slogdet(pooled)[1], 9), *centre, *_weights(pooled)])
+        yield pd.DataFrame(found, columns=["lang", "source", "start", "determinant", *_NUMBERS])
+
+
+def _estimated(rows: DataFrame) -> DataFrame:
+    """Parameters per group and start of all of the rows, with the logarithm of the covariance's determinant."""
+    sums = stored(rows.groupBy(*_GROUP, "start").agg(*_sums([F.col(name) for name in FEATURES])), "sums")
+    numbers = [name for name in sums.columns if name not in (*_GROUP, "start")]
+    by = ["lang", "of_start"]
+    by_lang = sums.withColumnRenamed("start", "of_start").groupBy(*by).agg(*[F.sum(name).alias(f"l_{name}") for name in numbers])
+    same = F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("start") == F.col("of_start"))
+    both = sums.join(by_lang.withColumnRenamed("lang", "l_lang"), same).drop("l_lang", "of_start")
+    return stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Parameters of each group from which the steps begin, one row for each of the starts."""
+    medians = _medians(rows)
+    none = F.lit(0.0)
+    by_medians = medians.select(
+        *_GROUP, F.lit(0).alias("start"), none.alias("determinant"), *[f"m{i}" for i in range(len(FEATURES))],
+        *[(1 / (F.col(f"s{i}") * F.col(f"s{i}")) if i == j else none).alias(f"w{i}_{j}") for i, j in _PAIRS],
+    )
+    apart = [(F.col(name) / STEPS - F.col(f"m{i}")) / F.col(f"s{i}") for i, name in enumerate(FEATURES)]
+    seen = _with(rows, medians).select(*_GROUP, *[value.alias(f"z{i}") for i, value in enumerate(apart)])
+    length = F.sqrt(reduce(Column.__add__, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(FEATURES))]))
+    direction = [F.when(length > 0, F.round(F.col(f"z{i}") / length * _DIRECTIONS)).otherwise(none).cast("bigint") for i in range(len(FEATURES))]
+    whole = seen.select(*_GROUP, *[value.alias(f"u{i}") for i, value in enumerate(direction)])
+    sums = whole.groupBy(*_GROUP).agg(*_sums([F.col(f"u{i}") for i in range(len(FEATURES))]))
+    by_directions = _with(medians, sums).mapInPandas(_of_directions, _PARAMETERS)
+    by_all = _estimated(rows.withColumn("start", F.lit(2)))
+    return stored(by_medians.unionByName(by_directions).unionByName(by_all), "starts")
 
 
 def _concentrate(rows: DataFrame, parameters: DataFrame) -> DataFrame:
-    """One step: the closest ``SUPPORT`` of each group under the parameters gives new ones."""
-    measured = _with(rows, parameters).select(*_GROUP, *FEATURES, _distance().alias("distance"))
-    borders = measured.groupBy(*_GROUP).agg(F.percentile("distance", SUPPORT).alias("border"))
-    closest = _with(measured, stored(borders, "borders")).filter(F.col("distance") <= F.col("border"))
-    sums = stored(closest.groupBy(*_GROUP).agg(*_sums()), "sums")
-    numbers = [name for name in sums.columns if name not in _GROUP]
-    by_lang = sums.groupBy(F.col("lang").alias("l_lang")).agg(*[F.sum(name).alias(f"l_{name}") for name in numbers])
-    both = sums.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).drop("l_lang")
-    return stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
+    """One step: the closest ``SUPPORT`` of each group under the parameters of its starts gives new ones."""
+    measured = _with(rows, parameters).select(*_GROUP, "start", *FEATURES, _distance().alias("distance"))
+    borders = measured.groupBy(*_GROUP, "start").agg(F.percentile("distance", SUPPORT).alias("border"))
+    closest = _with(measured, stored(borders, "borders"), [*_GROUP, "start"]).filter(F.col("distance") <= F.col("border"))
+    return _estimated(closest)
+
+
+def estimated(rows: DataFrame) -> DataFrame:
+    """Parameters of each group of ``rows`` (``lang``, ``source`` and the vectors): one row, of its best start."""
+    parameters = _starts(rows)
+    for _ in range(FIRST_STEPS):
+        parameters = _concentrate(rows, parameters)
+    order = F.struct("determinant", "start")
+    parameters = stored(parameters.groupBy(*_GROUP).agg(*[F.min_by(name, order).alias(name) for name in ("start", "determinant", *_NUMBERS)]), "best")
+    # From here on a language is that of its sources' best, whichever start these came from.
+    parameters = parameters.withColumn("start", F.lit(0))
+    for _ in range(MOST_STEPS - FIRST_STEPS):
+        before, parameters = parameters, _concentrate(rows, parameters)
+        if parameters.subtract(before).isEmpty():
+            break
+    return parameters
 
 
 def judged(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
@@ -236,9 +297,7 @@ def judged(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     counts = statistics(docs, also).withColumn("base_failed", base_failed())
     rows = stored(counts.select("*", *vector()), "statistics")
     sound = rows.filter(~F.col("base_failed"))
-    parameters = stored(_start(sound), "parameters")
-    for _ in range(CONCENTRATION_STEPS):
-        parameters = _concentrate(sound, parameters)
+    parameters = estimated(sound.select(*_GROUP, *FEATURES))
     limit = round(math.log1p(CUTOFF) * 100)
     fits = F.coalesce(_distance() <= limit, F.lit(False))
     return _with(rows, parameters).select(
