@@ -1,7 +1,9 @@
 """Text statistics against plain Python, and what the robust distances keep."""
 
+import math
 import re
 
+import numpy as np
 import pytest
 from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 
@@ -82,3 +84,80 @@ def test_much_junk_in_one_source(spark, percent):
     rows = [(i, text, "en", "hot") for i, text in texts.items()] + [(n + i, prose(i, 30 + i % 200) + ".", "en", f"s{i % 2}") for i in range(100)]
     kept = {row.doc_id for row in quality.judged(documents(spark, rows)).filter("kept").collect()}
     assert kept == {row[0] for row in rows} - junk
+
+
+def plain_vector(text):
+    n_words, word_chars, n_symbols, n_dup_lines, repeated, _ = plain(text)
+    n_lines = sum(1 for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line))
+    upper, marks = len(re.findall("[A-Z]", text)), len(re.findall(r"[!\"'()+,\-./:;=?@\[\\\]^_`{}~]", text))
+    n, chars = n_words + 30, word_chars + 150
+    values = [np.log(chars / n) * 4, np.arcsinh(n_symbols / chars * 100), np.arcsinh(repeated / n * 2),
+              np.arcsinh(n_dup_lines / (n_lines + 5) * 2), np.arcsinh(upper / chars * 10), np.arcsinh(marks / chars * 10)]
+    return np.floor(np.array(values) * 256 + 0.5)
+
+
+def plain_distance(rows, centre, covariance):
+    apart = rows - centre
+    return np.floor(np.log1p(np.maximum(0, np.einsum("ni,ij,nj->n", apart, np.linalg.inv(covariance), apart))) * 100 + 0.5)
+
+
+def plain_estimates(groups):
+    """Centre, covariance and log determinant per group of one language, by the same starts and steps on arrays."""
+    ridge = np.eye(6) * 0.01
+
+    def drawn(rows, every):
+        share = len(rows) / (len(rows) + 200)
+        own, of_all = (np.cov(x.T, bias=True) for x in (rows, every))
+        covariance = (share * own + (1 - share) * of_all) * quality.CONSISTENCY + ridge
+        return share * rows.mean(0) + (1 - share) * every.mean(0), covariance
+
+    def estimates(subsets):
+        every = np.concatenate(list(subsets.values()))
+        return {name: drawn(rows, every) for name, rows in subsets.items()}
+
+    def step(found):
+        closest = {}
+        for name, rows in groups.items():
+            distances = plain_distance(rows, *found[name])
+            closest[name] = rows[distances <= np.percentile(distances, 50)]
+        return estimates(closest)
+
+    def first(rows, way):
+        middle = np.median(rows, 0)
+        spread = np.maximum(0.1, np.median(np.floor(np.abs(rows - middle) * 256), 0) * 1.4826 / 256)
+        if way == "medians":
+            return middle, np.diag(spread**2)
+        z = (rows - middle) / spread
+        length = np.linalg.norm(z, axis=1, keepdims=True)
+        u = np.floor(np.divide(z, length, out=np.zeros_like(z), where=length > 0) * 1024 + 0.5) / 1024
+        return middle, (u.T @ u / len(u) + ridge) * np.outer(spread, spread)
+
+    ways = [{name: first(rows, way) for name, rows in groups.items()} for way in ("medians", "directions")] + [estimates(groups)]
+    ended = [step(step(found)) for found in ways]
+    found = {name: min((way[name] for way in ended), key=lambda one: round(np.linalg.slogdet(one[1])[1], 9)) for name in groups}
+    for _ in range(10):
+        before, found = found, step(found)
+        if all(np.array_equal(before[name][0], found[name][0]) for name in groups):
+            break
+    return found
+
+
+def test_estimates_against_arrays(spark):
+    """Two sources of one language with a third of junk, of two kinds; verdicts and distances as on plain arrays."""
+    def text(i):
+        if i % 3 == 0:
+            return " ".join(f"{word}&&&" if i % 2 else f"{word.upper()}!!" for word in prose(i, 40 + i % 90).split())
+        return "\n".join(prose(i + 7 * k, 20 + i % 60).capitalize() + ("." if i % 5 else "") for k in range(1 + i % 4))
+
+    texts = {i: text(i) for i in range(500)}
+    rows = [(i, one, "en", f"s{i % 5 == 0}") for i, one in texts.items()]
+    sound = {source: [i for i, one, _, of in rows if of == source and not plain(one)[5]] for source in ("sTrue", "sFalse")}
+    groups = {source: np.array([plain_vector(texts[i]) for i in ids]) / 256 for source, ids in sound.items()}
+    found = plain_estimates(groups)
+    judged = {row.doc_id: row for row in quality.judged(documents(spark, rows)).collect()}
+    limit = round(math.log1p(quality.CUTOFF) * 100)
+    for source, ids in sound.items():
+        distances = plain_distance(groups[source], *found[source])
+        assert max(abs(judged[i].distance - d) for i, d in zip(ids, distances, strict=True)) <= 1
+        assert all(judged[i].kept == (d <= limit) for i, d in zip(ids, distances, strict=True) if abs(d - limit) > 1)
+    assert 0 < sum(row.kept for row in judged.values()) < len(rows)
