@@ -34,6 +34,7 @@ START, END = 0xFF, 0xFE
 SYMBOLS = 255
 BLOCK_BYTES = 8 << 20
 _PART_BYTES = 1 << 18
+BLOCKS_PER_ROW = 4096  # that a window's row lists at most
 _ROWS_AT_ONCE = 256
 _HELD = 60_000  # words or windows a task holds before it passes their counts on
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -236,19 +237,25 @@ def window_scores(totals: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _per_block(counted: DataFrame, training: DataFrame) -> tuple[DataFrame, dict]:
-    """What each block has to know of its windows (``score``) and words (``n``), and the totals N and V of the base.
-
-    A window or word that a block passed on several times comes back as often, with one score.
-    """
-    # A frequent window is in every block, so blocks are never gathered in a row: each (window, block) meets its score in a join.
-    of_windows, of_words = counted.filter("window >= 0"), counted.filter("window < 0")
-    grams = stored(of_windows.groupBy("window").agg(F.sum("n").alias("n")), "windows")
-    words = stored(of_words.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    texts = training.agg(F.count_if("training")).first()[0]
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    scored = of_windows.select("block", "window").join(window_scores(grams), "window").select("block", "window", F.lit("").alias("word"), "score")
-    in_training = words.filter("n > 0").select("word", F.col("n").cast("double").alias("score"))
-    known = of_words.select("block", "word").join(in_training, "word").select("block", F.lit(-1).cast("bigint").alias("window"), "word", "score")
+    """What each block has to know of its windows (``score``) and words (``n``), and the totals N and V of the base."""
+    # A window of all blocks has a row for every BLOCKS_PER_ROW of them, so no row grows with the corpus.
+    texts, last = training.agg(F.count_if("training"), F.coalesce(F.max("block"), F.lit(0))).first()
+    one_row = last < BLOCKS_PER_ROW
+    of = [F.sum("n").alias("n"), F.collect_set("block").alias("blocks")]
+    part = F.floor(F.col("block") / BLOCKS_PER_ROW).alias("part")
+    grams = stored(counted.filter("window >= 0").groupBy("window", *([] if one_row else [part])).agg(*of), "windows")
+    words = stored(counted.filter("window < 0").groupBy("word", *([] if one_row else [part])).agg(*of), "words")
+
+    def totals(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(name, "n") if one_row else stored(rows.groupBy(name).agg(F.sum("n").alias("n")), "totals")
+
+    of_words = totals(words, "word")
+    n, v = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    scores = window_scores(totals(grams, "window")).withColumnRenamed("window", "_window")
+    scored = grams.join(scores, F.col("window") == F.col("_window")).select(F.explode("blocks").alias("block"), "window", F.lit("").alias("word"), "score")
+    if not one_row:
+        words = words.drop("n").join(of_words, "word")
+    known = words.filter("n > 0").select(F.explode("blocks").alias("block"), F.lit(-1).cast("bigint").alias("window"), "word", F.col("n").cast("double").alias("score"))
     return scored.unionByName(known), {"texts": texts, "N": n + texts, "V": v + (texts > 0)}
 
 
@@ -270,8 +277,7 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     def score(texts: pa.Table, facts: pa.Table) -> pa.Table:
         of = facts.column("window").to_numpy()
         values = facts.column("score").to_numpy()
-        keys, first = np.unique(of, return_index=True)
-        lookup = Lookup(keys[keys >= 0], values[first[keys >= 0]])
+        lookup = Lookup(of[of >= 0], values[of >= 0])
         vocabulary = dict(zip(facts.column("word").filter(pa.array(of < 0)).to_pylist(), values[of < 0].tolist(), strict=True))
         tokens, familiar, base, total = [], [], [], []
         for at in range(0, len(texts), _ROWS_AT_ONCE):

@@ -88,6 +88,15 @@ def test_scores_of_odd_texts(spark):
     check(scores(documents(spark, [(i, text, "en", "s") for i, text in rows]).repartition(3)), rows)
 
 
+def test_few_blocks_per_row(spark, monkeypatch):
+    """Windows and words of many blocks, listed in several rows each."""
+    monkeypatch.setattr(ppm, "BLOCKS_PER_ROW", 2)
+    rows = [*ODD, *[(i, prose(i, 40), "en", "s") for i in range(100, 130)]]
+    docs = documents(spark, rows)
+    assert ppm._in_blocks(docs, F.lit(True)).agg(F.max("block")).first()[0] >= 2
+    check(scores(docs), [row[:2] for row in rows])
+
+
 def test_no_training_and_no_rows(spark):
     docs = documents(spark, [(1, "ab", "en", "s"), (2, None, "en", "s")])
     found = {row.doc_id: row for row in ppm.scored(docs, F.lit(False)).collect()}
