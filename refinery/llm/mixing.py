@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.tables import stored, whole_row
+from refinery.llm.tables import key_of, stored, whole_row
 
 # Words, weights by place of the source, and how often a document may be taken at most.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,7 +33,7 @@ SEED = 17
 _FOLD = """
     aggregate(
         slice(units, 2, greatest(size(units) - 1, 0)),
-        named_struct('hand', units[0], 'settled', cast(array() AS array<struct<key: bigint, up: boolean>>)),
+        named_struct('hand', units[0], 'settled', cast(array() AS array<struct<key: struct<k1: bigint, k2: bigint>, up: boolean>>)),
         (done, e) -> transform(transform(transform(
             array(named_struct('a', done.hand, 'settled', done.settled)),
             s -> named_struct('a', s.a, 'settled', s.settled,
@@ -106,7 +106,7 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
     """
     units = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), words_in(F.col("text")).alias("size"))
     units = units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
-    units = stored(units.withColumn("key", F.xxhash64("doc_id", "source", "size")), "sizes")
+    units = stored(units.withColumn("key", key_of(F.col("doc_id"), F.col("source"), F.col("size"))), "sizes")
     by_source = targets(units.select("source", (F.col("size") * F.col("copies")).alias("size")), weights, most)
     counts = units.groupBy("source").agg(F.count(F.lit(1)).alias("units_of_source"))
     by_source = by_source.join(counts.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of"))).drop("_of")

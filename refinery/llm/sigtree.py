@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.components import components
-from refinery.llm.tables import stored, whole_row
+from refinery.llm.tables import key_of, stored, whole_row
 from refinery.llm.words import Words, in_parts, mix
 
 PERCENT = 80
@@ -118,7 +118,7 @@ def _features(docs: DataFrame, percent: int, size: int, frequent: np.ndarray) ->
                 names=["doc_id", "row_key", "n", "first", "second", "prefix", "bitmap"],
             )
 
-    schema = "doc_id bigint, row_key bigint, n bigint, first bigint, second bigint, prefix array<bigint>, bitmap binary"
+    schema = "doc_id bigint, row_key struct<k1: bigint, k2: bigint>, n bigint, first bigint, second bigint, prefix array<bigint>, bitmap binary"
     return docs.mapInArrow(batches, schema)
 
 
@@ -357,11 +357,11 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     A set is the distinct shingles of ``size`` words of the lower-cased text, or the whole sequence of fewer words.
     Rows link if 100 * overlap >= ``percent`` * union; a component is all rows reachable by links, its id the smallest
     ``doc_id`` among them, NULL if none has one. A text without words, or NULL, is linked with nothing: its component
-    is its own. ``row_key`` is a hash of id and text, equal for repeated rows; ``component_key`` is the key of one row
+    is its own. ``row_key`` is a 128-bit hash of id and text, equal for repeated rows; ``component_key`` is the key of one row
     of the component with the smallest id. Other columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    texts = texts.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    texts = texts.withColumn("row_key", key_of(F.col("doc_id"), F.col("text")))
     features = stored(_features(texts, percent, size, _frequent(texts, size)), "features")
     some = features.filter(F.col("n") > 0)
     same = ["first", "second", "n"]
@@ -409,7 +409,7 @@ def classified(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """One row of each component of ``docs``, all columns: one with the smallest ``doc_id``. Rows without words all stay."""
-    keyed = docs.select(whole_row(docs).alias("row"), F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("_row"))
+    keyed = docs.select(whole_row(docs).alias("row"), key_of(F.col("doc_id").cast("bigint"), F.col("text")).alias("_row"))
     found = stored(classified(docs, percent, size), "classified")
     alone = found.filter("n_shingles = 0").select(F.col("row_key").alias("_kept")).distinct()
     kept = found.filter("n_shingles > 0 AND row_key = component_key").select(F.col("row_key").alias("_kept")).distinct()
