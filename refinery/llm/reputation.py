@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 Z = 1.645  # one-sided 95 %
 LIMIT = 0.5
 LEAST_STRENGTH, MOST_STRENGTH = 0.5, 1000.0
-# Suffixes of two labels under which domains are registered; pass others where more are needed.
+# Suffixes of two labels under which domains are registered. ``judged`` and ``reputations`` take others.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -55,14 +55,14 @@ def decide(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, C
     return (none, none) if text is None else (text, verdict)
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def _strength(level: DataFrame) -> DataFrame:
@@ -85,14 +85,14 @@ def _strength(level: DataFrame) -> DataFrame:
     return sums.select(F.round(F.coalesce(bounded, F.lit(MOST_STRENGTH)), 6).alias("strength"))
 
 
-def reputations(pages: DataFrame) -> DataFrame:
+def reputations(pages: DataFrame, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``host`` with ``n`` labelled pages, ``share`` (posterior mean of blocked pages) and ``bound`` (its lower bound).
 
-    ``pages`` has ``host`` and ``label`` (allow, block or NULL). One row per host; its pages are counted where they
+    ``pages`` has ``host`` and ``label`` (allow, block or NULL), ``suffixes`` are those of two labels. One row per host; its pages are counted where they
     are read, so a host with a third of all pages sends one row per task.
     """
     hosts = pages.groupBy("host").agg(F.count("label").alias("n"), F.count_if(F.col("label") == "block").alias("k"))
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
 
     def level(*by: str) -> DataFrame:
         return hosts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -115,7 +115,9 @@ def reputations(pages: DataFrame) -> DataFrame:
     return found.select("host", "n", "share", F.round(F.col("share") - Z * deviation, 9).alias("bound"))
 
 
-def judged(pages: DataFrame, rules: Sequence[Rule], columns: Sequence[str] = ("page_id",)) -> DataFrame:
+def judged(
+    pages: DataFrame, rules: Sequence[Rule], columns: Sequence[str] = ("page_id",), suffixes: Sequence[str] = TWO_LABEL_SUFFIXES
+) -> DataFrame:
     """``columns`` of each page (``url`` decides), ``host``, ``path``, ``rule`` and ``verdict``.
 
     A NULL url, or one without ``://``, has an empty host and path and is judged like any other host. Repeated pages
@@ -124,7 +126,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule], columns: Sequence[str] = ("p
     parts = pages.select(*columns, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     text, verdict = decide(F.col("host"), F.col("path"), rules)
     labelled = parts.select("*", text.alias("rule"), verdict.alias("label"))
-    bounds = reputations(labelled).select(F.col("host").alias("of_host"), "bound")
+    bounds = reputations(labelled, suffixes).select(F.col("host").alias("of_host"), "bound")
     by_host = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")
     # Spark splits a frequent host's pages over tasks here; the other side has one row per host.
     return labelled.join(bounds, F.col("host") == F.col("of_host"), "left").select(

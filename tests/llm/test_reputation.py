@@ -60,3 +60,13 @@ def test_suffixes_of_two_labels(spark):
     rows = spark.createDataFrame([("a.b.co.uk",), ("b.org",), ("localhost",), ("",)], "h string")
     found = rows.select(reputation.domain_of(F.col("h")), reputation.suffix_of(F.col("h"))).collect()
     assert [tuple(row) for row in found] == [("b.co.uk", "co.uk"), ("b.org", "org"), ("localhost", "localhost"), ("", "")]
+
+
+def test_other_suffixes(spark):
+    """Sites below a suffix that is passed are domains of their own, so one does not speak for the other."""
+    rows = [("bad.co.za", "block")] * 40 + [("www.bad.co.za", None), ("fine.co.za", "allow"), ("www.fine.co.za", None)]
+    labelled = spark.createDataFrame(rows, "host string, label string")
+    known = {row.host: row.share for row in reputation.reputations(labelled, ["co.za"]).collect()}
+    plain = {row.host: row.share for row in reputation.reputations(labelled).collect()}
+    assert known["www.bad.co.za"] > known["www.fine.co.za"] and plain["www.bad.co.za"] == plain["www.fine.co.za"]
+    assert len(reputation.reputations(labelled, []).collect()) == 4
