@@ -53,9 +53,10 @@ def _by_search(left: DataFrame, left_on: tuple[str, str], versions: DataFrame) -
 
 def _by_window(left: DataFrame, left_on: tuple[str, str], versions: DataFrame, limits: Limits) -> DataFrame:
     key, time = (F.col(column) for column in left_on)
-    timed = left.filter(key.isNotNull() & time.isNotNull())
-    others = left.filter(key.isNull() | time.isNull())
-    rows = timed.select(key.alias("_key"), time.alias("_time"), F.struct(*left.columns).alias("_left")).unionByName(
+    # Rows without a time go along and get none at the end: as a condition, the expression of the time would be put in place
+    # of its name on both sides of whatever join ``left`` comes from, and be worked out for every row several times.
+    others = left.filter(key.isNull())
+    rows = left.filter(key.isNotNull()).select(key.alias("_key"), time.alias("_time"), F.struct(*left.columns).alias("_left")).unionByName(
         versions, allowMissingColumns=True
     )
     cut = ranges.borders(rows.select("_key", "_time"), "_key", "_time", limits)
@@ -70,7 +71,8 @@ def _by_window(left: DataFrame, left_on: tuple[str, str], versions: DataFrame, l
     held = held.filter(F.col("_left").isNotNull())
     carried = _carried(ranges.with_range(versions, "_key", "_time", cut, limits), cut)
     same = (F.col("_key") == F.col("_of_key")) & (F.col("_range") == F.col("_of_range"))
-    met = held.join(beside(carried, limits), same, "left").select("_left.*", F.coalesce("_held", "_carried").alias("_version"))
+    version = F.when(F.col("_time").isNotNull(), F.coalesce("_held", "_carried"))
+    met = held.join(beside(carried, limits), same, "left").select("_left.*", version.alias("_version"))
     return met.unionByName(others, allowMissingColumns=True)
 
 

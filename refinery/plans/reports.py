@@ -88,8 +88,9 @@ def sales_as_of_versions(sales: DataFrame, versions: DataFrame, limits: Limits =
     Of versions that begin on the same day the one with the largest ``prd_id`` counts; a sale without a product key or a day, or
     before the first version, has none. The star schema shows the open version instead.
     """
+    needed = sales.select("sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_quantity", "sls_sales")
     met = as_of_join(
-        sales, ("sls_prd_key", "sls_order_dt"), versions, ("prd_key", "prd_start_dt"), VERSION_COLUMNS, ties=["prd_id"], limits=limits
+        needed, ("sls_prd_key", "sls_order_dt"), versions, ("prd_key", "prd_start_dt"), VERSION_COLUMNS, ties=["prd_id"], limits=limits
     )
     cost = F.col("unit_cost").cast("bigint") * F.col("sls_quantity")
     return met.select(

@@ -79,6 +79,24 @@ def test_no_pairs_of_a_product_are_made(spark, plan):
     assert "Exchange hashpartitioning(k" not in plan(as_of_join(left, ("k", "at"), right, ("key", "since"), {"cost": "cost"}))
 
 
+def test_the_expression_of_the_time_is_in_no_condition(spark, plan):
+    """Where the left side is a join, a condition on the time would be worked out on both its sides, however dear it is."""
+    lines, orders = spark.range(20).selectExpr("id AS o", "concat('k', id % 3) AS k"), spark.range(20).selectExpr("id AS of", "id % 7 AS d")
+    when = F.when(F.col("o") % 5 > 0, F.date_add(F.lit(DAY), F.col("d").cast("int")))
+    left = lines.join(orders, F.col("o") == F.col("of")).select("k", when.alias("at"), F.col("o").cast("int").alias("x"))
+    right = spark.createDataFrame([("k0", DAY, 1, 1)], RIGHT)
+    text = plan(as_of_join(left, ("k", "at"), right, ("key", "since"), {"cost": "cost"}, limits=WAYS["window"]))
+    conditions = [line for line in text.splitlines() if "Filter" in line or "Join" in line]
+    assert conditions and not [line for line in conditions if "date_add" in line or "% 5" in line]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_many_rows_without_a_time(spark, way):
+    left = [("hot", None, i) for i in range(60)] + [("hot", day(i % 9), i) for i in range(40)] + [("cold", None, 1), ("cold", day(1), 2)]
+    right = [("hot", None, 1, 1), ("hot", day(3), 2, 2), ("cold", None, 3, 3)]
+    assert joined(spark, left, right, WAYS[way]) == expected(left, right)
+
+
 def hot_days(spark, n=40_000):
     """Two thirds of the rows are of one key, over 2,000 days."""
     key = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100))
