@@ -137,13 +137,15 @@ def kpis_by_category(fact: DataFrame, products: DataFrame, limits: Limits = LIMI
 
 # The groupings of the cube, and the columns each groups by.
 CUBE = {"month": ["year", "month"], "country": ["country"], "category": ["category"], "all": []}
+_SPREAD = 256  # parts of the lines without an order number
 
 
 def kpis_cube(fact: DataFrame, products: DataFrame, customers: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """The figures of ``sales_kpis`` by month, by country, by category and over all, in one pass over the fact.
 
-    Lines are first added up per order and all the columns that any grouping uses; only these rows are copied for each
-    grouping, and orders are counted exactly in each. ``grouped_by`` names the grouping, columns of others are NULL.
+    The lines of an order are moved to one task, once, and added up there by all the columns that any grouping uses; only these
+    rows are copied for each grouping, and orders are counted exactly in each. ``grouped_by`` names the grouping, columns of
+    others are NULL.
     """
     countries = customers.select(F.col("customer_key").alias("known_customer"), "country")
     categories = products.select(F.col("product_key").alias("known_product"), "category")
@@ -151,19 +153,30 @@ def kpis_cube(fact: DataFrame, products: DataFrame, customers: DataFrame, limits
     named = left_join(fact, "customer_key", {"known_customer": countries}, limits=limits, small=small)
     named = left_join(named, "product_key", {"known_product": categories}, limits=limits, small=small)
     columns = [column for of in CUBE.values() for column in of]
-    added = named.groupBy(*columns, "order_number").agg(
+    # All lines of an order meet in one shuffle, and what follows is done where they are; lines without an order number,
+    # which no count of orders holds, are spread by a hash.
+    by_hash = F.pmod(F.xxhash64("product_key", "customer_key", "quantity", "sales_amount"), F.lit(_SPREAD))
+    unnamed = F.when(F.col("order_number").isNull(), by_hash.cast("int")).otherwise(0)
+    lines = named.select(
+        *columns, "order_number", unnamed.alias("_spread"), "quantity", "sales_amount",
+        F.col("product_key").isNull().alias("_no_product"), F.col("customer_key").isNull().alias("_no_customer"),
+    ).repartition("order_number", "_spread")
+    added = lines.groupBy(*columns, "order_number", "_spread").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("quantity").alias("units"),
         F.sum("sales_amount").alias("sales_amount"),
-        F.count_if(F.col("product_key").isNull()).alias("lines_without_product"),
-        F.count_if(F.col("customer_key").isNull()).alias("lines_without_customer"),
+        F.count_if("_no_product").alias("lines_without_product"),
+        F.count_if("_no_customer").alias("lines_without_customer"),
     )
     sums = ["lines", "units", "sales_amount", "lines_without_product", "lines_without_customer"]
-    grouped = added.groupingSets(list(CUBE.values()), *columns).agg(
-        F.grouping_id().alias("_grouping"), F.count_distinct("order_number").alias("orders"), *[F.sum(column).alias(column) for column in sums]
-    )
-    # A bit per column, 0 where it is grouped by, the first column's in front.
-    bits = {name: sum(1 << place for place, column in enumerate(reversed(columns)) if column not in of) for name, of in CUBE.items()}
-    grouped_by = F.coalesce(*[F.when(F.col("_grouping") == number, name) for name, number in bits.items()])
+    types = {column: added.schema[column].dataType for column in columns}
+    groupings = [
+        F.struct(F.lit(name).alias("grouped_by"), *[(F.col(c) if c in of else F.lit(None).cast(types[c])).alias(c) for c in columns])
+        for name, of in CUBE.items()
+    ]
+    copied = added.select("order_number", "_spread", *sums, F.explode(F.array(*groupings)).alias("_of"))
+    copied = copied.select("order_number", "_spread", *sums, "_of.*")
+    orders = copied.groupBy("grouped_by", *columns, "order_number", "_spread").agg(*[F.sum(column).alias(column) for column in sums])
+    grouped = orders.groupBy("grouped_by", *columns).agg(F.count("order_number").alias("orders"), *[F.sum(column).alias(column) for column in sums])
     average = (F.col("sales_amount") / F.nullif("units", F.lit(0))).alias("average_price")
-    return grouped.select(grouped_by.alias("grouped_by"), *columns, "orders", *sums, average)
+    return grouped.select("grouped_by", *columns, "orders", *sums, average)

@@ -1,0 +1,42 @@
+"""The cube of sales figures, against each of its groupings by itself."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from refinery.operators.skew import Limits
+from refinery.plans import reports
+
+LINE = "order_number string, product_key bigint, customer_key bigint, sales_amount int, quantity int, year int, month int"
+
+
+def tables(spark):
+    """Orders over several months and customers, lines without an order number, month, product or customer, and copies."""
+    lines = [
+        (None if i % 4 == 0 else f"SO{i % 23}", None if i % 11 == 0 else i % 5, None if i % 13 == 0 else i % 7,
+         None if i % 17 == 0 else i, None if i % 19 == 0 else i % 3, None if i % 9 == 0 else 2020 + i % 2, None if i % 9 == 0 else i % 3)
+        for i in range(300)
+    ]
+    fact = spark.createDataFrame(lines + lines[:40], LINE)
+    products = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a"), (3, None)], "product_key bigint, category string")
+    customers = spark.createDataFrame([(i, "x" if i < 3 else None if i == 3 else "y") for i in range(6)], "customer_key bigint, country string")
+    return fact, products, customers
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_bytes=0)])
+def test_every_grouping(spark, limits):
+    fact, products, customers = tables(spark)
+    cube = reports.kpis_cube(fact, products, customers, limits)
+    named = fact.join(customers, "customer_key", "left").join(products, "product_key", "left")
+    figures = cube.columns[6:-1]
+    for name, of in reports.CUBE.items():
+        wanted = reports.sales_kpis(named, *of).select(*of, "orders", *figures, "average_price")
+        assert rows(cube.filter(F.col("grouped_by") == name).select(*of, "orders", *figures, "average_price")) == rows(wanted)
+    assert cube.select("grouped_by").distinct().count() == len(reports.CUBE)
+    assert reports.kpis_cube(fact.limit(0), products, customers, limits).isEmpty()
+
+
+def test_rows_are_copied_after_the_shuffle(spark, plan):
+    text = plan(reports.kpis_cube(*tables(spark)))
+    by_order = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "order_number" in line]
+    assert len(by_order) == 1 and "Expand" not in text and text.index("Generate") < text.index(by_order[0])
