@@ -88,8 +88,9 @@ class _Pieces:
         pieces = _TOGETHER.findall if apart else lambda text: [text]
         self.by_chunk = ByChunk(self._learn, (lambda texts: pc.match_substring(texts, "  ")) if apart else (lambda texts: pc.greater(pc.binary_length(texts), 0)), pieces, pa.int32())
 
-    def _learn(self, new: list[str]) -> Ids:
+    def _learn(self, chunks: pa.Array) -> Ids:
         """The model puts a space before each chunk: one that has it already goes without, from others it is taken off."""
+        new = chunks.to_pylist()
         found = self.model.encode([chunk[1:] if chunk[:1] == " " else chunk for chunk in new], num_threads=1)
         own = [[self.space] if chunk == " " else ids if chunk[:1] == " " else ids[1:] for chunk, ids in zip(new, found, strict=True)]
         return np.fromiter(chain.from_iterable(own), np.int32), np.array(list(map(len, own)), np.int64)

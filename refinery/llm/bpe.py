@@ -81,8 +81,8 @@ class Vocabulary:
         """Ids of each text of a run, without special tokens."""
         return self.by_chunk.encode(texts)
 
-    def _learn(self, chunks: list[str]) -> Ids:
-        found = list(map(self.pattern.findall, chunks))
+    def _learn(self, chunks: pa.Array) -> Ids:
+        found = list(map(self.pattern.findall, chunks.to_pylist()))
         ids = {piece: self._piece(piece.encode()) for piece in set().union(*found)}
         own = [list(chain.from_iterable(map(ids.__getitem__, pieces))) for pieces in found]
         return np.fromiter(chain.from_iterable(own), np.int32), np.array(list(map(len, own)), np.int64)

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BYTES_AT_ONCE = 1 << 23
+KEPT_BYTES = 1 << 24  # of chunks and their ids that a model keeps from run to run
 
 Ids = tuple[np.ndarray, np.ndarray]  # all ids in a row, and how many each chunk has
 
@@ -30,13 +31,13 @@ def cut(texts: pa.Array) -> pa.LargeListArray:
 
 
 class ByChunk:
-    """Ids of texts by a model that encodes lists of chunks.
+    """Ids of texts by a model that encodes arrays of chunks.
 
-    ``learn`` gives the ids of some chunks; ``alone`` marks texts that can't be cut here, ``pieces`` cuts those. What the run
-    of texts before held is kept, so a chunk of two runs in a row is asked for once; memory is that of a run.
+    ``learn`` gives the ids of some chunks; ``alone`` marks texts that can't be cut here, ``pieces`` cuts those. Chunks stay
+    known from run to run until they fill ``KEPT_BYTES``; then those of the latest run alone do. Memory is that and a run.
     """
 
-    def __init__(self, learn: Callable[[list[str]], Ids], alone: Callable[[pa.Array], pa.Array], pieces: Callable[[str], list[str]], kind: pa.DataType):
+    def __init__(self, learn: Callable[[pa.Array], Ids], alone: Callable[[pa.Array], pa.Array], pieces: Callable[[str], list[str]], kind: pa.DataType):
         self.learn, self.alone, self.pieces = learn, alone, pieces
         self.known, self.ids = pa.array([""], pa.large_string()), _lists(np.zeros(0, np.int32), np.zeros(1, np.int64), kind)
         self.kind = kind
@@ -52,12 +53,17 @@ class ByChunk:
     def _encode(self, chunks: pa.LargeListArray) -> pa.LargeListArray:
         coded = chunks.flatten().dictionary_encode()
         where = pc.index_in(coded.dictionary, value_set=self.known)
-        new = pc.is_null(where).to_numpy(zero_copy_only=False)
-        place = where.fill_null(0).to_numpy().astype(np.int64)
-        place[new] = len(self.known) + np.arange(new.sum())
-        learnt = _lists(*self.learn(coded.dictionary.filter(pa.array(new)).to_pylist()), self.kind) if new.any() else self.ids.slice(0, 0)
-        self.known, self.ids = coded.dictionary, pa.concat_arrays([self.ids, learnt]).take(pa.array(place))
-        found = self.ids.take(coded.indices)
+        new = pc.is_null(where)
+        fresh = coded.dictionary.filter(new)
+        if len(fresh):
+            marked = new.to_numpy(zero_copy_only=False)
+            place = where.fill_null(0).to_numpy().astype(np.int64)
+            place[marked] = len(self.known) + np.arange(len(fresh))
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.ids, where = pa.concat_arrays([self.ids, _lists(*self.learn(fresh), self.kind)]), pa.array(place)
+        found = self.ids.take(where.take(coded.indices))
+        if self.known.nbytes + self.ids.nbytes > KEPT_BYTES:
+            self.known, self.ids = coded.dictionary, self.ids.take(where)
         ends = np.asarray(found.offsets)[np.asarray(chunks.offsets) - chunks.offsets[0].as_py()]
         return pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), found.flatten())
 

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from test_tokens import LIBRARY, MODEL
 
-from refinery.llm import packing, queries
+from refinery.llm import chunks, packing, queries
 from refinery.llm.chunks import cut, runs
 from refinery.llm.encoder import Encoder
 
@@ -129,3 +129,26 @@ def test_a_long_text_and_runs():
     assert list(runs(texts, 200)) == [(0, 1), (1, 4)] and list(runs(texts[:0])) == []
     wanted = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts.to_pylist()]
     assert ENCODER.lists(texts).to_pylist() == wanted
+
+
+def test_a_chunk_is_asked_for_once_in_many_runs(monkeypatch):
+    """Chunks of a run before the last one are still known, and ids stay right where they no longer are."""
+    runs_of = [["one two three, four"], ["five six"], ["four, two one", "don't  ask \t twice!", "日本語 é_1 \x00"], ["five, three"]] * 2
+    for room in (chunks.KEPT_BYTES, 0):
+        monkeypatch.setattr(chunks, "KEPT_BYTES", room)
+        shared, asked = Encoder(MODEL, public_tokenizers.PATTERN), []
+        learn = shared.by_chunk.learn
+        shared.by_chunk.learn = lambda some: asked.extend(some.to_pylist()) or learn(some)  # noqa: B023
+        for texts in runs_of:
+            assert shared.lists(pa.array(texts, pa.large_string())).to_pylist() == [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+        assert room == 0 or len(asked) == len(set(asked))
+
+
+def test_a_file_whose_words_cannot_go_to_the_merges_alone():
+    """With an added token that is no special one, the library gets the words as they are; both ways give the same ids."""
+    own = LIBRARY.from_str(MODEL)
+    own.add_tokens(["@@"])
+    texts = ["plain words, and marks!", "a@@b @@ c", "it's  é 日本"]
+    shared = Encoder(own.to_str(), public_tokenizers.PATTERN)
+    assert shared.bare is None and Encoder(MODEL, public_tokenizers.PATTERN).bare is not None
+    assert shared.lists(pa.array(texts, pa.large_string())).to_pylist() == [own.encode(text, add_special_tokens=False).ids for text in texts]
