@@ -46,8 +46,25 @@ class Table:
         self.frequency = scaled.astype(np.uint64)
         self.start = (np.cumsum(scaled) - scaled).astype(np.uint64)
         self.place = np.repeat(np.arange(len(symbols), dtype=np.uint32), scaled)
+        # Ids are found by a list of all numbers up to the largest, where that is no vast one.
+        self.at = None
+        if len(symbols) and symbols[-1] < total:
+            self.at = np.full(int(symbols[-1]) + 1, len(symbols), np.uint32)
+            self.at[symbols] = np.arange(len(symbols))
         self.crc = zlib.crc32(self.frequency.tobytes(), zlib.crc32(symbols.tobytes()))
 
+    def index(self, ids: np.ndarray) -> np.ndarray:
+        """Places of ids among the symbols. Every id must be in the table."""
+        if not len(ids):
+            return np.zeros(0, np.uint32)
+        if self.at is None:
+            found = np.searchsorted(self.symbols, ids)
+        else:
+            found = self.at[np.minimum(ids, len(self.at) - 1)]
+        if not len(self.symbols) or found.max() >= len(self.symbols) or not np.array_equal(self.symbols[found], ids):
+            raise ValueError("an id is not in the table")
+        return found
+
     def to_bytes(self) -> bytes:
         return struct.pack("<II", self.bits, len(self.symbols)) + self.symbols.tobytes() + self.frequency.astype("<u4").tobytes()
 
@@ -64,9 +81,7 @@ def encode(ids: np.ndarray, table: Table, lanes: int = 512, checkpoint_steps: in
     n = len(ids)
     lanes = max(1, min(lanes, n))
     steps = -(-n // lanes)
-    index = np.searchsorted(table.symbols, ids)
-    if n and (index.max() >= len(table.symbols) or not np.array_equal(table.symbols[index], ids)):
-        raise ValueError("an id is not in the table")
+    index = table.index(ids)
     frequency, start = table.frequency[index], table.start[index]
     bits = np.uint64(table.bits)
     room = frequency << np.uint64(63 - table.bits)

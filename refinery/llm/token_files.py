@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refinery.llm import rans
-from refinery.llm.encoder import as_binary, encoder
+from refinery.llm.encoder import as_binary, encoder, flat
 
 _INDEX = struct.Struct("<4sII")
 _MAGIC = b"TKG1"
@@ -45,13 +45,13 @@ def _counts(tokens: DataFrame, kind: str) -> DataFrame:
     def partial(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in found:
-            for row in batch.column("ids"):
-                seen = np.bincount(np.frombuffer(row.as_buffer(), kind))
-                if len(seen) > len(total):
-                    seen[: len(total)] += total
-                    total = seen
-                else:
-                    total[: len(seen)] += seen
+            # All rows at once: a count of each has as many places as the vocabulary.
+            seen = np.bincount(flat(batch.column("ids"), kind))
+            if len(seen) > len(total):
+                seen[: len(total)] += total
+                total = seen
+            else:
+                total[: len(seen)] += seen
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(total[ids])], names=["id", "n"])
 

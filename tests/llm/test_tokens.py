@@ -16,6 +16,7 @@ from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from tokenizers import Tokenizer
 
 from refinery.llm import bpe, queries, rans, token_files
+from refinery.llm.encoder import flat
 from refinery.operators.storage import new_folder
 
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -123,3 +124,23 @@ def test_files_of_no_documents(spark):
 def test_the_token_file_query(spark, sf_dir, given_documents):
     found = queries.op1_rans_token_files(spark, sf_dir).orderBy("start").collect()
     assert [tuple(row) for row in found] == [row[:4] for row in expected_files(given_documents.collect())]
+
+
+def test_ids_are_found_by_a_list():
+    """Places in the table by one look each; a table of vast numbers is searched. An id that is not there is an error in both."""
+    for symbols in ([2, 5, 9], [2, 5, 1 << 30]):
+        table = rans.Table(symbols, [3, 1, 2])
+        assert (table.at is None) == (symbols[-1] > 9)
+        ids = np.array([5, 2, symbols[-1], 5], np.uint32)
+        assert table.index(ids).tolist() == [1, 0, 2, 1]
+        assert rans.decode(rans.encode(ids, table), table).tolist() == ids.tolist()
+        for wrong in (3, symbols[-1] + 1):
+            with pytest.raises(ValueError, match="not in the table"):
+                rans.encode(np.array([2, wrong], np.uint32), table)
+
+
+def test_ids_of_all_rows_at_once():
+    rows = pa.array([b"\x01\x00\x02\x00", b"", b"\x03\x00"], pa.binary())
+    assert flat(rows, "<u2").tolist() == [1, 2, 3]
+    assert flat(rows.slice(1), "<u2").tolist() == [3]
+    assert flat(rows.slice(3), "<u2").tolist() == flat(rows.slice(1, 1), "<u2").tolist() == []
