@@ -21,6 +21,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ BLOCK_BYTES = 8 << 20
 _PART_BYTES = 1 << 18
 BLOCKS_PER_ROW = 4096  # that a window's row lists at most
 _ROWS_AT_ONCE = 256
-_HELD = 60_000  # words or windows a task holds before it passes their counts on
+_WAITING = 1 << 18  # windows of a block that are not added up yet
+_HELD_WORDS, _HELD_WINDOWS = 400_000, 3_000_000  # that a task holds before it passes counts of a block on
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
@@ -49,7 +51,8 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     found = np.frombuffer(joined, np.uint8).astype(np.int64)
     keys = np.zeros(max(0, len(found) - ORDER), np.int64)
     for place in range(ORDER + 1):
-        keys = (keys << 8) | found[place : len(found) - ORDER + place]
+        keys <<= 8
+        keys |= found[place : len(found) - ORDER + place]
     keys = keys[found[ORDER:] != START]
     return keys, np.concatenate([[0], np.cumsum([len(text) + 1 for text in texts])]).astype(np.int64)
 
@@ -78,11 +81,9 @@ class Lookup:
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
             free = np.flatnonzero(self.keys[slot] == -1)
-            _, chosen = np.unique(slot[free], return_index=True)
-            won = free[chosen]
-            self.keys[slot[won]], self.values[slot[won]] = keys[left[won]], values[left[won]]
-            lost = np.ones(len(left), bool)
-            lost[won] = False
+            self.keys[slot[free]] = keys[left[free]]  # of several, the last one stays
+            lost = self.keys[slot] != keys[left]
+            self.values[slot[~lost]] = values[left[~lost]]
             left, slot = left[lost], (slot[lost] + 1) & self.mask
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
@@ -114,61 +115,82 @@ def _in_blocks(docs: DataFrame, is_training: Column) -> DataFrame:
     return stored(docs.select(block.alias("block"), F.col("doc_id").cast("bigint"), is_training.alias("training"), text.alias("text")), "blocks")
 
 
-def _added(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts by ascending keys, with those of some more keys added."""
-    order = np.argsort(more)
-    more, weights = more[order], weights[order]
-    begin = np.flatnonzero(np.concatenate([[True], more[1:] != more[:-1]])) if len(more) else np.zeros(0, np.int64)
-    sums = np.add.reduceat(weights, begin, dtype=np.int64) if len(more) else np.zeros(0, np.int64)
-    merged, place = np.unique(np.concatenate([keys, more[begin]]), return_inverse=True)
-    total = np.zeros(len(merged), np.int64)
-    total[place[: len(keys)]] = counts
-    total[place[len(keys) :]] += sums
-    return merged, total
+def _added(keys: np.ndarray, counts: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by ascending windows, with more windows added: each with a bit below it that says whether it counts."""
+    if not len(marked):
+        return keys, counts
+    marked = np.sort(marked)
+    every = marked >> 1
+    begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    more, sums = every[begin], np.add.reduceat(marked & 1, begin)
+    place = np.searchsorted(keys, more)
+    there = place < len(keys)
+    there[there] = keys[place[there]] == more[there]
+    total = counts.copy()
+    total[place[there]] += sums[there]
+    return np.insert(keys, place[~there], more[~there]), np.insert(total, place[~there], sums[~there])
+
+
+class _Counts:
+    """Words and windows of a block's texts with their training counts.
+
+    New windows wait until there are many, so that they are sorted and added to the known ones seldom.
+    """
+
+    def __init__(self):
+        self.words: Counter = Counter()
+        self.keys = self.counts = np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+
+    def add(self, texts: list[str], training: np.ndarray) -> None:
+        for text, learns in zip(texts, training.tolist(), strict=True):
+            tokens = _WORD.findall(text)
+            self.words.update(tokens if learns else dict.fromkeys(tokens, 0))
+        for first, part in _parts(texts):
+            every, begin = windows(part)
+            self.waiting.append(every << 1 | np.repeat(training[first : first + len(part)], np.diff(begin)))
+            if sum(map(len, self.waiting)) > _WAITING:
+                self.settle()
+
+    def settle(self) -> None:
+        self.keys, self.counts = _added(self.keys, self.counts, np.concatenate([np.zeros(0, np.int64), *self.waiting]))
+        self.waiting = []
 
 
 def _counted(blocks: DataFrame) -> DataFrame:
     """``block``, ``window`` or ``word`` (-1, '' for the other) and ``n``, occurrences in the block's training texts.
 
-    A task passes counts on when it holds many, so a window or word of a block may have several rows.
+    A task that holds many passes those of its largest block on, so a window or word of a block may have several rows.
     """
 
-    def rows(block: int, keys: np.ndarray, counts: np.ndarray, words: dict[str, int]) -> pa.RecordBatch:
+    def rows(block: int, held: _Counts) -> pa.RecordBatch:
+        held.settle()
+        n_windows, words = len(held.keys), held.words
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(len(keys) + len(words), block)),
-                pa.array(np.concatenate([keys, np.full(len(words), -1)])),
-                pa.array([""] * len(keys) + list(words), pa.string()),
-                pa.array(np.concatenate([counts, np.array(list(words.values()), np.int64)])),
+                pa.array(np.full(n_windows + len(words), block)),
+                pa.array(np.concatenate([held.keys, np.full(len(words), -1)])),
+                pa.concat_arrays([pa.repeat("", n_windows), pa.array(list(words), pa.string())]),
+                pa.array(np.concatenate([held.counts, np.array(list(words.values()), np.int64)])),
             ],
             names=["block", "window", "word", "n"],
         )
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        held: dict[int, tuple[Counter, np.ndarray, np.ndarray]] = {}
+        held: dict[int, _Counts] = {}
         for batch in found:
             for at in range(0, len(batch), _ROWS_AT_ONCE):
                 some = batch.slice(at, _ROWS_AT_ONCE)
                 of = some.column("block").to_numpy()
                 for block in np.unique(of).tolist():
                     mine = some.filter(pa.array(of == block))
-                    words, keys, counts = held.pop(block, (Counter(), none, none))
                     training = mine.column("training").to_numpy(zero_copy_only=False).astype(bool)
-                    texts = mine.column("text").to_pylist()
-                    for text, learns in zip(texts, training.tolist(), strict=True):
-                        tokens = _WORD.findall(text)
-                        words.update(tokens if learns else dict.fromkeys(tokens, 0))
-                    for first, part in _parts(texts):
-                        every, begin = windows(part)
-                        weights = np.repeat(training[first : first + len(part)], np.diff(begin))
-                        keys, counts = _added(keys, counts, every, weights)
-                    if len(words) > _HELD or len(keys) > _HELD * 4:
-                        yield rows(block, keys, counts, words)
-                    else:
-                        held[block] = words, keys, counts
-        for block, (words, keys, counts) in held.items():
-            yield rows(block, keys, counts, words)
+                    held.setdefault(block, _Counts()).add(mine.column("text").to_pylist(), training)
+                    if sum(len(one.words) for one in held.values()) > _HELD_WORDS or sum(len(one.keys) for one in held.values()) > _HELD_WINDOWS:
+                        largest = max(held, key=lambda block: len(held[block].keys) + len(held[block].words))
+                        yield rows(largest, held.pop(largest))
+        for block, counts in held.items():
+            yield rows(block, counts)
 
     return stored(blocks.select("block", "training", "text").mapInArrow(batches, "block bigint, window bigint, word string, n bigint"), "counts")
 
@@ -284,7 +306,7 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
             strings = texts.column("text").slice(at, _ROWS_AT_ONCE).to_pylist()
             for text in strings:
                 found = _WORD.findall(text)
-                counts = np.fromiter((vocabulary.get(word, 0.0) for word in found), np.float64, len(found))
+                counts = np.fromiter(map(vocabulary.get, found, repeat(0.0)), np.float64, len(found))
                 tokens.append(len(found) + 1)
                 familiar.append(int((counts > 0).sum()) + (ends > 0))
                 base.append(float(np.log10(counts + 1).sum()) + math.log10(ends + 1) - missing * (len(found) + 1))

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
@@ -97,6 +98,27 @@ def test_few_blocks_per_row(spark, monkeypatch):
     check(scores(docs), [row[:2] for row in rows])
 
 
+def test_windows_wait_and_are_added_up(monkeypatch):
+    """However many windows wait, the counts are those of a plain count, windows of texts that don't learn with none."""
+    some = [prose(seed, 30, 20) for seed in range(40)] + ["", "é"]
+    training = np.arange(len(some)) % 3 != 1
+    learnt, every = Counter(), set()
+    for text, learns in zip(some, training.tolist(), strict=True):
+        keys = ppm.windows([text.encode()])[0].tolist()
+        every.update(keys)
+        learnt.update(keys if learns else [])
+    for waiting in (0, 1 << 18):
+        monkeypatch.setattr(ppm, "_WAITING", waiting)
+        held = ppm._Counts()
+        for at in range(0, len(some), 7):
+            held.add(some[at : at + 7], training[at : at + 7])
+        held.settle()
+        assert held.keys.tolist() == sorted(every)
+        assert held.counts.tolist() == [learnt[key] for key in sorted(every)]
+    lookup = ppm.Lookup(held.keys, held.counts.astype(float))
+    assert (lookup[held.keys[::-1]] == held.counts[::-1]).all()
+
+
 def test_no_training_and_no_rows(spark):
     docs = documents(spark, [(1, "ab", "en", "s"), (2, None, "en", "s")])
     found = {row.doc_id: row for row in ppm.scored(docs, F.lit(False)).collect()}
