@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.tables import key_of, stored, whole_row
@@ -236,12 +236,9 @@ def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _estimated(rows: DataFrame) -> DataFrame:
     """Parameters per group and start of all of the rows, with the logarithm of the covariance's determinant."""
-    sums = stored(rows.groupBy(*_GROUP, "start").agg(*_sums([F.col(name) for name in FEATURES])), "sums")
-    numbers = [name for name in sums.columns if name not in (*_GROUP, "start")]
-    by = ["lang", "of_start"]
-    by_lang = sums.withColumnRenamed("start", "of_start").groupBy(*by).agg(*[F.sum(name).alias(f"l_{name}") for name in numbers])
-    same = F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("start") == F.col("of_start"))
-    both = sums.join(by_lang.withColumnRenamed("lang", "l_lang"), same).drop("l_lang", "of_start")
+    sums = rows.groupBy(*_GROUP, "start").agg(*_sums([F.col(name) for name in FEATURES]))
+    of_lang = Window.partitionBy("lang", "start")
+    both = sums.select("*", *[F.sum(name).over(of_lang).alias(f"l_{name}") for name in sums.columns if name not in (*_GROUP, "start")])
     return stored(both.mapInPandas(_estimates, _PARAMETERS), "parameters")
 
 

@@ -1,8 +1,11 @@
 """The pipeline's stages in a row, each against the plain version of its operator."""
 
+import time
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from support import ODD, documents, given_documents, prose, sf_dir  # noqa: F401
 from test_lines import expected as lines_left
 from test_mixing import check as check_mix
@@ -10,7 +13,7 @@ from test_mixing import size
 from test_sigtree import classes
 from test_tokens import TIKTOKEN
 
-from refinery.llm import mixing, quality
+from refinery.llm import mixing, quality, tables
 from refinery.llm.tables import stored
 
 
@@ -45,3 +48,23 @@ def test_odd_and_no_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/odd").count() > 0
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_finished_steps_are_forgotten(spark, monkeypatch):
+    """The shuffle files of a step go once the step is stored and nothing refers to it any more."""
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+
+    def files():
+        return {path.name for path in folder.rglob("shuffle_*.data")}
+
+    monkeypatch.setattr(tables, "SECONDS_BETWEEN", 0.0)
+    stored(spark.range(10), "ended")
+    time.sleep(1)
+    before = files()
+    left = []
+    for step in range(6):
+        stored(spark.range(10_000, numPartitions=4).groupBy((F.col("id") % (100 + step)).alias("of")).agg(F.count(F.lit(1)).alias("n")), "step")
+        time.sleep(0.5)
+        left.append(len(files() - before))
+    # The last plans of a session may still be in use somewhere; those before are not.
+    assert left[-1] <= 2 * left[0], left
