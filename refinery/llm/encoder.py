@@ -1,7 +1,8 @@
 """Ids of the tokenizers library for many texts: each different part of a run of texts is asked for once.
 
 Where the model's file allows, the library's merges are asked for pre-tokens alone, cut by the pattern and written in the
-byte-level alphabet here: nearly half of the library's time for a word goes into places in the text that nothing reads.
+byte-level alphabet here: nearly half of the library's time for a word goes into places in the text that nothing reads. Some
+pre-tokens at a time are one piece, with a letter between them that no merge has, as each piece has its own cost.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from refinery.llm.chunks import ByChunk, Ids, put, runs, whole_texts
 
 _WORDS_AT_ONCE = 20_000
+_JOINED = 32  # pre-tokens that go to the library in one piece
+_JOINT = "\xff"  # what a byte that is in no text is written as; a model of texts has no merge for it
 _MARKS = ".,;:!?)"
 # All that any of the libraries takes for white space.
 _WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -80,6 +83,7 @@ class Encoder:
             vocabulary = self.bare.get_vocab()
             self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
             self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+            self.joint = vocabulary[_JOINT]
         mixed = " " + _LETTERS + _LETTERS[::-1]
         self.words_are_whole = self.pieces(mixed) == [mixed]
         self.by_chunk = ByChunk(self._learn, has_long_space, self.pieces, arrow)
@@ -130,12 +134,15 @@ class Encoder:
     def _merged(self, words: pa.Array) -> Ids:
         """Ids of different pre-tokens by the model's merges; the letters of its tokens tell where a pre-token's ids end."""
         letters, sizes = _in_byte_letters(words)
+        edges = pa.array(np.append(np.arange(0, len(letters), _JOINED), len(letters)))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(edges, letters), pa.scalar(_JOINT, letters.type))
         ids = [np.zeros(0, self.kind)]
-        for at in range(0, len(letters), _WORDS_AT_ONCE):
-            some = letters.slice(at, _WORDS_AT_ONCE).to_pylist()
+        for at in range(0, len(joined), _WORDS_AT_ONCE // _JOINED):
+            some = joined.slice(at, _WORDS_AT_ONCE // _JOINED).to_pylist()
             encoded = self.bare.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(encoded[0].ids, self.kind))
         every = np.concatenate(ids)
+        every = every[every != self.joint]
         ends = np.searchsorted(np.cumsum(self.sizes[every]), np.cumsum(sizes), "right")
         return every, np.diff(ends, prepend=0)
 
@@ -156,13 +163,15 @@ def _spread(ids: np.ndarray, counts: np.ndarray, taken: pa.Array, edges: np.ndar
 
 
 def _is_plain(tokenizer: Tokenizer) -> bool:
-    """Whether the ids of a text without added tokens are those of its pre-tokens, merged one by one."""
-    level = tokenizer.pre_tokenizer
+    """Whether the ids of a text without added tokens are those of its pre-tokens, merged one by one or with joints between them."""
+    level, model = tokenizer.pre_tokenizer, tokenizer.model
     return (
-        tokenizer.normalizer is None and isinstance(tokenizer.model, models.BPE) and tokenizer.model.dropout is None
+        tokenizer.normalizer is None and isinstance(model, models.BPE) and model.dropout is None
+        and not model.ignore_merges and not model.continuing_subword_prefix and not model.end_of_word_suffix
         and isinstance(level, pre_tokenizers.ByteLevel) and not level.add_prefix_space and level.use_regex
         and all(token.special for token in tokenizer.get_added_tokens_decoder().values())
-        and all(tokenizer.model.token_to_id(letter) is not None for letter in _BYTE_LETTERS)
+        and all(model.token_to_id(letter) is not None for letter in _BYTE_LETTERS)
+        and not any(_JOINT in token for token in tokenizer.get_vocab(with_added_tokens=False) if token != _JOINT)
     )
 
 

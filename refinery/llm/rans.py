@@ -75,7 +75,7 @@ class Table:
         return cls(symbols, np.frombuffer(data, "<u4", n, 8 + 4 * n), bits)
 
 
-def encode(ids: np.ndarray, table: Table, lanes: int = 512, checkpoint_steps: int = 128) -> bytes:
+def encode(ids: np.ndarray, table: Table, lanes: int = 2048, checkpoint_steps: int = 64) -> bytes:
     """One block. Every id must be in the table. An empty block is a bare header."""
     ids = np.asarray(ids, np.uint32)
     n = len(ids)

@@ -1,5 +1,6 @@
 """Packing: every id in one place, no gaps, little padding; the tree against a search from the first sequence on."""
 
+import json
 import random
 import zlib
 
@@ -144,6 +145,27 @@ def test_a_chunk_is_asked_for_once_in_many_runs(monkeypatch):
         assert room == 0 or len(asked) == len(set(asked))
 
 
+def test_words_share_pieces():
+    """The library is asked for many pre-tokens as one piece, and a file that merges the letter between them is asked as before."""
+    words = [f"{prose(i, 1)}{i}é\xff日x" for i in range(300)]
+    texts = [" ".join(words), "", "\xff", " \xff\xff " * 40, *words[:5]]
+    wanted = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    shared, sent = Encoder(MODEL, public_tokenizers.PATTERN), []
+
+    class Asked:
+        def encode_batch_fast(self, inputs, **named):
+            sent.extend(inputs[0])
+            return bare.encode_batch_fast(inputs, **named)
+
+    bare, shared.bare = shared.bare, Asked()
+    assert shared.lists(pa.array(texts, pa.large_string())).to_pylist() == wanted
+    assert 0 < len(sent) < 100
+
+    merging = json.loads(MODEL)
+    merging["model"]["vocab"]["\xff\xff"] = len(merging["model"]["vocab"])
+    assert Encoder(json.dumps(merging), public_tokenizers.PATTERN).bare is None
+
+
 def test_a_file_whose_words_cannot_go_to_the_merges_alone():
     """With an added token that is no special one, the library gets the words as they are; both ways give the same ids."""
     own = LIBRARY.from_str(MODEL)

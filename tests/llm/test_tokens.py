@@ -87,6 +87,16 @@ def test_a_block_comes_back(ids, lanes, every):
         assert rans.decode(block, table, checkpoint).tolist() == ids[checkpoint * every * width :]
 
 
+def test_steps_of_a_block_are_few():
+    """A step costs the same calls however many lanes it has; a block of the token files has 128 steps and a checkpoint half-way."""
+    ids = np.random.default_rng(1).integers(0, 5000, 1 << 18).astype(np.uint32)
+    table = rans.Table(*np.unique(ids, return_counts=True))
+    block = rans.encode(ids, table)
+    _, n, lanes, every, checkpoints, *_ = rans._HEADER.unpack_from(block)
+    assert -(-n // lanes) == 128 and checkpoints == 1
+    assert np.array_equal(rans.decode(block, table), ids) and np.array_equal(rans.decode(block, table, 1), ids[lanes * every :])
+
+
 def test_a_table_with_many_rare_symbols_and_damage():
     table = rans.Table(np.arange(60_000), np.array([10**12, *[1] * 59_999]))
     assert table.frequency.sum() == 1 << 20 and table.frequency.min() >= 1
