@@ -13,7 +13,7 @@ from test_mixing import size
 from test_sigtree import classes
 from test_tokens import TIKTOKEN
 
-from refinery.llm import mixing, quality, tables
+from refinery.llm import components, mixing, quality, tables
 from refinery.llm.tables import stored
 
 
@@ -68,3 +68,24 @@ def test_finished_steps_are_forgotten(spark, monkeypatch):
         left.append(len(files() - before))
     # The last plans of a session may still be in use somewhere; those before are not.
     assert left[-1] <= 2 * left[0], left
+
+
+def test_stored_tables_have_rows_alone(spark):
+    """The driver makes no file of its own for a step."""
+    table = stored(spark.range(10), "rows")
+    names = {path.name for path in Path(tables._FOLDERS[table].removeprefix("file:")).iterdir()}
+    assert table.count() == 10 and any(name.startswith("part-") for name in names)
+    assert not [name for name in names if "_SUCCESS" in name]
+
+
+def test_components_end_as_stars(spark, monkeypatch):
+    """Links that are stars take no step; a path of three takes the two that make it a star, and none to see that nothing changes."""
+    steps = []
+    monkeypatch.setattr(components, "stored", lambda df, name, *args: steps.append(name) or stored(df, name, *args))
+
+    def found(links):
+        steps.clear()
+        return dict(map(tuple, components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
+
+    assert found([(0, 3), (4, 0), (7, 5), (0, 3), (9, 9)]) == {3: 0, 4: 0, 7: 5} and steps == ["links"]
+    assert found([(i, i + 1) for i in range(3)]) == {1: 0, 2: 0, 3: 0} and steps.count("small") == 2
